@@ -11,11 +11,27 @@ from pyspark.sql import functions as F
 from .bpe import bpe_decode, bpe_encode
 from .common import table
 from .exact_dedup import msd_groups
+from .html import extract_pages
+from .media import jpeg_features, jpeg_store
+from .pii import BASE_KINDS, pii_spans, span_text
+from .simhash import near_groups
+from .urls import filter_urls
 
 #: The vocabulary that the queries encode with.
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii_spans(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*BASE_KINDS))
+    counts = [F.expr(f"cast(size(filter(spans, s -> s.kind = '{k}')) as long)").alias(f"n_{k}") for k in BASE_KINDS]
+    return found.select("doc_id", *counts, F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"))
+
+
 def op3_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(RANKS)
     ids = bpe_encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
@@ -27,13 +43,36 @@ def op3_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = jpeg_store(table(spark, sf_dir, "documents"))
+    # The stored form's own figures are taken before it is read back.
+    stored = stored.withColumns({"media_bytes": F.length("media").cast("long"), "media_sha256": F.sha2("media", 256)})
+    return jpeg_features(stored).select(
+        "doc_id",
+        "n_bytes",
+        F.length("payload").cast("long").alias("payload_bytes"),
+        F.sha2("payload", 256).alias("payload_sha256"),
+        F.crc32(F.expr("substring(payload, -16, 16)")).alias("tail_crc32"),
+        "media_bytes",
+        "media_sha256",
+        F.concat_ws(":", F.concat_ws("x", F.col("width").cast("string"), F.col("height").cast("string")), "thumb_hash").alias("feature"),
+    )
+
+
+def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(table(spark, sf_dir, "pages"))
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return msd_groups(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op3_byte_level_bpe": op3_byte_level_bpe,
-    "op7_exact_dedup": op7_exact_dedup,
+    f.__name__: f for f in (op1_html_extraction, op2_pii, op3_byte_level_bpe, op4_media_columns, op5_url_filters, op6_simhash, op7_exact_dedup)
 }
 
 #: DuckDB's RE2 and Java agree on these classes.
