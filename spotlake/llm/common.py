@@ -46,16 +46,49 @@ def joined(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(rows), np.uint8), starts
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df.checkpoint()`` in the folder of ``spark.checkpoint.dir``; a temporary one where neither
-    the session nor the context has a folder, as in tests."""
-    spark = df.sparkSession
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``; a temporary one where neither the session nor the
+    context has a folder, as in tests."""
     context = spark.sparkContext
     if not context.getCheckpointDir():
         context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+    return context.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df.checkpoint()`` in the shared folder."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
 def normal_space(text) -> F.Column:
     """Each run of ASCII white space as one space; null as empty."""
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " ")
+
+
+def token_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs without ASCII white space."""
+    space = (data == 32) | ((data >= 9) & (data <= 13))
+    edge = np.diff(np.concatenate([[True], space, [True]]).astype(np.int8))
+    return np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+
+
+#: A random word for each byte, and the odd base of the position weights.
+_BYTE_WORDS = np.random.default_rng(42).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the bytes of each span (spans in order, apart, not empty)."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    sizes = ends - starts
+    offsets = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    place = np.arange(int(sizes.sum())) - np.repeat(offsets, sizes)
+    weights = np.full(int(sizes.max()), _BASE, np.uint64)
+    weights[0] = 1
+    weights = np.cumprod(weights, dtype=np.uint64)
+    h = np.add.reduceat(_BYTE_WORDS[data[np.repeat(starts, sizes) + place]] * weights[place], offsets)
+    h ^= h >> np.uint64(29)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(32))

@@ -12,7 +12,10 @@ from .bpe import bpe_decode, bpe_encode
 from .common import table
 from .exact_dedup import msd_groups
 from .html import extract_pages
+from .langid import identify
+from .lines import similar_lines
 from .media import jpeg_features, jpeg_store
+from .mixing import mix
 from .pii import BASE_KINDS, pii_spans, span_text
 from .simhash import near_groups
 from .urls import filter_urls
@@ -32,17 +35,22 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"))
 
 
-def op3_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = public_tokenizers.path(RANKS)
-    ids = bpe_encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
-    return bpe_decode(ids, path).select(
+def digests(ids: DataFrame, ranks_path: str, *keep: str) -> DataFrame:
+    """doc_id, the columns ``keep``, n_tokens, ids_sha256 and decoded_sha256 of encoded documents."""
+    return bpe_decode(ids, ranks_path).select(
         "doc_id",
+        *keep,
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
 
+def op3_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(RANKS)
+    return digests(bpe_encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN), path)
+
+
 def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = jpeg_store(table(spark, sf_dir, "documents"))
     # The stored form's own figures are taken before it is read back.
@@ -67,12 +75,36 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_lines(table(spark, sf_dir, "documents"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return msd_groups(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_html_extraction, op2_pii, op3_byte_level_bpe, op4_media_columns, op5_url_filters, op6_simhash, op7_exact_dedup)
+    f.__name__: f
+    for f in (
+        op1_html_extraction,
+        op2_pii,
+        op3_byte_level_bpe,
+        op4_media_columns,
+        op5_url_filters,
+        op6_simhash,
+        op7_exact_dedup,
+        op8_line_dedup,
+        op9_language_id,
+        op10_mixing,
+    )
 }
 
 #: DuckDB's RE2 and Java agree on these classes.
