@@ -10,8 +10,11 @@ order: one index entry at a time, touching only the two neighbours of each merge
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
-from heapq import heapify, heappop, heappush
+import gc
+import re
+from array import array
+from collections.abc import Callable, Iterator
+from heapq import heappop, heappush
 from itertools import chain
 
 import numpy as np
@@ -24,6 +27,10 @@ from .common import text_blocks
 
 #: Words whose ids a worker remembers; beyond that it starts afresh.
 MEMO_WORDS = 400_000
+#: Index entries of so many places are merged in numpy.
+MANY_PLACES = 24
+#: Bytes of text whose new words make one arena.
+ARENA_BYTES = 8 << 20
 #: Token pairs whose ranks a worker remembers.
 MEMO_PAIRS = 2_000_000
 
@@ -34,6 +41,24 @@ def word_pattern(pattern: str) -> regex.Pattern:
     return regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
 
 
+def _members(property_class: str, limit: int = 0x250) -> str:
+    """The characters of a class below ``limit``, as they stand in a character set of ``re``."""
+    is_member = regex.compile(property_class).match
+    return "".join(re.escape(chr(c)) for c in range(limit) if is_member(chr(c)))
+
+
+def splitter(pattern: str) -> Callable[[str], list[str]]:
+    """Splits a text by the pattern. Texts of Latin letters take the standard library's ``re``, in whose
+    dialect the pattern's classes are spelt out up to U+024F; the others take ``regex``."""
+    slow = word_pattern(pattern).findall
+    letters, numbers, spaces = _members(r"\p{L}"), _members(r"\p{N}"), _members(r"\p{White_Space}")
+    spelt = pattern.replace(r"[^\s\p{L}\p{N}]", f"[^{spaces}{letters}{numbers}]").replace(r"\p{L}", f"[{letters}]").replace(r"\p{N}", f"[{numbers}]").replace(r"\s", f"[{spaces}]").replace(r"\S", f"[^{spaces}]")
+    if re.search(r"\\[pPwWdDbBX]", spelt):
+        return slow
+    fast, other = re.compile(spelt).findall, re.compile("[^\0-\u024f]").search
+    return lambda text: slow(text) if other(text) else fast(text)
+
+
 def read_ranks(lines: list[str]) -> list[bytes]:
     """Tokens by rank, from lines of base64 token and rank."""
     pairs = [line.split() for line in lines if line.strip()]
@@ -62,7 +87,8 @@ class MergeReplay:
     def __init__(self, tokens: list[bytes]):
         self.tokens = tokens
         self.ranks = {t: i for i, t in enumerate(tokens)}
-        self.bytes = [self.ranks[bytes([b])] for b in range(256)]
+        self.by_byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
+        self.by_pair = np.array([[self.ranks.get(bytes([a, b]), -1) for b in range(256)] for a in range(256)], np.int32)
         self.pairs = _PairRanks(tokens, self.ranks)
 
     def encode(self, words: list[bytes]) -> list[tuple[int, ...]]:
@@ -73,39 +99,91 @@ class MergeReplay:
         return [(whole[w],) if w in whole else next(made) for w in words]
 
     def _replay(self, words: list[bytes]) -> list[tuple[int, ...]]:
-        pairs, by_byte = self.pairs, self.bytes
-        symbol = [by_byte[b] for b in b"".join(words)]
-        after = list(range(1, len(symbol) + 1))
-        before = list(range(-1, len(symbol) - 1))
-        starts, at = [], 0
-        for w in words:
-            starts.append(at)
-            if w:
-                before[at] = -1
-                at += len(w)
-                after[at - 1] = -1
+        """Merges over the arena of all words. Its lists are arrays that both single steps and numpy see."""
+        joined = b"".join(words)
+        size = len(joined)
+        if not size:
+            return [()] * len(words)
+        data = np.frombuffer(joined, np.uint8)
+        lengths = np.array([len(w) for w in words])
+        word = np.repeat(np.arange(len(words), dtype=np.int32), lengths)
+        symbol, after, before, rank_at = (array("i", bytes(4 * size)) for _ in range(4))
+        symbols, afters, befores, ranks_at = (np.frombuffer(x, np.int32) for x in (symbol, after, before, rank_at))
+        symbols[:] = self.by_byte[data]
+        last = np.append(word[1:] != word[:-1], True)
+        afters[:] = np.where(last, -1, np.arange(1, size + 1))
+        befores[:] = np.where(np.append(True, last[:-1]), -1, np.arange(-1, size - 1))
+        ranks_at[:-1] = np.where(last[:-1], -1, self.by_pair[data[:-1], data[1:]])
+        ranks_at[-1] = -1
         index: dict[int, list[int]] = {}
-        for i, j in enumerate(after):
-            if j >= 0 and (rank := pairs[symbol[i] << 32 | symbol[j]]) >= 0:
+        heap: list[int] = []
+
+        def add(places: np.ndarray, made: np.ndarray) -> None:
+            """Put places into the index entries of their pairs' ranks."""
+            good = made >= 0
+            places, made = places[good], made[good]
+            if not len(made):
+                return
+            order = np.argsort(made, kind="stable")
+            places, made = places[order].tolist(), made[order]
+            cuts = (np.flatnonzero(made[1:] != made[:-1]) + 1).tolist()
+            for a, b in zip([0, *cuts], [*cuts, len(places)], strict=True):
+                rank = int(made[a])
                 if rank in index:
-                    index[rank].append(i)
+                    index[rank] += places[a:b]
                 else:
-                    index[rank] = [i]
-        heap = list(index)
-        heapify(heap)
+                    index[rank] = places[a:b]
+                    heappush(heap, rank)
+
+        def partners(left, right) -> np.ndarray:
+            """Ranks of the pairs of one symbol and many."""
+            many = left if isinstance(left, np.ndarray) else right
+            distinct, where = np.unique(many, return_inverse=True)
+            keys = [x << 32 | right for x in distinct.tolist()] if many is left else [left << 32 | x for x in distinct.tolist()]
+            return np.array([pairs[k] for k in keys], np.int32)[where]
+
+        pairs = self.pairs
+        add(np.arange(size), ranks_at)
         while heap:
             rank = heappop(heap)
             places = index.pop(rank, None)
             if places is None:
                 continue
+            if len(places) >= MANY_PLACES:
+                i = np.unique(np.array(places, np.int32))
+                i = i[ranks_at[i] == rank]  # else another merge has taken a side meanwhile
+                if not len(i):
+                    continue
+                # The first place of each word; a word's further ones wait, as a pair of lower rank may come up.
+                first = np.append(True, word[i[1:]] != word[i[:-1]])
+                if not first.all():
+                    index[rank] = i[~first].tolist()
+                    heappush(heap, rank)
+                    i = i[first]
+                j = afters[i]
+                n, p = afters[j], befores[i]
+                symbols[i], afters[i], ranks_at[j] = rank, n, -1
+                follows, leads = n >= 0, p >= 0
+                befores[n[follows]] = i[follows]
+                made = np.full(len(i), -1, np.int32)
+                if follows.any():
+                    made[follows] = partners(rank, symbols[n[follows]])
+                ranks_at[i] = made
+                add(i, made)
+                if leads.any():
+                    p = p[leads]
+                    made = partners(symbols[p], rank)
+                    ranks_at[p] = made
+                    add(p, made)
+                continue
             places.sort()
             for k, i in enumerate(places):
-                j = after[i]
-                # The entry is stale if another merge has taken either side meanwhile.
-                if j < 0 or symbol[i] < 0 or pairs[symbol[i] << 32 | symbol[j]] != rank:
+                if rank_at[i] != rank:
                     continue
-                symbol[i], symbol[j] = rank, -1
-                n = after[i] = after[j]
+                j = after[i]
+                n = after[j]
+                symbol[i], after[i], rank_at[j] = rank, n, -1
+                made = -1
                 lower = False
                 if n >= 0:
                     before[n] = i
@@ -116,27 +194,32 @@ class MergeReplay:
                             index[made] = [i]
                             heappush(heap, made)
                         lower = made < rank
-                if (p := before[i]) >= 0 and (made := pairs[symbol[p] << 32 | rank]) >= 0:
-                    if made in index:
-                        index[made].append(p)
-                    else:
-                        index[made] = [p]
-                        heappush(heap, made)
-                    lower = lower or made < rank
+                rank_at[i] = made
+                if (p := before[i]) >= 0:
+                    made = rank_at[p] = pairs[symbol[p] << 32 | rank]
+                    if made >= 0:
+                        if made in index:
+                            index[made].append(p)
+                        else:
+                            index[made] = [p]
+                            heappush(heap, made)
+                        lower = lower or made < rank
                 if lower:  # a pair of lower rank has come up: it goes first
                     if rest := places[k + 1 :]:
                         index[rank] = rest
                         heappush(heap, rank)
                     break
-        out = []
-        for w, i in zip(words, starts, strict=True):
-            ids = []
-            if w:
-                while i >= 0:
-                    ids.append(symbol[i])
-                    i = after[i]
-            out.append(tuple(ids))
-        return out
+        # What is left of the lists, word by word: a symbol that was taken has no one before it that leads to it.
+        alive = np.zeros(size, bool)
+        starts = np.cumsum(lengths) - lengths
+        at = starts[lengths > 0]
+        while len(at):
+            alive[at] = True
+            at = afters[at]
+            at = at[at >= 0]
+        ids = symbols[alive].tolist()
+        ends = np.cumsum(np.bincount(word[alive], minlength=len(words))).tolist()
+        return [tuple(ids[a:b]) for a, b in zip([0, *ends[:-1]], ends, strict=True)]
 
 
 def _rank_lines(spark: SparkSession, path: str) -> list[str]:
@@ -149,8 +232,8 @@ def _rank_lines(spark: SparkSession, path: str) -> list[str]:
         return f.read().splitlines()
 
 
-def bpe_encode(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and ids (array of int) of every whole text, in place: no row moves.
+def bpe_encode(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the columns ``keep`` and ids (array of int) of every whole text, in place: no row moves.
 
     Null and empty texts give an empty array. Repeated rows give repeated results. Words of
     any length are replayed by the heap, in n log n. Other columns are not read.
@@ -159,10 +242,11 @@ def bpe_encode(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str =
     tokens = spark.sparkContext.broadcast(read_ranks(_rank_lines(spark, ranks_path)))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        replay, split = MergeReplay(tokens.value), word_pattern(pattern)
+        replay, split = MergeReplay(tokens.value), splitter(pattern)
         memo: dict[str, tuple[int, ...]] = {}
-        for block in text_blocks(batches, "text"):
-            texts = [split.findall(t) if t else [] for t in block.column("text").to_pylist()]
+        gc.disable()  # the memo has no cycles, and walking it costs more than all merges
+        for block in text_blocks(batches, "text", ARENA_BYTES):
+            texts = [split(t) if t else [] for t in block.column("text").to_pylist()]
             fresh = list(set(chain.from_iterable(texts)).difference(memo))
             if len(memo) + len(fresh) > MEMO_WORDS:
                 memo.clear()
@@ -172,11 +256,12 @@ def bpe_encode(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str =
             offsets = np.zeros(len(flat) + 1, np.int32)
             np.cumsum([len(x) for x in flat], out=offsets[1:])
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(flat)))
-            yield pa.RecordBatch.from_arrays([block.column("doc_id"), ids], ["doc_id", "ids"])
+            names = ["doc_id", *keep]
+            yield pa.RecordBatch.from_arrays([*(block.column(c) for c in names), ids], [*names, "ids"])
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(encode, f"doc_id {kind}, ids array<int>")
+    rows = docs.select(F.col(id_col).alias("doc_id"), *keep, F.col(text_col).alias("text"))
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
+    return rows.mapInArrow(encode, f"{kinds}, ids array<int>")
 
 
 def bpe_decode(ids: DataFrame, ranks_path: str, *, ids_col: str = "ids") -> DataFrame:
