@@ -311,7 +311,7 @@ body as (select up.* from up left join ends using (file) where e is null or line
 head as (select file, max(case when u like 'CALLSIGN:%' then trim(substr(u, 10)) end) as call, max(case when u like 'CONTEST:%' then trim(substr(u, 9)) end) as contest,
   max(case when u like 'GRID-LOCATOR:%' and regexp_matches(trim(substr(u, 14)), '^[A-R]{2}[0-9]{2}([A-X]{2})?$') then trim(substr(u, 14)) end) as grid from body group by file),
 qso as (select b.file, line_no, call, coalesce(contest, '') as contest, list_filter(regexp_split_to_array(b.line, '\s+'), lambda x: x <> 'QSO:') as f from body b join head using (file) where u like 'QSO:%'),
-found as (select *, list_position(list_transform(f, lambda x: regexp_matches(regexp_replace(upper(x), '^([^/]+)/.*$', '\1'), '^[A-Z0-9]{1,3}[0-9][A-Z0-9]{0,3}[A-Z]$') and upper(x) <> upper(f[5])), true) as raw_at from qso),
+found as (select *, list_position(list_transform(f[6:len(f)], lambda x: regexp_matches(regexp_replace(upper(x), '^([^/]+)/.*$', '\1'), '^[A-Z0-9]{1,3}[0-9][A-Z0-9]{0,3}[A-Z]$') and upper(x) <> upper(f[5])), true) + 5 as raw_at from qso),
 placed as (select *, case when raw_at >= 6 then raw_at end as p from found)"""
 
 
