@@ -14,7 +14,7 @@ import gc
 import re
 from array import array
 from collections.abc import Callable, Iterator
-from heapq import heappop, heappush
+from heapq import heapify, heappop, heappush
 from itertools import chain
 
 import numpy as np
@@ -29,6 +29,8 @@ from .common import text_blocks
 MEMO_WORDS = 400_000
 #: Index entries of so many places are merged in numpy.
 MANY_PLACES = 24
+#: Words of so many bytes are replayed by themselves.
+LONG_WORD = 1000
 #: Bytes of text whose new words make one arena.
 ARENA_BYTES = 8 << 20
 #: Token pairs whose ranks a worker remembers.
@@ -94,9 +96,33 @@ class MergeReplay:
     def encode(self, words: list[bytes]) -> list[tuple[int, ...]]:
         """Ids of each word: its own rank if it is a token, else what the merges leave of it."""
         whole = self.ranks
-        rest = [w for w in words if w not in whole]
+        rest = [w for w in words if w not in whole and len(w) < LONG_WORD]
         made = iter(self._replay(rest))
-        return [(whole[w],) if w in whole else next(made) for w in words]
+        return [(whole[w],) if w in whole else next(made) if len(w) < LONG_WORD else self._replay_long(w) for w in words]
+
+    def _replay_long(self, word: bytes) -> tuple[int, ...]:
+        """Merges of one long word: its index is a heap of (rank, place), so that equal pairs of a word go from the left."""
+        pairs = self.pairs
+        symbol = [int(x) for x in self.by_byte[np.frombuffer(word, np.uint8)]]
+        n = len(symbol)
+        after, before = [*range(1, n), -1], list(range(-1, n - 1))
+        heap = [rank << 40 | i for i in range(n - 1) if (rank := pairs[symbol[i] << 32 | symbol[i + 1]]) >= 0]
+        heapify(heap)
+        while heap:
+            top = heappop(heap)
+            rank, i = top >> 40, top & ((1 << 40) - 1)
+            j = after[i]
+            if j < 0 or symbol[i] < 0 or pairs[symbol[i] << 32 | symbol[j]] != rank:
+                continue
+            symbol[i], symbol[j] = rank, -1
+            k = after[i] = after[j]
+            if k >= 0:
+                before[k] = i
+                if (made := pairs[rank << 32 | symbol[k]]) >= 0:
+                    heappush(heap, made << 40 | i)
+            if (p := before[i]) >= 0 and (made := pairs[symbol[p] << 32 | rank]) >= 0:
+                heappush(heap, made << 40 | p)
+        return tuple(x for x in symbol if x >= 0)
 
     def _replay(self, words: list[bytes]) -> list[tuple[int, ...]]:
         """Merges over the arena of all words. Its lists are arrays that both single steps and numpy see."""
