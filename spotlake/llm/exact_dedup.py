@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from .common import checkpointed, normal_space
 
 #: Bytes of the first digit, and how much wider each further digit is.
-FIRST_BYTES, WIDER = 64, 8
+FIRST_BYTES, WIDER = 256, 8
 
 
 def msd_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", first_bytes: int = FIRST_BYTES) -> DataFrame:
