@@ -154,7 +154,8 @@ def near_edges(fps: DataFrame, *, distance: int = DISTANCE, bands: int | None =
     pairs within ``distance`` connect. ``bands``: more of them make more trees with smaller leaves
     (distance + 1 serves some hundred million fingerprints, distance + 2 a hundred times as many)."""
     leaves = _leaves(fps, distance, bands or distance + 1)
-    sizes = leaves.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Written, so that a hot leaf can be split in the join.
+    sizes = checkpointed(leaves.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     blocks = F.ceil(F.col("n") / leaf_rows)
     dealt = leaves.join(sizes, "leaf").withColumns({"blocks": blocks.cast("int"), "block": F.pmod(F.xxhash64("fp", "leaf"), blocks).cast("int")})
     # Each row goes to the pairs of blocks that its own is in: one pair unless the leaf was split.
@@ -243,7 +244,7 @@ def near_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     nodes = checkpointed(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
     roots = components(near_edges(nodes.select("fp"), distance=distance, bands=bands))
     linked = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    least = linked.groupBy("root").agg(F.min("first").alias("component_id"))
+    least = checkpointed(linked.groupBy("root").agg(F.min("first").alias("component_id")))
     found = linked.join(least, "root").select("fp", "component_id")
     return prints.join(found, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
