@@ -298,6 +298,7 @@ def similar_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
             yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in made], ["named", "low", "high", "placed"])
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, before = None, 0  # the word that the batch before ended with, and its rows so far
         for batch in _whole_runs(batches, ("word",), 2 * LOOK_ROWS):
             word = batch.column("word").to_numpy()
             named, low, high, placed = (batch.column(k).to_numpy().view(np.uint64) for k in ("named", "low", "high", "placed"))
@@ -305,6 +306,11 @@ def similar_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
             x = {"size": (placed >> np.uint64(16) & np.uint64(MANY_WORDS)).astype(np.int64), "at": (placed & np.uint64(MANY_WORDS)).astype(np.int64), "before": placed >> np.uint64(32), "low": low, "high": high}
             run, length = _run_starts(word)
             live = np.isin(run, run[x["size"] == MANY_WORDS])  # too long to tell
+            total = length.copy()
+            if word[0] == last:  # the rest of a run that was cut: its partners may stand in the pieces before
+                total[run == 0] += before
+                live[run == 0] = True
+            last, before = word[-1], int(total[-1])
             for i, j in _near_pairs(run, length, SMALL_ROWS):
                 good = (one[i] != one[j]) & _possible(x, i, j, share)
                 live[i[good]] = live[j[good]] = True
@@ -317,10 +323,10 @@ def similar_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
                     part = rows_of[at : at + 256, None]
                     good = (one[part] != one[rows_of]) & _possible(x, part, rows_of[None, :], share)
                     live[rows_of[at : at + 256]] |= good.any(axis=1)
-            hot = np.unique(run[length > group_rows])
+            hot = np.unique(run[total > group_rows])
             key = np.concatenate([_key(word[live], one[live]), _key(np.zeros(int(live.sum()), np.int32), one[live])])
             key = np.unique(key & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)
-            made = (np.concatenate([key, word[hot].astype(np.int64) & ((1 << SPLIT_BITS) - 1)]), np.concatenate([np.zeros(len(key), np.int64), length[hot]]))
+            made = (np.concatenate([key, word[hot].astype(np.int64) & ((1 << SPLIT_BITS) - 1)]), np.concatenate([np.zeros(len(key), np.int64), total[hot]]))
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in made], ["cell", "rows"])
 
     # Four numbers a posting: word and signature, the bitmap, and word before, length and position.
