@@ -61,6 +61,24 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a number of each row, and that column's name. Written, so that a lost task can't draw other numbers."""
+    name = "_row"
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    return checkpointed(docs.withColumn(name, F.monotonically_increasing_id())), name
+
+
+def ranked_id(id_col: str, row: str) -> F.Column:
+    """An identifier of a row that orders by id, null ids last, and then by the row's number."""
+    return F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(row).alias("row"))
+
+
+def chosen_rows(docs: DataFrame, row: str, chosen: DataFrame) -> DataFrame:
+    """The numbered rows whose numbers are in ``chosen``, without the number."""
+    return docs.join(chosen.withColumnsRenamed({chosen.columns[0]: row}), row, "left_semi").drop(row)
+
+
 def normal_space(text) -> F.Column:
     """Each run of ASCII white space as one space; null as empty."""
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " ")

@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, normal_space
+from .common import checkpointed, chosen_rows, normal_space, numbered, ranked_id
 
 #: Bytes of the first digit, and how much wider each further digit is.
 FIRST_BYTES, WIDER = 256, 8
@@ -57,6 +57,8 @@ def msd_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
 
 
 def drop_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each group of equal texts (that of the smallest id), all columns kept."""
-    keep = msd_groups(docs, id_col=id_col, text_col=text_col).where("kept").select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(keep, id_col, "left_semi")
+    """``docs`` with one row of each group of equal texts (that of the smallest id; of repeated ids or null ones alone, any one),
+    all columns kept."""
+    rows, row = numbered(docs)
+    ranked = rows.select(ranked_id(id_col, row).alias("doc_id"), F.col(text_col).alias("text"))
+    return chosen_rows(rows, row, msd_groups(ranked).where("kept").select("doc_id.row")).select(*docs.columns)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, joined, text_blocks
+from .common import checkpointed, chosen_rows, joined, numbered, text_blocks
 
 LANGUAGES = ("en", "fr", "de", "es")
 #: Class of texts in none of the languages.
@@ -187,6 +187,7 @@ def identify(
 
 
 def keep_identified(docs: DataFrame, *, id_col: str = "doc_id", **how) -> DataFrame:
-    """``docs`` without the documents whose language is not accepted; all columns kept."""
-    keep = identify(docs, id_col=id_col, **how).where("accepted").select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(keep, id_col, "left_semi")
+    """``docs`` without the documents whose language is not accepted; all columns kept. Each row goes by its own
+    text, whether its id is null or repeated."""
+    rows, row = numbered(docs)
+    return chosen_rows(rows, row, identify(rows, id_col=row, **how).where("accepted").select("doc_id")).select(*docs.columns)

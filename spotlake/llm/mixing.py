@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, span_hashes, text_blocks, text_bytes, token_spans
+from .common import checkpointed, chosen_rows, numbered, span_hashes, text_blocks, text_bytes, token_spans
 
 LANGUAGES = ("en", "fr", "de", "es")
 #: Topics, cells of a word-count vector, and the expected number of documents that the topics are fitted on.
@@ -109,8 +109,9 @@ def mix(
     flatten: float = FLATTEN,
     keep: float = KEEP,
     seed: int = 17,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """doc_id, source, lang, topic, tokens, weight, probability and sampled of every row.
+    """doc_id, source, lang, topic, tokens, weight, probability and sampled of every row, and the columns ``carry``.
 
     weight is the raked factor of the document's cell: weighted tokens have the target shares,
     which are in proportion to the tokens of a source, language or topic to the power ``flatten``.
@@ -124,8 +125,8 @@ def mix(
     code = F.lit(len(languages))
     for k, name in enumerate(languages):
         code = F.when(F.col(lang_col) == name, k).otherwise(code)
-    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"), F.col(lang_col).cast("string").alias("lang"), code.cast("int").alias("language"))
-    rows = checkpointed(topic_features(base, id_col="doc_id", text_col="text", keep=("source", "lang", "language"), topics=topics))
+    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"), F.col(lang_col).cast("string").alias("lang"), code.cast("int").alias("language"), *carry)
+    rows = checkpointed(topic_features(base, id_col="doc_id", text_col="text", keep=("source", "lang", "language", *carry), topics=topics))
 
     cell = F.col("language") * topics + F.col("topic")
     own = F.array(*[F.sum(F.when(cell == k, F.col("tokens")).otherwise(0)).cast("double") for k in range(width)])
@@ -181,7 +182,7 @@ def mix(
     chance = F.least(F.lit(1.0), weight * F.lit(scale))
     out = rows.join(factors.select("source", "factors"), "source")
     out = out.withColumns({"weight": weight, "probability": F.round(chance, 9)})
-    return out.select("doc_id", "source", "lang", "topic", "tokens", "weight", "probability", (unit_hash("doc_id", seed) < F.col("probability")).alias("sampled"))
+    return out.select("doc_id", "source", "lang", "topic", "tokens", "weight", "probability", (unit_hash("doc_id", seed) < F.col("probability")).alias("sampled"), *carry)
 
 
 def _scale(factors: DataFrame, keep: float, total: float) -> float:
@@ -205,6 +206,7 @@ def _scale(factors: DataFrame, keep: float, total: float) -> float:
 
 
 def sample_mix(docs: DataFrame, *, id_col: str = "doc_id", **how) -> DataFrame:
-    """``docs`` without the documents that the mix doesn't sample; all columns kept."""
-    chosen = mix(docs, id_col=id_col, **how).where("sampled").select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(chosen, id_col, "left_semi")
+    """``docs`` without the documents that the mix doesn't sample; all columns kept. Each row goes by the probability
+    of its own cell; rows that repeat an id (or have none) share their hash alone."""
+    rows, row = numbered(docs)
+    return chosen_rows(rows, row, mix(rows, id_col=id_col, carry=(row,), **how).where("sampled").select(row)).select(*docs.columns)

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, text_blocks, text_bytes
+from .common import checkpointed, chosen_rows, numbered, ranked_id, text_blocks, text_bytes
 
 #: Fingerprints link at this many differing bits or fewer; words in a shingle; seed of XXH64.
 DISTANCE, SHINGLE_WORDS, SEED = 4, 4, 42
@@ -250,6 +250,8 @@ def near_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
 
 def drop_near_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """``docs`` with one document of each component (that of the smallest id), all columns kept."""
-    keep = near_groups(docs, id_col=id_col, text_col=text_col, **how).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(keep, id_col, "left_semi")
+    """``docs`` with one row of each component (that of the smallest id; of repeated ids or null ones alone, any one), all columns kept."""
+    rows, row = numbered(docs)
+    ranked = rows.select(ranked_id(id_col, row).alias("doc_id"), F.col(text_col).alias("text"))
+    keep = near_groups(ranked, **how).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id.row")
+    return chosen_rows(rows, row, keep).select(*docs.columns)

@@ -2,9 +2,7 @@
 
 import random
 
-import pytest
-from pyspark.sql import functions as F
-from spotlake.llm import lines
+from spotlake.llm import exact_dedup, langid, lines, mixing, simhash
 from test_operators import brute_lines
 
 
@@ -26,3 +24,39 @@ def test_line_dedup_of_a_cut_run(spark, monkeypatch):
             assert got == brute_lines(rows)
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+
+
+# --- rows with null and repeated ids
+
+ENGLISH = "the house of the man and the dog is with them and the child of the woman is in the garden"
+OTHER = "das haus und der hund ist mit dem mann und nicht mit der frau in dem garten und das kind auch"
+
+
+def stored(spark, rows):
+    return spark.createDataFrame([(i, t, "en", "s", k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, lang string, source string, row int")
+
+
+def test_identified_rows_go_by_their_own_text(spark):
+    rows = [(None, ENGLISH), (1, ENGLISH), (1, "12 34 56"), (None, ""), (2, None), (2, ENGLISH)]
+    assert {r.row for r in langid.keep_identified(stored(spark, rows)).collect()} == {0, 1, 5}
+
+
+def test_one_row_of_each_group_stays(spark):
+    rows = [(None, ENGLISH), (None, ENGLISH), (1, OTHER), (1, OTHER), (1, "x y z"), (0, "x  y z"), (3, "q"), (None, "q")]
+    df = stored(spark, rows)
+    for drop in (exact_dedup.drop_copies, simhash.drop_near_copies):
+        got = drop(df)
+        assert got.columns == df.columns
+        kept = {r.row for r in got.collect()}
+        assert len(kept) == 4 and len(kept & {0, 1}) == 1 and len(kept & {2, 3}) == 1 and kept & {4, 5, 6, 7} == {5, 6}, drop
+
+
+def test_sampled_rows_go_by_their_own_cell(spark):
+    """One id on rows of two sources, of which the large one is thinned; and no id on others."""
+    rows = [(k, " ".join([f"w{k}"] * 200), "en", "large", k) for k in range(60)] + [(k, f"u{k}", "en", "small", 100 + k) for k in range(60)]
+    rows += [(None, "a b", "en", "small", 300), (None, "c d", "en", "small", 301)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, row int")
+    sampled = {r.row for r in mixing.mix(df, topics=1, keep=0.5, carry=("row",)).where("sampled").collect()}
+    got = [r.row for r in mixing.sample_mix(df, topics=1, keep=0.5).collect()]
+    assert sorted(got) == sorted(sampled)
+    assert {300, 301} <= sampled and 0 < len([k for k in sampled if k < 100]) < 60
