@@ -6,8 +6,9 @@ probability per cell, and a hash of the document decides against it.
 
 Languages and topics are few, so a source is one row with a small matrix of tokens, and a
 sweep is one aggregate over the sources that returns such a matrix; the table of sources stays
-distributed. Topics come from a small k-means model of hashed word counts, fitted on a sample
-of a documented size; every document is assigned by its whole text.
+distributed. Topics come from a small k-means model of hashed word counts, fitted on all
+documents: their vectors are written once, and a sweep hands back a sum per centroid. Vectors and
+centroids are whole numbers, so that sums are the same in whatever order they are taken.
 """
 
 from __future__ import annotations
@@ -22,8 +23,10 @@ from pyspark.sql import functions as F
 from .common import checkpointed, chosen_rows, numbered, span_hashes, text_blocks, text_bytes, token_spans
 
 LANGUAGES = ("en", "fr", "de", "es")
-#: Topics, cells of a word-count vector, and the expected number of documents that the topics are fitted on.
-TOPICS, CELLS, SAMPLE_DOCS = 8, 256, 4000
+#: Topics, cells of a word-count vector, and the most sweeps of k-means.
+TOPICS, CELLS, TOPIC_SWEEPS = 8, 256, 20
+#: Length of a vector and of a centroid. All products and their sums stay below 2**53: they are exact as floats.
+VECTOR_ONE, CENTROID_ONE = 1 << 23, 1 << 20
 #: A target share is in proportion to the tokens to this power.
 FLATTEN = 0.7
 #: Share of the tokens to keep.
@@ -48,43 +51,85 @@ def _vectors(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.bincount(row, minlength=n), counts
 
 
-def fit_topics(sample: np.ndarray, topics: int) -> np.ndarray:
-    """Centroids of spherical k-means, from vectors in a fixed order; zeros where there are too few vectors."""
-    out = np.zeros((topics, CELLS), np.float32)
-    if not len(sample):
+def _pack(vectors: np.ndarray) -> pa.Array:
+    """Of each vector the cells that are not 0, four bytes each: the cell and the value times ``VECTOR_ONE``."""
+    value = np.rint(vectors.astype(np.float64) * VECTOR_ONE).astype(np.uint32)
+    row, cell = np.nonzero(value)
+    entries = value[row, cell] << np.uint32(8) | cell.astype(np.uint32)
+    ends = np.searchsorted(row, np.arange(len(vectors) + 1)).astype(np.int32) * 4
+    return pa.Array.from_buffers(pa.binary(), len(vectors), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(entries.tobytes())])
+
+
+def _unpack(packed: list[bytes]) -> np.ndarray:
+    entries = np.frombuffer(b"".join(packed), np.uint32)
+    out = np.zeros((len(packed), CELLS))
+    out[np.repeat(np.arange(len(packed)), [len(x) // 4 for x in packed]), entries & np.uint32(CELLS - 1)] = entries >> np.uint32(8)
+    return out
+
+
+def _centroids(sums: np.ndarray) -> np.ndarray:
+    """Sums brought to the length ``CENTROID_ONE``, in whole numbers."""
+    sums = sums.astype(np.float64)
+    return np.rint(sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9) * CENTROID_ONE)
+
+
+def fit_topics(vectors: DataFrame, topics: int) -> np.ndarray:
+    """Centroids of spherical k-means over all rows of ``vectors`` (order, vector); zeros where there are too few of them.
+
+    The first centroids are the vectors of the smallest numbers ``order``. The driver gets ``topics`` vectors at the
+    start, and ``topics`` x ``CELLS`` sums a sweep; sweeps end when no centroid changes."""
+    out = np.zeros((topics, CELLS))
+    first = vectors.where(F.length("vector") > 0).groupBy("order").agg(F.min("vector").alias("vector")).orderBy("order").limit(topics).collect()
+    if not first:
         return out
-    at = sample[np.random.default_rng(5).choice(len(sample), min(topics, len(sample)), replace=False)]
-    for _ in range(20):
-        own = np.argmax(sample @ at.T, axis=1)
-        at = np.array([sample[own == k].sum(axis=0) if (own == k).any() else at[k] for k in range(len(at))])
-        at /= np.maximum(np.linalg.norm(at, axis=1, keepdims=True), 1e-9)
+    at = _centroids(_unpack([bytes(r["vector"]) for r in first]))
+    for _ in range(TOPIC_SWEEPS):
+
+        def add(batches: Iterator[pa.RecordBatch], at: np.ndarray = at) -> Iterator[pa.RecordBatch]:
+            sums = np.zeros((len(at), CELLS), np.int64)
+            for batch in batches:
+                packed = text_bytes(batch.column("vector"))
+                for k in range(0, len(packed), 4096):
+                    made = _unpack(packed[k : k + 4096])
+                    own = np.argmax(made @ at.T, axis=1)
+                    for c in range(len(at)):
+                        sums[c] += made[own == c].sum(axis=0).astype(np.int64)
+            topic, cell = np.nonzero(sums)
+            yield pa.RecordBatch.from_arrays([pa.array(topic.astype(np.int32)), pa.array(cell.astype(np.int32)), pa.array(sums[topic, cell])], ["topic", "cell", "n"])
+
+        got = vectors.select("vector").mapInArrow(add, "topic int, cell int, n long").groupBy("topic", "cell").agg(F.sum("n").alias("n")).toArrow()
+        sums = np.zeros((len(at), CELLS), np.int64)
+        sums[got["topic"].to_numpy(), got["cell"].to_numpy()] = got["n"].to_numpy()
+        after = np.where(sums.any(axis=1)[:, None], _centroids(sums), at)
+        if (after == at).all():
+            break
+        at = after
     out[: len(at)] = at
     return out
 
 
-def topic_features(docs: DataFrame, *, id_col: str, text_col: str, keep: tuple[str, ...], topics: int = TOPICS, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
+def topic_features(docs: DataFrame, *, id_col: str, text_col: str, keep: tuple[str, ...], topics: int = TOPICS) -> DataFrame:
     """doc_id, the columns ``keep``, tokens (words of the whole text) and topic."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), *keep, F.col(text_col).alias("text"))
-    share = sample_docs / max(1, rows.count())
-    chosen = rows.where(unit_hash("doc_id", 7) < share).select(F.xxhash64("doc_id", "text").alias("order"), "text")
+    rows = docs.select(F.col(id_col).alias("doc_id"), *keep, F.xxhash64(text_col).alias("order"), F.col(text_col).alias("text"))
+    names = ["doc_id", *keep]
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in names)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in text_blocks(batches, "text", 1 << 20):
-            made = _vectors(block.column("text"))[1]
-            yield pa.RecordBatch.from_arrays([block.column("order"), pa.array([v.tobytes() for v in made], pa.binary())], ["order", "vector"])
+            tokens, made = _vectors(block.column("text"))
+            yield pa.RecordBatch.from_arrays([*(block.column(c) for c in names), pa.array(tokens), block.column("order"), _pack(made)], [*names, "tokens", "order", "vector"])
 
-    sample = sorted((r["order"], bytes(r["vector"])) for r in chosen.mapInArrow(vectors, "order long, vector binary").collect())
-    model = docs.sparkSession.sparkContext.broadcast(fit_topics(np.array([np.frombuffer(v, np.float32) for _, v in sample]), topics))
+    written = checkpointed(rows.mapInArrow(vectors, f"{kinds}, tokens long, order long, vector binary"))
+    model = docs.sparkSession.sparkContext.broadcast(fit_topics(written.select("order", "vector"), topics))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in text_blocks(batches, "text", 1 << 20):
-            tokens, made = _vectors(block.column("text"))
-            topic = np.argmax(np.round(made @ model.value.T, 4), axis=1).astype(np.int32)
-            names = ["doc_id", *keep]
-            yield pa.RecordBatch.from_arrays([*(block.column(c) for c in names), pa.array(tokens), pa.array(topic)], [*names, "tokens", "topic"])
+        for batch in batches:
+            packed = text_bytes(batch.column("vector"))
+            own = [np.argmax(_unpack(packed[k : k + 4096]) @ model.value.T, axis=1) for k in range(0, len(packed), 4096)]
+            topic = np.concatenate([np.zeros(0, np.int64), *own]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), batch.column("tokens"), pa.array(topic)], [*names, "tokens", "topic"])
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
-    return rows.mapInArrow(assign, f"{kinds}, tokens long, topic int")
+    return written.drop("order").mapInArrow(assign, f"{kinds}, tokens long, topic int")
 
 
 def unit_hash(column, seed: int) -> F.Column:

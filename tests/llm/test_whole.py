@@ -2,6 +2,9 @@
 
 import random
 
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
 from spotlake.llm import exact_dedup, langid, lines, mixing, simhash
 from test_operators import brute_lines
 
@@ -60,3 +63,25 @@ def test_sampled_rows_go_by_their_own_cell(spark):
     got = [r.row for r in mixing.sample_mix(df, topics=1, keep=0.5).collect()]
     assert sorted(got) == sorted(sampled)
     assert {300, 301} <= sampled and 0 < len([k for k in sampled if k < 100]) < 60
+
+
+# --- op10
+
+
+def test_topics_are_fitted_on_all_documents(spark):
+    """k-means over far more documents than the 4,000 that it was once fitted on, by numpy on one machine."""
+    r = random.Random(3)
+    texts = [" ".join(r.choice("abcdefghijklmnopqrst") * r.randrange(1, 4) for _ in range(r.randrange(8))) for _ in range(12_000)]
+    df = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string").select("*", F.monotonically_increasing_id().alias("row"), F.xxhash64("text").alias("order"))
+    at_rows = [(x.row, x.text, x.order) for x in df.collect()]
+    made = np.rint(mixing._vectors(pa.array([t for _, t, _ in at_rows]))[1].astype(float) * mixing.VECTOR_ONE)
+    seeds = {o: v for (_, t, o), v in zip(at_rows, made, strict=True) if t}
+    at = mixing._centroids(np.array([seeds[o] for o in sorted(seeds)[:8]]))
+    for _ in range(mixing.TOPIC_SWEEPS):
+        own = np.argmax(made @ at.T, axis=1)
+        at = np.array([mixing._centroids(made[own == k].sum(axis=0)[None, :])[0] if made[own == k].any() else at[k] for k in range(8)])
+    want = dict(zip([k for k, _, _ in at_rows], np.argmax(made @ at.T, axis=1).tolist(), strict=True))
+    for parts in (2, 7):
+        got = mixing.topic_features(df.repartition(parts), id_col="row", text_col="text", keep=())
+        assert {x.doc_id: x.topic for x in got.collect()} == want
+    assert len(set(want.values())) == 8
