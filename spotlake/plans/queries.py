@@ -557,6 +557,13 @@ def overlapping_windows(spark, sf_dir):
     return live.dedupe_stream(rows.unionAll(rows), ["day_no", "hour", "kp"])
 
 
+@register("select distinct day_no, hour, kp from solar_versions", "solar_versions")
+def overlapping_windows_whole(spark, sf_dir):
+    """All versions, in two windows of hours that overlap."""
+    rows = view(spark, sf_dir, "solar_versions").select("day_no", "hour", "kp")
+    return live.dedupe_stream(rows.where("hour < 15").unionAll(rows.where("hour >= 9")), ["day_no", "hour", "kp"])
+
+
 _LATEST = "latest as (select file_path, arg_max(file_size, loaded_seq) as was_size from ingest_log group by file_path)"
 
 
@@ -651,6 +658,19 @@ def archive_month_gaps(spark, sf_dir):
     return catalog.missing_months(present, "1990-01-01", "2001-12-01")
 
 
+@register("select d::date as day from unnest(generate_series(timestamp '1990-01-01', timestamp '2001-12-31', interval 1 day)) x(d) where d::date not in (select o_orderdate::date from orders)")
+def archive_gaps_whole(spark, sf_dir):
+    """Gaps of all orders, in a calendar that reaches beyond them."""
+    present = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.to_date("o_orderdate").alias("day"))
+    return catalog.missing_days(present, "1990-01-01", "2001-12-31")
+
+
+@register("select d::date as day from unnest(generate_series(timestamp '1990-01-01', timestamp '2001-12-01', interval 1 month)) x(d) where d::date not in (select date_trunc('month', o_orderdate)::date from orders)")
+def archive_month_gaps_whole(spark, sf_dir):
+    present = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.to_date("o_orderdate").alias("day"))
+    return catalog.missing_months(present, "1990-01-01", "2001-12-01")
+
+
 @register("""with c as (select s_name as contest, 2005 + s_suppkey % 10 as lo, 2016 + s_suppkey % 10 as hi, case when s_suppkey % 3 = 0 then [''] else ['ph', 'cw'] end as modes from supplier), y as (select contest, unnest(range(lo, hi + 1)) as year, modes from c),
   m as (select contest, year, unnest(modes) as mode from y) select contest, year, mode, year::varchar || mode as subdir from m""")
 def download_work(spark, sf_dir):
