@@ -3,8 +3,7 @@
 import pytest
 from spotlake.plans.queries import ORACLE_SQL, QUERIES
 
-from oracle import check
-from conftest import SF
+from oracle import SF, check
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

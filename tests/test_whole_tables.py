@@ -2,7 +2,7 @@
 
 import datetime
 
-from conftest import SF
+from oracle import SF
 from spotlake.plans.queries import QUERIES
 from spotlake.plans.views import view
 
