@@ -43,7 +43,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, ids (the tokens), and the digests of the ids and of what they decode to."""
     path = public_tokenizers.path(RANKS)
-    return digests(bpe_encode(docs, path, public_tokenizers.PATTERN, keep=("lang", "source")), path, "lang", "source", "ids")
+    return digests(bpe_encode(docs, path, public_tokenizers.PATTERN, keep=("lang", "source"), decode=True), "lang", "source", "ids")
 
 
 STAGES = [

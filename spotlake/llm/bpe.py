@@ -2,39 +2,43 @@
 
 Documents stay where they are. A task takes its documents in blocks; the distinct words of
 a block that it hasn't met form the block's corpus. All symbols of that corpus lie in one
-arena of linked lists, an inverted index maps each applicable token pair (by its rank) to
-the positions where it stands, and the merges are replayed over the whole corpus in rank
-order: one index entry at a time, touching only the two neighbours of each merge.
+arena of linked lists, and an inverted index maps each applicable token pair (by its rank)
+to the positions where it stands. The merges are replayed over the whole corpus in rank
+order, touching only the two neighbours of each merge. Words don't see each other, so the
+index is read in slices of neighbouring ranks: a step takes the least pair of each word
+that has one in the slice, and within a word the order of ranks is strict.
 """
 
 from __future__ import annotations
 
 import base64
-import gc
 import re
-from array import array
 from collections.abc import Callable, Iterator
+from functools import cached_property
 from heapq import heapify, heappop, heappush
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import text_blocks
 
-#: Words whose ids a worker remembers; beyond that it starts afresh.
-MEMO_WORDS = 400_000
-#: Index entries of so many places are merged in numpy.
-MANY_PLACES = 24
+#: Words that a task remembers with their ids, and bytes of them; beyond either it starts afresh.
+MEMO_WORDS, MEMO_BYTES = 400_000, 32 << 20
+#: Ranks of a slice of the index, as a power of two.
+SLICE_BITS = 8
 #: Words of so many bytes are replayed by themselves.
-LONG_WORD = 1000
+LONG_WORD = 100
 #: Bytes of text whose new words make one arena.
-ARENA_BYTES = 8 << 20
-#: Token pairs whose ranks a worker remembers.
-MEMO_PAIRS = 2_000_000
+ARENA_BYTES = 4 << 20
+#: Ids that are decoded at once, or one row's.
+DECODE_IDS = 1 << 20
+#: Texts of so many characters are split piece by piece, into so many words at a time.
+LONG_TEXT, PIECE_WORDS = 4_000_000, 200_000
 
 
 def word_pattern(pattern: str) -> regex.Pattern:
@@ -49,16 +53,25 @@ def _members(property_class: str, limit: int = 0x250) -> str:
     return "".join(re.escape(chr(c)) for c in range(limit) if is_member(chr(c)))
 
 
-def splitter(pattern: str) -> Callable[[str], list[str]]:
-    """Splits a text by the pattern. Texts of Latin letters take the standard library's ``re``, in whose
-    dialect the pattern's classes are spelt out up to U+024F; the others take ``regex``."""
-    slow = word_pattern(pattern).findall
+def splitter(pattern: str) -> Callable[[str], Iterator[list[str]]]:
+    """Splits a text by the pattern, into one list or, a very long text, into several. Texts of Latin letters take the
+    standard library's ``re``, in whose dialect the pattern's classes are spelt out up to U+024F; the others take ``regex``."""
+    slow = word_pattern(pattern)
     letters, numbers, spaces = _members(r"\p{L}"), _members(r"\p{N}"), _members(r"\p{White_Space}")
     spelt = pattern.replace(r"[^\s\p{L}\p{N}]", f"[^{spaces}{letters}{numbers}]").replace(r"\p{L}", f"[{letters}]").replace(r"\p{N}", f"[{numbers}]").replace(r"\s", f"[{spaces}]").replace(r"\S", f"[^{spaces}]")
-    if re.search(r"\\[pPwWdDbBX]", spelt):
-        return slow
-    fast, other = re.compile(spelt).findall, re.compile("[^\0-\u024f]").search
-    return lambda text: slow(text) if other(text) else fast(text)
+    fast = slow if re.search(r"\\[pPwWdDbBX]", spelt) else re.compile(spelt)
+    other = re.compile("[^\0-\u024f]").search
+
+    def split(text: str) -> Iterator[list[str]]:
+        how = slow if other(text) else fast
+        if len(text) < LONG_TEXT:
+            yield how.findall(text)
+            return
+        found = how.finditer(text)
+        while piece := [m[0] for m in islice(found, PIECE_WORDS)]:
+            yield piece
+
+    return split
 
 
 def read_ranks(lines: list[str]) -> list[bytes]:
@@ -70,182 +83,218 @@ def read_ranks(lines: list[str]) -> list[bytes]:
     return tokens
 
 
-class _PairRanks(dict):
-    """Rank of the token that two ids make together, or -1; filled as it is asked."""
-
-    def __init__(self, tokens: list[bytes], ranks: dict[bytes, int]):
-        self.tokens, self.ranks = tokens, ranks
-
-    def __missing__(self, key: int) -> int:
-        if len(self) > MEMO_PAIRS:
-            self.clear()
-        out = self[key] = self.ranks.get(self.tokens[key >> 32] + self.tokens[key & 0xFFFFFFFF], -1)
-        return out
-
-
-class MergeReplay:
-    """Encoder of words; ids are ranks."""
+class Vocabulary:
+    """A fixed list of tokens, as arrays: what encoder and decoder share. Its size doesn't depend on the corpus."""
 
     def __init__(self, tokens: list[bytes]):
-        self.tokens = tokens
-        self.ranks = {t: i for i, t in enumerate(tokens)}
-        self.by_byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
-        self.by_pair = np.array([[self.ranks.get(bytes([a, b]), -1) for b in range(256)] for a in range(256)], np.int32)
-        self.pairs = _PairRanks(tokens, self.ranks)
-
-    def encode(self, words: list[bytes]) -> list[tuple[int, ...]]:
-        """Ids of each word: its own rank if it is a token, else what the merges leave of it."""
-        whole = self.ranks
-        rest = [w for w in words if w not in whole and len(w) < LONG_WORD]
-        made = iter(self._replay(rest))
-        return [(whole[w],) if w in whole else next(made) if len(w) < LONG_WORD else self._replay_long(w) for w in words]
-
-    def _replay_long(self, word: bytes) -> tuple[int, ...]:
-        """Merges of one long word: its index is a heap of (rank, place), so that equal pairs of a word go from the left."""
-        pairs = self.pairs
-        symbol = [int(x) for x in self.by_byte[np.frombuffer(word, np.uint8)]]
-        n = len(symbol)
-        after, before = [*range(1, n), -1], list(range(-1, n - 1))
-        heap = [rank << 40 | i for i in range(n - 1) if (rank := pairs[symbol[i] << 32 | symbol[i + 1]]) >= 0]
-        heapify(heap)
-        while heap:
-            top = heappop(heap)
-            rank, i = top >> 40, top & ((1 << 40) - 1)
-            j = after[i]
-            if j < 0 or symbol[i] < 0 or pairs[symbol[i] << 32 | symbol[j]] != rank:
-                continue
-            symbol[i], symbol[j] = rank, -1
-            k = after[i] = after[j]
-            if k >= 0:
-                before[k] = i
-                if (made := pairs[rank << 32 | symbol[k]]) >= 0:
-                    heappush(heap, made << 40 | i)
-            if (p := before[i]) >= 0 and (made := pairs[symbol[p] << 32 | rank]) >= 0:
-                heappush(heap, made << 40 | p)
-        return tuple(x for x in symbol if x >= 0)
-
-    def _replay(self, words: list[bytes]) -> list[tuple[int, ...]]:
-        """Merges over the arena of all words. Its lists are arrays that both single steps and numpy see."""
-        joined = b"".join(words)
-        size = len(joined)
-        if not size:
-            return [()] * len(words)
-        data = np.frombuffer(joined, np.uint8)
-        lengths = np.array([len(w) for w in words])
-        word = np.repeat(np.arange(len(words), dtype=np.int32), lengths)
-        symbol, after, before, rank_at = (array("i", bytes(4 * size)) for _ in range(4))
-        symbols, afters, befores, ranks_at = (np.frombuffer(x, np.int32) for x in (symbol, after, before, rank_at))
-        symbols[:] = self.by_byte[data]
-        last = np.append(word[1:] != word[:-1], True)
-        afters[:] = np.where(last, -1, np.arange(1, size + 1))
-        befores[:] = np.where(np.append(True, last[:-1]), -1, np.arange(-1, size - 1))
-        ranks_at[:-1] = np.where(last[:-1], -1, self.by_pair[data[:-1], data[1:]])
-        ranks_at[-1] = -1
-        index: dict[int, list[int]] = {}
-        heap: list[int] = []
-
-        def add(places: np.ndarray, made: np.ndarray) -> None:
-            """Put places into the index entries of their pairs' ranks."""
-            good = made >= 0
-            places, made = places[good], made[good]
-            if not len(made):
-                return
-            order = np.argsort(made, kind="stable")
-            places, made = places[order].tolist(), made[order]
-            cuts = (np.flatnonzero(made[1:] != made[:-1]) + 1).tolist()
-            for a, b in zip([0, *cuts], [*cuts, len(places)], strict=True):
-                rank = int(made[a])
-                if rank in index:
-                    index[rank] += places[a:b]
+        self.joined = np.frombuffer(b"".join(tokens), np.uint8)
+        self.starts = np.zeros(len(tokens) + 1, np.int64)
+        np.cumsum([len(t) for t in tokens], out=self.starts[1:])
+        ranks = {t: i for i, t in enumerate(tokens)}
+        self.by_byte = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
+        # Each way to cut a token into two tokens: the pairs that have a rank, and no others.
+        made = [(a << 32 | b, i) for i, t in enumerate(tokens) for k in range(1, len(t)) if (a := ranks.get(t[:k], -1)) >= 0 and (b := ranks.get(t[k:], -1)) >= 0]
+        made.sort()
+        self.pair_keys = np.array([k for k, _ in made] or [-1], np.int64)
+        self.pair_ranks = np.array([r for _, r in made] or [-1], np.int32)
+
+    @cached_property
+    def ranks(self) -> dict[bytes, int]:
+        """Rank of each token."""
+        joined, starts = self.joined.tobytes(), self.starts.tolist()
+        return {joined[a:b]: i for i, (a, b) in enumerate(zip(starts, starts[1:]))}
+
+    @cached_property
+    def pairs(self) -> dict[int, int]:
+        """Rank of each pair that has one."""
+        return dict(zip(self.pair_keys.tolist(), self.pair_ranks.tolist(), strict=True))
+
+    def rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of the token that two make together, or -1."""
+        keys = left.astype(np.int64) << 32 | right
+        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], np.int32(-1))
+
+    def decode(self, ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of all ids, and the number of bytes of each run of ``sizes`` ids."""
+        starts, counts = self.starts[ids], self.starts[ids + 1] - self.starts[ids]
+        ends = np.cumsum(counts)
+        places = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - (ends - counts), counts)
+        edges = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(sizes)])]
+        return self.joined[places], np.diff(edges)
+
+
+def replay(words: list[bytes], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all words in one array, and how many each has: a word's own rank if it is a token, else what the merges leave of it."""
+    own = np.fromiter((vocabulary.ranks.get(w, -1) for w in words), np.int32, len(words))
+    length = np.fromiter(map(len, words), np.int64, len(words))
+    token, short = own >= 0, (own < 0) & (length < LONG_WORD)
+    long = ~token & ~short
+    ids, sizes = _replay_short([words[k] for k in np.flatnonzero(short).tolist()], vocabulary)
+    parts = [_replay_long(words[k], vocabulary) for k in np.flatnonzero(long).tolist()]
+    all_sizes = np.ones(len(words), np.int64)
+    all_sizes[short], all_sizes[long] = sizes, [len(p) for p in parts]
+    out = np.empty(int(all_sizes.sum()), np.int32)
+    out[np.repeat(short, all_sizes)] = ids
+    out[np.repeat(token, all_sizes)] = own[token]
+    out[np.repeat(long, all_sizes)] = np.fromiter(chain.from_iterable(parts), np.int32)
+    return out, all_sizes
+
+
+def _replay_long(word: bytes, vocabulary: Vocabulary) -> list[int]:
+    """Merges of one long word: its index is a heap of (rank, place), so that equal pairs of a word go from the left."""
+    pair = vocabulary.pairs.get
+    symbol = vocabulary.by_byte[np.frombuffer(word, np.uint8)].tolist()
+    n = len(symbol)
+    after, before = [*range(1, n), -1], list(range(-1, n - 1))
+    heap = [rank << 40 | i for i in range(n - 1) if (rank := pair(symbol[i] << 32 | symbol[i + 1], -1)) >= 0]
+    heapify(heap)
+    while heap:
+        top = heappop(heap)
+        rank, i = top >> 40, top & ((1 << 40) - 1)
+        j = after[i]
+        if j < 0 or symbol[i] < 0 or pair(symbol[i] << 32 | symbol[j], -1) != rank:
+            continue
+        symbol[i], symbol[j] = rank, -1
+        k = after[i] = after[j]
+        if k >= 0:
+            before[k] = i
+            if (made := pair(rank << 32 | symbol[k], -1)) >= 0:
+                heappush(heap, made << 40 | i)
+        if (p := before[i]) >= 0 and (made := pair(symbol[p] << 32 | rank, -1)) >= 0:
+            heappush(heap, made << 40 | p)
+    return [x for x in symbol if x >= 0]
+
+
+def _distinct(places: np.ndarray) -> np.ndarray:
+    """Places in order, each once."""
+    places = np.sort(places)
+    return places[np.append(True, places[1:] != places[:-1])] if len(places) else places
+
+
+def _replay_short(words: list[bytes], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """Merges over the arena of all words."""
+    data = np.frombuffer(b"".join(words), np.uint8)
+    size = len(data)
+    if not size:
+        return np.zeros(0, np.int32), np.zeros(len(words), np.int64)
+    word = np.repeat(np.arange(len(words), dtype=np.int32), [len(w) for w in words])
+    symbol, place = vocabulary.by_byte[data], np.arange(size, dtype=np.int32)
+    last = np.append(word[1:] != word[:-1], True)
+    after = np.where(last, np.int32(-1), place + 1)
+    before = np.where(np.append(True, last[:-1]), np.int32(-1), place - 1)
+    # Rank of the pair that starts at a place, or -1.
+    by_pair = vocabulary.rank_of(*(vocabulary.by_byte[x] for x in np.divmod(np.arange(1 << 16), 256)))
+    rank_at = np.where(last, np.int32(-1), by_pair[data.astype(np.int32) << 8 | np.append(data[1:], np.uint8(0))])
+    index: dict[int, list[np.ndarray]] = {}
+    heap: list[int] = []
+
+    def add(places: np.ndarray) -> None:
+        """Put places into the index entries of their pairs' ranks."""
+        slices = (rank_at[places] >> SLICE_BITS).astype(np.uint16)
+        order = np.argsort(slices, kind="stable")
+        places, slices = places[order], slices[order]
+        cuts = [0, *(np.flatnonzero(slices[1:] != slices[:-1]) + 1).tolist(), len(places)]
+        for a, b in zip(cuts, cuts[1:]):
+            if a < b:
+                at = int(slices[a])
+                if at in index:
+                    index[at].append(places[a:b])
                 else:
-                    index[rank] = places[a:b]
-                    heappush(heap, rank)
-
-        def partners(left, right) -> np.ndarray:
-            """Ranks of the pairs of one symbol and many."""
-            many = left if isinstance(left, np.ndarray) else right
-            distinct, where = np.unique(many, return_inverse=True)
-            keys = [x << 32 | right for x in distinct.tolist()] if many is left else [left << 32 | x for x in distinct.tolist()]
-            return np.array([pairs[k] for k in keys], np.int32)[where]
-
-        pairs = self.pairs
-        add(np.arange(size), ranks_at)
-        while heap:
-            rank = heappop(heap)
-            places = index.pop(rank, None)
-            if places is None:
-                continue
-            if len(places) >= MANY_PLACES:
-                i = np.unique(np.array(places, np.int32))
-                i = i[ranks_at[i] == rank]  # else another merge has taken a side meanwhile
-                if not len(i):
-                    continue
-                # The first place of each word; a word's further ones wait, as a pair of lower rank may come up.
-                first = np.append(True, word[i[1:]] != word[i[:-1]])
-                if not first.all():
-                    index[rank] = i[~first].tolist()
-                    heappush(heap, rank)
-                    i = i[first]
-                j = afters[i]
-                n, p = afters[j], befores[i]
-                symbols[i], afters[i], ranks_at[j] = rank, n, -1
-                follows, leads = n >= 0, p >= 0
-                befores[n[follows]] = i[follows]
-                made = np.full(len(i), -1, np.int32)
-                if follows.any():
-                    made[follows] = partners(rank, symbols[n[follows]])
-                ranks_at[i] = made
-                add(i, made)
-                if leads.any():
-                    p = p[leads]
-                    made = partners(symbols[p], rank)
-                    ranks_at[p] = made
-                    add(p, made)
-                continue
-            places.sort()
-            for k, i in enumerate(places):
-                if rank_at[i] != rank:
-                    continue
-                j = after[i]
-                n = after[j]
-                symbol[i], after[i], rank_at[j] = rank, n, -1
-                made = -1
-                lower = False
-                if n >= 0:
-                    before[n] = i
-                    if (made := pairs[rank << 32 | symbol[n]]) >= 0:
-                        if made in index:
-                            index[made].append(i)
-                        else:
-                            index[made] = [i]
-                            heappush(heap, made)
-                        lower = made < rank
-                rank_at[i] = made
-                if (p := before[i]) >= 0:
-                    made = rank_at[p] = pairs[symbol[p] << 32 | rank]
-                    if made >= 0:
-                        if made in index:
-                            index[made].append(p)
-                        else:
-                            index[made] = [p]
-                            heappush(heap, made)
-                        lower = lower or made < rank
-                if lower:  # a pair of lower rank has come up: it goes first
-                    if rest := places[k + 1 :]:
-                        index[rank] = rest
-                        heappush(heap, rank)
-                    break
-        # What is left of the lists, word by word: a symbol that was taken has no one before it that leads to it.
-        alive = np.zeros(size, bool)
-        starts = np.cumsum(lengths) - lengths
-        at = starts[lengths > 0]
-        while len(at):
-            alive[at] = True
-            at = afters[at]
-            at = at[at >= 0]
-        ids = symbols[alive].tolist()
-        ends = np.cumsum(np.bincount(word[alive], minlength=len(words))).tolist()
-        return [tuple(ids[a:b]) for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+                    index[at] = [places[a:b]]
+                    heappush(heap, at)
+
+    add(place[rank_at >= 0])
+    while heap:
+        now = heappop(heap)
+        places = _distinct(np.concatenate(index.pop(now)))
+        while len(places := places[rank_at[places] >> SLICE_BITS == now]):  # the others were taken by another merge meanwhile
+            # Of each word the least rank, and its first place; the word's other places wait.
+            order = rank_at[places].astype(np.int64) << 32 | places
+            edge = np.append(True, word[places[1:]] != word[places[:-1]])
+            least = np.minimum.reduceat(order, np.flatnonzero(edge))
+            waiting = places[order != least[np.cumsum(edge) - 1]]
+            i, rank = (least & 0xFFFFFFFF).astype(np.int32), (least >> 32).astype(np.int32)
+            j = after[i]
+            n, p = after[j], before[i]
+            symbol[i], symbol[j], after[i], rank_at[j] = rank, -1, n, -1
+            follows, leads = n >= 0, p >= 0
+            before[n[follows]] = i[follows]
+            rank_at[i] = np.where(follows, vocabulary.rank_of(rank, symbol[n]), np.int32(-1))
+            p = p[leads]
+            rank_at[p] = vocabulary.rank_of(symbol[p], rank[leads])
+            made = np.concatenate([i, p])
+            made = made[rank_at[made] >= 0]
+            at = rank_at[made] >> SLICE_BITS
+            add(made[at != now])
+            places = _distinct(np.concatenate([waiting, made[at == now]]))
+            if heap and heap[0] < now:  # pairs of lower ranks have come up: they go first
+                if len(places):
+                    index[now] = [places, *index.get(now, [])]
+                    heappush(heap, now)
+                break
+    alive = symbol >= 0
+    return symbol[alive], np.bincount(word[alive], minlength=len(words))
+
+
+class _Numbers(dict):
+    """A number for each word, in the order in which they come; ``fresh`` are those whose ids aren't known yet."""
+
+    def __init__(self):
+        self.fresh: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        self.fresh.append(word)
+        return number
+
+
+class Encoder:
+    """Ids of texts; remembers words and their ids in bounded memory."""
+
+    def __init__(self, vocabulary: Vocabulary, pattern: str):
+        self.vocabulary, self.split = vocabulary, splitter(pattern)
+        self._forget()
+
+    def _forget_if_full(self) -> None:
+        if len(self.numbers) > MEMO_WORDS or self.bytes > MEMO_BYTES:
+            self._forget()
+
+    def _forget(self) -> None:
+        self.numbers, self.bytes = _Numbers(), 0
+        self.ids, self.starts = np.zeros(0, np.int32), np.zeros(1, np.int64)
+
+    def _number(self, text: str) -> Iterator[np.ndarray]:
+        """Numbers of a text's words, in one array or, a very long text, in several."""
+        for piece in self.split(text):
+            yield np.fromiter(map(self.numbers.__getitem__, piece), np.int32, len(piece))
+
+    def _ids(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of numbered words in one array, and how many each has."""
+        if self.numbers.fresh:
+            fresh = [w.encode() for w in self.numbers.fresh]
+            self.numbers.fresh.clear()
+            self.bytes += sum(map(len, fresh))
+            ids, sizes = replay(fresh, self.vocabulary)
+            self.ids = np.concatenate([self.ids, ids])
+            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+        starts, sizes = self.starts[at], self.starts[at + 1] - self.starts[at]
+        ends = np.cumsum(sizes)
+        return self.ids[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)], sizes
+
+    def texts(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts in one array, and how many each has."""
+        if len(texts) == 1 and texts[0]:
+            parts = []
+            for at in self._number(texts[0]):
+                parts.append(self._ids(at)[0])
+                self._forget_if_full()
+            return np.concatenate(parts), np.array([sum(map(len, parts))])
+        numbers = [next(self._number(t)) if t else np.zeros(0, np.int32) for t in texts]
+        ids, sizes = self._ids(np.concatenate(numbers))
+        self._forget_if_full()
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        return ids, np.diff(ends[np.concatenate([[0], np.cumsum([len(x) for x in numbers])])])
 
 
 def _rank_lines(spark: SparkSession, path: str) -> list[str]:
@@ -258,50 +307,62 @@ def _rank_lines(spark: SparkSession, path: str) -> list[str]:
         return f.read().splitlines()
 
 
-def bpe_encode(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+def _vocabulary(spark: SparkSession, ranks_path: str):
+    return spark.sparkContext.broadcast(Vocabulary(read_ranks(_rank_lines(spark, ranks_path))))
+
+
+def _offsets(sizes: np.ndarray, kind=np.int32) -> pa.Array:
+    return pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(kind))
+
+
+def _decoded(ids: pa.Array, vocabulary: Vocabulary) -> Iterator[pa.Array]:
+    """Decoded bytes of blocks of rows of an array of ids."""
+    counts = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = ids.flatten().to_numpy(zero_copy_only=False)
+    ends = np.cumsum(counts)
+    start, before = 0, 0
+    while start < len(counts):
+        stop = max(start + 1, int(np.searchsorted(ends, before + DECODE_IDS, side="right")))
+        data, sizes = vocabulary.decode(flat[before : ends[stop - 1]], counts[start:stop])
+        yield pa.Array.from_buffers(pa.binary(), stop - start, [None, _offsets(sizes).buffers()[1], pa.py_buffer(data)])
+        start, before = stop, int(ends[stop - 1])
+
+
+def bpe_encode(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), decode: bool = False) -> DataFrame:
     """doc_id, the columns ``keep`` and ids (array of int) of every whole text, in place: no row moves.
 
-    Null and empty texts give an empty array. Repeated rows give repeated results. Words of
-    any length are replayed by the heap, in n log n. Other columns are not read.
+    ``decode`` adds the column ``decoded`` of ``bpe_decode`` in the same pass. Null and empty texts give an
+    empty array. Repeated rows give repeated results. Words of any length are replayed by the heap, in
+    n log n. Other columns are not read. A worker holds one block of texts, and words it remembers up to
+    MEMO_WORDS and MEMO_BYTES beyond those of a block.
     """
-    spark = docs.sparkSession
-    tokens = spark.sparkContext.broadcast(read_ranks(_rank_lines(spark, ranks_path)))
+    shared = _vocabulary(docs.sparkSession, ranks_path)
+    names = ["doc_id", *keep, "ids", *(["decoded"] if decode else [])]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        replay, split = MergeReplay(tokens.value), splitter(pattern)
-        memo: dict[str, tuple[int, ...]] = {}
-        gc.disable()  # the memo has no cycles, and walking it costs more than all merges
+        encoder = Encoder(shared.value, pattern)
         for block in text_blocks(batches, "text", ARENA_BYTES):
-            texts = [split(t) if t else [] for t in block.column("text").to_pylist()]
-            fresh = list(set(chain.from_iterable(texts)).difference(memo))
-            if len(memo) + len(fresh) > MEMO_WORDS:
-                memo.clear()
-                fresh = list(set(chain.from_iterable(texts)))
-            memo.update(zip(fresh, replay.encode([w.encode() for w in fresh]), strict=True))
-            flat = [np.fromiter(chain.from_iterable(map(memo.__getitem__, words)), np.int32) for words in texts]
-            offsets = np.zeros(len(flat) + 1, np.int32)
-            np.cumsum([len(x) for x in flat], out=offsets[1:])
-            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(flat)))
-            names = ["doc_id", *keep]
-            yield pa.RecordBatch.from_arrays([*(block.column(c) for c in names), ids], [*names, "ids"])
+            flat, sizes = encoder.texts(block.column("text").to_pylist())
+            ids = pa.ListArray.from_arrays(_offsets(sizes), pa.array(flat))
+            added = [ids, *([pa.concat_arrays(_decoded(ids, shared.value))] if decode else [])]
+            yield pa.RecordBatch.from_arrays([*(block.column(c) for c in names[: 1 + len(keep)]), *added], names)
 
     rows = docs.select(F.col(id_col).alias("doc_id"), *keep, F.col(text_col).alias("text"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
-    return rows.mapInArrow(encode, f"{kinds}, ids array<int>")
+    return rows.mapInArrow(encode, f"{kinds}, ids array<int>{', decoded binary' if decode else ''}")
 
 
 def bpe_decode(ids: DataFrame, ranks_path: str, *, ids_col: str = "ids") -> DataFrame:
     """``ids`` with the column ``decoded`` (binary) added: the tokens' bytes joined; null ids count as none."""
-    spark = ids.sparkSession
-    tokens = spark.sparkContext.broadcast(read_ranks(_rank_lines(spark, ranks_path)))
+    shared = _vocabulary(ids.sparkSession, ranks_path)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = tokens.value
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                decoded = [b"".join(map(words.__getitem__, x)) if x else b"" for x in part.column(ids_col).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(decoded, pa.binary())], [*part.schema.names, "decoded"])
+            at = 0
+            for decoded in _decoded(batch.column(ids_col), shared.value):
+                part = batch.slice(at, len(decoded))
+                at += len(decoded)
+                yield pa.RecordBatch.from_arrays([*part.columns, decoded], [*part.schema.names, "decoded"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ids.schema)
     return ids.mapInArrow(decode, f"{schema}, decoded binary")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import bpe_decode, bpe_encode
+from .bpe import bpe_encode
 from .common import table
 from .exact_dedup import msd_groups
 from .html import extract_pages
@@ -35,9 +35,9 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"))
 
 
-def digests(ids: DataFrame, ranks_path: str, *keep: str) -> DataFrame:
-    """doc_id, the columns ``keep``, n_tokens, ids_sha256 and decoded_sha256 of encoded documents."""
-    return bpe_decode(ids, ranks_path).select(
+def digests(encoded: DataFrame, *keep: str) -> DataFrame:
+    """doc_id, the columns ``keep``, n_tokens, ids_sha256 and decoded_sha256 of encoded documents with their ids decoded."""
+    return encoded.select(
         "doc_id",
         *keep,
         F.size("ids").cast("long").alias("n_tokens"),
@@ -48,7 +48,7 @@ def digests(ids: DataFrame, ranks_path: str, *keep: str) -> DataFrame:
 
 def op3_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(RANKS)
-    return digests(bpe_encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN), path)
+    return digests(bpe_encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, decode=True))
 
 
 def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -134,7 +134,11 @@ def test_bpe_equals_the_library(spark, docs, empty, real, encoding):
         if len(rows[r.doc_id]) < 100_000:  # the library takes the square of a word's length
             assert r.ids == encoding[1].encode_ordinary(rows[r.doc_id])
     assert {(r.doc_id, tuple(r.ids)) for r in bpe.bpe_encode(docs, PATH, public_tokenizers.PATTERN).collect() if not r.ids} == {(0, ()), (1, ())}
+    once = bpe.bpe_encode(df, PATH, public_tokenizers.PATTERN, decode=True).collect()
+    assert sorted(once, key=lambda r: r.doc_id) == sorted(got, key=lambda r: r.doc_id)
     assert bpe.bpe_encode(empty, PATH, public_tokenizers.PATTERN).count() == 0
+    none = spark.createDataFrame([(1, None), (2, [])], "doc_id long, ids array<int>")
+    assert [bytes(r.decoded) for r in bpe.bpe_decode(none, PATH).collect()] == [b"", b""]
 
 
 @settings(max_examples=100, deadline=None)
@@ -142,20 +146,36 @@ def test_bpe_equals_the_library(spark, docs, empty, real, encoding):
 def test_merge_replay(encoding, texts):
     tokens, library = encoding
     split = bpe.splitter(public_tokenizers.PATTERN)
-    replay = bpe.MergeReplay(tokens)
+    vocabulary = bpe.Vocabulary(tokens)
     for t in texts:
-        assert split(t) == bpe.word_pattern(public_tokenizers.PATTERN).findall(t)
-        assert [i for ids in replay.encode([w.encode() for w in split(t)]) for i in ids] == library.encode_ordinary(t)
+        found = [w for piece in split(t) for w in piece]
+        assert found == bpe.word_pattern(public_tokenizers.PATTERN).findall(t)
+        assert bpe.replay([w.encode() for w in found], vocabulary)[0].tolist() == library.encode_ordinary(t)
 
 
 def test_lower_rank_comes_up_within_a_word():
     # ab = 3 is made from b first in "abc", and then abc (2) ranks below it.
     tokens = [bytes([b]) for b in range(256)] + [b"abc", b"ab", b"bcab"]
-    replay = bpe.MergeReplay(tokens)
+    vocabulary = bpe.Vocabulary(tokens)
     library = tiktoken.Encoding("t", pat_str=r"\S+|\s+", mergeable_ranks={t: i for i, t in enumerate(tokens)}, special_tokens={})
     for w in ("abcabc", "ababc", "bcabcab", "ab" * 40, "abc" * 700 + "bcab" * 90):
         for many in (1, 24):
-            assert list(replay.encode([w.encode()] * many + [w.encode() + b"x"])[0]) == library.encode_ordinary(w)
+            ids, sizes = bpe.replay([w.encode()] * many + [w.encode() + b"x"], vocabulary)
+            assert ids[: sizes[0]].tolist() == library.encode_ordinary(w) and set(sizes[:many]) == {sizes[0]}
+
+
+def test_bpe_memory_bounds(encoding, monkeypatch):
+    """A memo that is full all the time, and texts in pieces, change no ids."""
+    tokens, library = encoding
+    monkeypatch.setattr(bpe, "MEMO_WORDS", 5)
+    monkeypatch.setattr(bpe, "LONG_TEXT", 200)
+    monkeypatch.setattr(bpe, "PIECE_WORDS", 7)
+    encoder = bpe.Encoder(bpe.Vocabulary(tokens), public_tokenizers.PATTERN)
+    texts = ["the house of  the man 123 " * 40, "été 日本" * 70, "a b", "", None, "one two"]
+    for block in ([texts[0]], [texts[1]], texts[2:], [None], [""]):
+        ids, sizes = encoder.texts(block)
+        assert ids.tolist() == [i for t in block for i in library.encode_ordinary(t or "")]
+        assert sizes.tolist() == [len(library.encode_ordinary(t or "")) for t in block]
 
 
 # --- op4
