@@ -70,31 +70,51 @@ HF_BANDS = (102, 111)
 PLAN_ROWS = 1000
 
 
-def _classify(f: Column, value) -> Column:
-    """WSPR segment, else amateur band, else spectrum class; NaN and null are unknown."""
-    out = F.when(F.isnan(f) | f.isNull(), value((0, "Unknown")))
+def _row_of(f: float) -> tuple:
+    """Row of a frequency: WSPR segment, else amateur band, else spectrum class."""
     for row in WSPR_SEGMENTS + AMATEUR_BANDS:
-        out = out.when(f.between(row[3], row[4]), value(row))
-    for row in SPECTRUM[:3]:
-        out = out.when(f * 1e6 < row[4] * 1e6, value(row))
-    for row in SPECTRUM[3:-1]:
-        out = out.when(f < row[4], value(row))
-    return out.otherwise(value(SPECTRUM[-1]))
+        if row[3] <= f <= row[4]:
+            return row
+    for row in SPECTRUM[:-1]:
+        if f * 1e6 < row[4] * 1e6 if row in SPECTRUM[:3] else f < row[4]:
+            return row
+    return SPECTRUM[-1]
+
+
+#: Where the row can change, in order: (MHz, whether the value itself still belongs to what is below, the scale of the comparison).
+_CUTS = sorted(
+    {(row[3], False, 1.0) for row in WSPR_SEGMENTS + AMATEUR_BANDS} | {(row[4], True, 1.0) for row in WSPR_SEGMENTS + AMATEUR_BANDS} | {(row[4], False, 1e6 if k < 3 else 1.0) for k, row in enumerate(SPECTRUM[:-1])}
+)
+#: The row between two cuts.
+_BETWEEN = [_row_of((a + b) / 2) for a, b in zip([-1.0, *(c[0] for c in _CUTS)], [*(c[0] for c in _CUTS), 2 * _CUTS[-1][0]], strict=True)]
+
+
+def _classify(f: Column, value) -> Column:
+    """Value of the row of a frequency, by a search tree of seven comparisons; NaN and null are unknown."""
+
+    def tree(lo: int, hi: int) -> Column:
+        rows = {value(r) for r in _BETWEEN[lo : hi + 1]}
+        if len(rows) == 1:
+            return F.lit(rows.pop())
+        middle = (lo + hi + 1) // 2
+        at, below, scale = _CUTS[middle - 1]
+        x = f if scale == 1 else f * scale
+        above = x > at * scale if below else x >= at * scale
+        return F.when(above, tree(middle, hi)).otherwise(tree(lo, middle - 1))
+
+    return F.when(F.isnan(f) | f.isNull(), F.lit(value((0, "Unknown")))).otherwise(tree(0, len(_CUTS)))
 
 
 def band_id(f: Column) -> Column:
-    return _classify(f, lambda row: F.lit(row[0]))
+    return _classify(f, lambda row: row[0])
 
 
 def band_name(f: Column) -> Column:
-    return _classify(f, lambda row: F.lit(row[1]))
+    return _classify(f, lambda row: row[1])
 
 
 def is_wspr_frequency(f: Column) -> Column:
-    out = F.lit(False)
-    for row in WSPR_SEGMENTS:
-        out = out | f.between(row[3], row[4])
-    return F.coalesce(out, F.lit(False))
+    return F.coalesce(_classify(f, lambda row: row in WSPR_SEGMENTS), F.lit(False))
 
 
 _BAND_SCHEMA = "band int, name string, frequency_class string, min_mhz double, max_mhz double, is_wspr boolean"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Characters that a callsign field may be wrapped in.
@@ -30,13 +30,13 @@ def valid_callsign(c: Column) -> Column:
 
 
 def is_callsign(c: Column) -> Column:
-    """Whether the part before a slash (one that isn't first) has the form of a callsign."""
+    """Whether the part before a slash (one that isn't first) has the form of a callsign (a fixed pattern)."""
     base = F.regexp_replace(F.upper(c), r"(?s)^([^/]+)/.*$", "$1")
     return F.coalesce(base.rlike(r"^[A-Z0-9]{1,3}[0-9][A-Z0-9]{0,3}[A-Z]$"), F.lit(False))
 
 
 def valid_grid(c: Column, *, live: bool = False) -> Column:
-    """Whether a Maidenhead locator is well formed: the live feed wants lower-case subsquares, logs are upper-cased first."""
+    """Whether a Maidenhead locator is well formed: the live feed wants lower-case subsquares, logs are upper-cased first (fixed patterns)."""
     if live:
         return F.coalesce(c.rlike(r"^[A-R]{2}[0-9]{2}([a-x]{2})?$"), F.lit(False))
     return F.coalesce(F.upper(c).rlike(r"^[A-R]{2}[0-9]{2}([A-X]{2})?$"), F.lit(False))
@@ -70,13 +70,20 @@ def plain_spaces(c: Column) -> Column:
 
 
 def fields(c: Column, separator: str = ",") -> Column:
-    """Fields of a CSV line. Lines with double quotes are split outside them, and the quotes go."""
+    """Fields of a CSV line. Lines with double quotes are split outside them, read from the left; the quotes go,
+    and one that is never closed is text."""
     plain = F.split(c, separator, -1)
-    outside = F.split(c, f'{separator}(?=(?:[^"]*"[^"]*")*[^"]*$)', -1)
+    outside = F.regexp_extract_all(c, F.lit(f'(?:^|{separator})((?:[^"{separator}]|"[^"]*"|")*+)'), F.lit(1))
     unquoted = F.transform(outside, lambda x: F.replace(F.regexp_replace(x, r'(?s)^\s*"(.*)"\s*$', "$1"), F.lit('""'), F.lit('"')))
     return F.when(F.contains(c, F.lit('"')), unquoted).otherwise(plain)
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` as rows that are made once: the optimizer doesn't move filters from above a generator to below it, where
+    each condition would repeat the expressions (a split of the line, say) that its columns come from."""
+    return df.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
+
+
 def words(c: Column) -> Column:
     """White-space separated words."""
     return F.split(F.trim(F.regexp_replace(c, r"\s+", " ")), " ")
@@ -89,7 +96,7 @@ def to_int(c: Column, lo: int, hi: int, *, policy: str = "strict") -> Column:
     bound beyond the range."""
     text = F.trim(c)
     form = r"^[+-]?[0-9]+$" if lo < 0 else r"^[0-9]+$"
-    number = text.try_cast("decimal(38,0)")
+    number = text.try_cast("bigint")
     good = text.rlike(form)
     if policy == "strict":
         out = F.when(text == "", F.lit(0)).when(good & number.between(lo, hi), number)

@@ -70,7 +70,7 @@ parsed as (
 
 
 def _wspr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return wspr.parse_wspr(view(spark, sf_dir, "wspr_lines"))
+    return wspr.parse_wspr(files.spread(view(spark, sf_dir, "wspr_lines")))
 
 
 # --- bands
@@ -294,13 +294,13 @@ spots as (select file, line_no, strptime(replace(c[11], '+00', ''), '%Y-%m-%d %H
 
 @register(f"with {_RBN} select * from spots where snr is not null", "rbn_lines")
 def rbn_spots(spark, sf_dir):
-    rows = rbn.parse_rbn(view(spark, sf_dir, "rbn_lines")).where("_ok").drop("_ok", "_reason")
+    rows = rbn.parse_rbn(files.spread(view(spark, sf_dir, "rbn_lines"))).where("_ok").drop("_ok", "_reason")
     return rows.withColumn("snr", F.col("snr").cast("int"))
 
 
 @register(f"with {_RBN} select file, count(*) as n_read, count(snr) as n_parsed, count(*) - count(snr) as n_failed from spots group by file", "rbn_lines")
 def rbn_parse_stats(spark, sf_dir):
-    parsed = rbn.parse_rbn(view(spark, sf_dir, "rbn_lines"))
+    parsed = rbn.parse_rbn(files.spread(view(spark, sf_dir, "rbn_lines")))
     return parsed.groupBy("file").agg(F.count(F.lit(1)).alias("n_read"), F.count_if("_ok").alias("n_parsed"), F.count_if(~F.col("_ok")).alias("n_failed"))
 
 

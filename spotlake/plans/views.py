@@ -8,6 +8,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.clean import settled
+
 _GFZ_KP = ",\n  ".join(f"case when sum(o_orderkey) % 11 = {k} then '-1.000' else concat(cast((sum(o_orderkey) + {k}) % 9 as string), '.333') end" for k in range(8))
 _GFZ_AP = ", ".join(f"cast((sum(o_orderkey) + {k}) % 180 as string)" for k in range(8))
 
@@ -81,4 +83,5 @@ def duckdb_sql(name: str) -> str:
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.sql(spark_sql(name, sf_dir))
+    """Rows of a derived input, made once as those of a file are."""
+    return settled(spark.sql(spark_sql(name, sf_dir)))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.bands import band_id
-from ..functions.clean import grid4, is_callsign, pad_grid6, plain_spaces, source_key, to_float, valid_grid, words
+from ..functions.clean import grid4, is_callsign, pad_grid6, plain_spaces, settled, source_key, to_float, valid_grid, words
 from ..functions.times import cabrillo_time
 from .files import numbered_lines
 
@@ -44,21 +44,18 @@ def parse_cabrillo(lines: DataFrame, *, root: str = "") -> DataFrame:
     # ``QSO:7000`` without a space keeps its first word, as one that is not ``QSO:``.
     rows = rows.withColumn("_f", F.when(F.upper(F.rtrim(F.get("_f", F.lit(0)), F.lit(":"))) == "QSO", F.expr("slice(_f, 2, greatest(size(_f) - 1, 0))")).otherwise(F.col("_f")))
     at = lambda k: F.get("_f", F.lit(k))
-    khz = F.floor(F.when(at(0) != "", to_float(at(0)))).cast("long")
-    time = cabrillo_time(at(2), at(3))
-    own = F.upper(at(4))
-    rows = rows.withColumn("_own", own)
+    rows = rows.withColumns({"_own": F.upper(at(4)), "_khz": F.floor(F.when(at(0) != "", to_float(at(0)))).cast("long"), "timestamp": cabrillo_time(at(2), at(3))})
     marked = F.transform("_f", lambda x, i: F.struct(i.alias("i"), ((i >= 5) & is_callsign(x) & (F.upper(x) != F.col("_own"))).alias("hit")))
-    rows = rows.withColumn("_at", F.get(F.filter(marked, lambda x: x["hit"]), F.lit(0))["i"])
-    reason = F.when(F.col("header_call") == "", "no callsign").when(F.size("_f") < 8, "too few fields").when(khz.isNull(), "bad frequency").when(time.isNull(), "bad timestamp").when(F.col("_at").isNull(), "no other call")
+    rows = settled(rows.withColumns({"_at": F.get(F.filter(marked, lambda x: x["hit"]), F.lit(0))["i"], "_mhz": F.col("_khz") / 1000.0}))
+    reason = F.when(F.col("header_call") == "", "no callsign").when(F.size("_f") < 8, "too few fields").when(F.col("_khz").isNull(), "bad frequency").when(F.col("timestamp").isNull(), "bad timestamp").when(F.col("_at").isNull(), "no other call")
     part = lambda a, b: F.array_join(F.expr(f"slice(_f, {a}, greatest({b}, 0))"), " ")
     none = F.lit("")
-    return rows.select(
+    out = rows.select(
         "file",
         "line_no",
-        time.alias("timestamp"),
-        khz.alias("frequency"),
-        band_id(khz / 1000.0).alias("band"),
+        "timestamp",
+        F.col("_khz").alias("frequency"),
+        band_id(F.col("_mhz")).alias("band"),
         F.upper(at(1)).alias("mode"),
         F.col("_own").alias("call_1"),
         F.upper(F.get("_f", F.col("_at"))).alias("call_2"),
@@ -71,6 +68,7 @@ def parse_cabrillo(lines: DataFrame, *, root: str = "") -> DataFrame:
         reason.isNull().alias("_ok"),
         reason.alias("_reason"),
     )
+    return settled(out)
 
 
 def cabrillo_headers(lines: DataFrame) -> DataFrame:

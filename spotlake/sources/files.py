@@ -36,6 +36,12 @@ def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"))
 
 
+def spread(lines: DataFrame) -> DataFrame:
+    """``lines`` over all cores where they come in fewer partitions than that (gz files, archives, small tables); as they are otherwise."""
+    cores = lines.sparkSession.sparkContext.defaultParallelism
+    return lines.repartition(cores) if lines.rdd.getNumPartitions() < cores else lines
+
+
 def numbered_lines(documents: DataFrame, file: str = "file", text: str = "text") -> DataFrame:
     """file, line_no (from 1) and line of whole documents."""
     lines = F.split(F.regexp_replace(text, "\r\n?", "\n"), "\n", -1)

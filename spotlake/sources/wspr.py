@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.bands import band_id
-from ..functions.clean import fields, fixed, mhz_to_hz, sanitize_callsign, to_float, to_int, upper_grid
-from .files import read_lines, read_tar_csv
+from ..functions.clean import fields, fixed, mhz_to_hz, sanitize_callsign, settled, to_float, to_int, upper_grid
+from .files import read_lines, read_tar_csv, spread
 
 #: Fewest columns of a line.
 LEAST_COLUMNS = 15
@@ -35,8 +35,9 @@ def parse_wspr(lines: DataFrame, *, policy: str = "strict", line: str = "line")
     at = lambda k: F.get("_f", F.lit(k))
     out = lines.withColumn("_f", fields(F.col(line))).withColumn("column_count", F.size("_f"))
     full = F.col("column_count") >= LEAST_COLUMNS
-    out = out.withColumns({name: F.when(full, to_int(at(k), lo, hi, policy=policy)) for name, k, lo, hi in NUMBERS})
-    out = out.withColumn("mhz", F.when(full, to_float(at(5), policy=policy)))
+    numbers = {name: F.when(full, to_int(at(k), lo, hi, policy=policy)) for name, k, lo, hi in NUMBERS}
+    # Rows are settled twice: one projection of everything would be more code than the JVM compiles.
+    out = settled(out.withColumns({**numbers, "mhz": F.when(full, to_float(at(5), policy=policy))}))
     reason = F.when(~full, "insufficient columns")
     for name in ("id", "epoch", "snr", "mhz", "power", "drift", "distance", "azimuth"):
         reason = reason.when(F.col(name).isNull(), {"epoch": "invalid timestamp", "mhz": "invalid frequency"}.get(name, f"invalid {name}"))
@@ -50,7 +51,6 @@ def parse_wspr(lines: DataFrame, *, policy: str = "strict", line: str = "line")
             "frequency": F.when(F.col("mhz").isNotNull(), F.coalesce(mhz_to_hz(text), F.lit(0).cast("long"))),
             "callsign": sanitize_callsign(F.trim(at(6))),
             "grid": F.trim(at(7)),
-            "band": F.when(F.col("mhz").isNotNull(), band_id(F.col("mhz"))),
             "mode": F.lit("WSPR"),
             "version": F.coalesce(F.trim(at(13)), F.lit("")),
             "code": F.coalesce(to_int(F.coalesce(at(14), F.lit("")), 0, 255), F.lit(0)),
@@ -60,7 +60,8 @@ def parse_wspr(lines: DataFrame, *, policy: str = "strict", line: str = "line")
             "tx_lon": _float32(at(18)),
         }
     )
-    return out.withColumn("_ok", F.col("_reason").isNull()).drop("_f")
+    out = settled(out.drop("_f")).withColumns({"band": F.when(F.col("mhz").isNotNull(), band_id(F.col("mhz"))), "_ok": F.col("_reason").isNull()})
+    return settled(out)
 
 
 def good_spots(parsed: DataFrame) -> DataFrame:
@@ -82,9 +83,9 @@ def apply_defaults(spots: DataFrame) -> DataFrame:
 
 
 def read_wspr(spark: SparkSession, paths: str | list[str], *, policy: str = "strict", partitions: int | None = None) -> DataFrame:
-    """Parsed lines of CSV files, plain or gz. partitions: spread the lines of gz files before parsing."""
+    """Parsed lines of CSV files, plain or gz. Lines of few files are spread over all cores, or over ``partitions``."""
     lines = read_lines(spark, paths)
-    return parse_wspr(lines.repartition(partitions) if partitions else lines, policy=policy)
+    return parse_wspr(lines.repartition(partitions) if partitions else spread(lines), policy=policy)
 
 
 def read_wspr_tar(spark: SparkSession, paths: str | list[str], *, policy: str = "strict") -> DataFrame:

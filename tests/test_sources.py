@@ -122,3 +122,18 @@ def test_listing_and_formats(spark, tmp_path):
     assert files.list_files(spark, str(tmp_path), min_age="1 hour").count() == 0
     df = spark.createDataFrame([("/d/SIDC_2024.csv", "2"), ("flux.txt", "["), ("flux.txt", "2"), ("goes_xray.json", "[")], "n string, c string")
     assert [r[0] for r in df.select(files.detect_format(F.col("n"), F.col("c"))).collect()] == ["sidc", "sfi_json", "unknown", "xray_json"]
+
+
+def test_lines_are_split_once(spark):
+    """Filters on parsed rows don't repeat the split, and quoted lines are read from the left."""
+    from spotlake.functions.clean import fields
+    from spotlake.sources import cabrillo, rbn, wspr
+    from pyspark.sql import functions as F
+
+    lines = spark.createDataFrame([("f", 1, "x")], "file string, line_no long, line string")
+    for parse in (wspr.parse_wspr, rbn.parse_rbn, cabrillo.parse_cabrillo):
+        plan = parse(lines).where("_ok")._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("split(") <= 3, parse
+    odd = ['a,"b,c",d', '"x ""y""",', ",,", 'a"b,c,"d', '"', ""]
+    got = [r[0] for r in spark.createDataFrame([(x,) for x in odd], "c string").select(fields(F.col("c"))).collect()]
+    assert got == [["a", "b,c", "d"], ['x "y"', ""], ["", "", ""], ['a"b,c,"d'], ['"'], [""]]
