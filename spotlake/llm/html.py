@@ -56,53 +56,95 @@ CUES = frozenset(
     login signin signup search searchbox form skip copyright legal disclaimer
     """.split()
 )
+#: Cues that say what an element is even where other words follow (fixed values).
+LOUD = frozenset(
+    """
+    adslot adunit advert advertisement cookie cookies gdpr newsletter paywall navbar breadcrumb breadcrumbs pagination footer sidebar comment comments disqus
+    share sharing related recommended recommendations
+    """.split()
+)
+#: Cues that also hold for an article element: adverts and reader comments. The others are states of it (fixed values).
+OF_ARTICLES = frozenset("ad ads adbox adslot adunit advert adverts advertisement advertising comment comments disqus reply replies".split())
+#: Cues that hold wherever an article stands (fixed values).
+FIRM = OF_ARTICLES | frozenset("cookie cookies consent gdpr newsletter related recommended recommendations trending commentlist respond discussion".split())
+#: Words that say what an element has, lacks or does, not what it is (fixed values).
+STATES = frozenset("has no with without not is hide show less free enabled disabled open opened closed on off active visible collapsed".split())
+#: Words after a cue that leave its meaning (fixed values).
+CONTAINERS = frozenset(
+    """
+    wrap wrapper container box inner outer area section block item items list group row col column bar panel content body left right top bottom
+    main primary secondary links link buttons button icons icon text title message msg info widget slot unit zone region tray tabs
+    """.split()
+)
 #: ARIA roles that mark boilerplate.
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
 
 _MARKUP = re.compile(r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
 _LOOSE = re.compile(r"[^>]*(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
-_CUE_WORD = re.compile(r"[a-z]+")
+_CUE_WORD = re.compile(r"(?<![0-9])(?:[A-Z]?[a-z]+|[A-Z]+)")
 _WORD = re.compile(r"[^\W\d_]+")
 _ENDS = {name: re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I) for name in RAW}
 
 
 class _Element:
-    __slots__ = ("name", "bad", "section", "link", "skip")
+    __slots__ = ("name", "bad", "section", "link", "skip", "marks")
+
+    def __init__(self, name: str, bad: bool, section: int, link: bool, skip: bool, marks: tuple[int, ...]):
+        self.name, self.bad, self.section, self.link, self.skip, self.marks = name, bad, section, link, skip, marks
+
 
-    def __init__(self, name: str, bad: bool, section: int, link: bool, skip: bool):
-        self.name, self.bad, self.section, self.link, self.skip = name, bad, section, link, skip
+def _cue(token: str) -> str | None:
+    """The cue that a class name or id means: the whole of it, its last word but for words like ``box``, or
+    its first one if that is loud. ``has-sidebar`` and ``legal-news`` mean none."""
+    parts = [p.lower() for p in _CUE_WORD.findall(token)]
+    if not parts or STATES.intersection(parts):
+        return None
+    end = len(parts)
+    while end > 1 and parts[end - 1] in CONTAINERS:
+        end -= 1
+    return parts[end - 1] if parts[end - 1] in CUES else parts[0] if parts[0] in LOUD else None
 
 
-def _marked(name: str, attributes: str, inside: bool) -> bool:
-    """Whether role, class, id or the hidden attribute call the element boilerplate; the header of an
-    article is part of it."""
+def _marked(name: str, attributes: str, inside: bool) -> tuple[bool, set[str]]:
+    """Whether role or a hidden state make the element boilerplate, and the cues by which its class or id calls it so; the
+    header of an article is part of it."""
+    named: set[str] = set()
     if not attributes or name in ("html", "body", "main"):
-        return False
+        return False, named
     for key, value in _ATTRIBUTE.findall(attributes):
-        key, value = key.lower(), unescape(value.strip("\"'")).lower()
+        key, value = key.lower(), unescape(value.strip("\"'"))
         if key in ("class", "id"):
-            cues = CUES.intersection(_CUE_WORD.findall(value))
-            if cues - {"header"} or cues and not inside:
-                return True
+            cues = {c for t in value.split() if (c := _cue(t))}
+            if name == "article":
+                cues &= OF_ARTICLES
+            named |= cues - {"header"} if inside else cues
+        value = value.lower()
         if key == "role" and value.strip() in ROLES or key == "hidden" or key == "aria-hidden" and value == "true":
-            return True
+            return True, named
         if key == "style" and "display:none" in value.replace(" ", ""):
-            return True
-    return False
+            return True, named
+    return False, named
 
 
 class _Block:
-    __slots__ = ("text", "linked", "bad", "section", "inside")
+    __slots__ = ("text", "linked", "bad", "section", "inside", "marks")
 
-    def __init__(self, text: str, linked: int, bad: bool, section: int, inside: bool):
-        self.text, self.linked, self.bad, self.section, self.inside = text, linked, bad, section, inside
+    def __init__(self, text: str, linked: int, bad: bool, section: int, inside: bool, marks: tuple[int, ...]):
+        self.text, self.linked, self.bad, self.section, self.inside, self.marks = text, linked, bad, section, inside, marks
 
 
 def page_blocks(html: str) -> list[_Block]:
-    """Blocks in page order. Tag soup is closed as browsers do it in the common cases."""
+    """Blocks in page order. Tag soup is closed as browsers do it in the common cases.
+
+    An element that its class or id calls boilerplate holds none if the main element stands in it, or
+    the first article of a page that has no article or long block elsewhere."""
     blocks: list[_Block] = []
-    root = _Element("", False, 0, False, False)
+    root = _Element("", False, 0, False, False, ())
+    firm: list[bool] = []  # of each element that its name calls boilerplate, whether no article can change that
+    lifted: set[int] = set()
+    in_marks: tuple[int, ...] = ()
+    free_article = False
     stack = [root]
     sections = {0: False}  # whether a section lies in an article or main element
     pieces: list[str] = []
@@ -113,7 +155,7 @@ def page_blocks(html: str) -> list[_Block]:
         if pieces:
             if text := " ".join("".join(pieces).split()):
                 top = stack[-1]
-                blocks.append(_Block(text, linked, top.bad, top.section, sections[top.section]))
+                blocks.append(_Block(text, linked, top.bad, top.section, sections[top.section], top.marks))
             pieces.clear()
         linked = breaks = 0
 
@@ -191,7 +233,17 @@ def page_blocks(html: str) -> list[_Block]:
             continue
         top = stack[-1]
         inside = sections[top.section]
-        bad = top.bad or name in BOILERPLATE or name == "header" and not inside or _marked(name, m[3], inside)
+        hidden, named = _marked(name, m[3], inside)
+        bad = top.bad or name in BOILERPLATE or name == "header" and not inside or hidden
+        marks = top.marks
+        if named:
+            marks = (*marks, len(firm))
+            firm.append(not named.isdisjoint(FIRM))
+        if name == "main" and not bad:
+            lifted.update(k for k in marks if not firm[k])
+        elif name == "article" and not bad and not any(firm[k] for k in marks):
+            free_article = free_article or not marks
+            in_marks = in_marks or marks
         section = top.section
         if name in SECTIONS:
             section = len(sections)
@@ -204,8 +256,12 @@ def page_blocks(html: str) -> list[_Block]:
             continue
         if name == "body":
             stack = [e for e in stack if not e.skip]  # a head that was not closed
-        stack.append(_Element(name, bad, section, top.link or name == "a", top.skip or name in SKIPPED))
+        stack.append(_Element(name, bad, section, top.link or name == "a", top.skip or name in SKIPPED, marks))
     flush()
+    if not free_article and not any(len(b.text) >= SHORT_CHARS and not b.bad and not b.marks for b in blocks):
+        lifted.update(in_marks)
+    for b in blocks:
+        b.bad = b.bad or any(k not in lifted for k in b.marks)
     return blocks
 
 

@@ -15,8 +15,10 @@ with failing matches dropped and not retried. Added kinds:
 
 * url: ``scheme://`` with a scheme of letters, up to white space, quotes or angle brackets,
   and a host that is not empty; closing punctuation is left out
-* account: the value after an identifier cue (password, token, api_key, account, iban, ...)
-  and ``=`` or ``:``, at least six characters with a digit among them
+* account: the value after an identifier cue (password, token, api_key, account, iban, ... in any
+  ASCII case) and ``=`` or ``:``, at least six characters, quoted or with a digit among them
+* secret: a key that shows by its form: a well-known prefix and as many characters as belong to
+  it, or the header line of a private key
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 from .common import text_blocks
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-KINDS = (*BASE_KINDS, "url", "account")
+KINDS = (*BASE_KINDS, "url", "account", "secret")
 
 DIGITS = frozenset("0123456789")
 ALNUM = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
@@ -40,14 +42,21 @@ EMAIL_LOCAL = ALNUM | frozenset("._%+-")
 EMAIL_LABEL = ALNUM | frozenset("-")
 PHONE_INNER = DIGITS | frozenset(" ().-")
 ACCOUNT_VALUE = ALNUM | frozenset("_-./+=$")
+KEY_CHARS = ALNUM | frozenset("_-")
 URL_END = frozenset(" \t\n\r\x0b\x0c\"'<>`|\\^{}")
 URL_CLOSING = ".,;:!?)]*"
 
 #: Cues that announce an identifier; matched whatever the case of ASCII letters.
 CUES = ("password", "passwd", "pwd", "secret", "token", "api_key", "apikey", "api-key", "access_key", "private_key", "account", "acct", "iban", "username", "user_id", "login", "ssn", "passport")
 
+#: Prefixes of keys, and how many letters and digits (and ``_`` or ``-``) follow at least (fixed values).
+KEY_PREFIXES = {"AKIA": 16, "ASIA": 16, "ghp_": 36, "gho_": 36, "ghs_": 36, "glpat-": 20, "sk_live_": 16, "xoxb-": 20, "xoxp-": 20, "AIza": 35}
+#: What a private key's header starts with, and what it ends with.
+KEY_HEADER, KEY_HEADER_END = "-----BEGIN ", "PRIVATE KEY-----"
 #: Shortest account value.
 ACCOUNT_CHARS = 6
+#: Longest header of a private key.
+HEADER_CHARS = 60
 
 
 @cache
@@ -59,12 +68,21 @@ def _automaton() -> ahocorasick.Automaton:
     for d in DIGITS:
         a.add_word(d, ("digits", 1))
     for cue in CUES:
-        for form in (cue, cue.upper(), cue.capitalize()):
-            a.add_word(form, ("account", len(form)))
+        a.add_word(cue, ("account", len(cue)))
+    for cue in (*KEY_PREFIXES, KEY_HEADER):
+        a.add_word(cue.lower(), ("secret", len(cue)))
     a.make_automaton()
     return a
 
 
+#: A-Z as a-z, one for one: places stay as they are.
+_LOWER = {c: c + 32 for c in range(65, 91)}
+
+
+def _lowered(text: str) -> str:
+    return text.lower() if text.isascii() else text.translate(_LOWER)
+
+
 def _run(text: str, at: int, chars: frozenset) -> int:
     """End of the run of ``chars`` from ``at``."""
     n = len(text)
@@ -165,18 +183,31 @@ def _account(text: str, at: int) -> tuple[int, int] | None:
     while at < n and text[at] in " \"'":
         at += 1
     end = _run(text, at, ACCOUNT_VALUE)
+    quoted = text[at - 1] in "\"'" and text[end : end + 1] == text[at - 1]
     while end > at and text[end - 1] in ".=/":
         end -= 1
-    if end - at < ACCOUNT_CHARS or not any(c in DIGITS for c in text[at:end]):
+    if end - at < ACCOUNT_CHARS or not (quoted or any(c in DIGITS for c in text[at:end])):
         return None
     return at, end
 
 
+def _secret(text: str, at: int, size: int) -> tuple[int, int] | None:
+    """From the key prefix or header at ``at``, in its own case and not inside a word."""
+    cue = text[at : at + size]
+    if at and text[at - 1] in ALNUM:
+        return None
+    if cue == KEY_HEADER:
+        end = text.find(KEY_HEADER_END, at + size, at + HEADER_CHARS + len(KEY_HEADER_END))
+        return None if end < 0 else (at, end + len(KEY_HEADER_END))
+    end = _run(text, at + size, KEY_CHARS)
+    return (at, end) if cue in KEY_PREFIXES and end - at - size >= KEY_PREFIXES[cue] else None
+
+
 def find_spans(text: str) -> list[tuple[str, int, int]]:
     """All spans (kind, start, end) in code points, end exclusive, by start and then kind."""
     found: list[tuple[str, int, int]] = []
     over = dict.fromkeys(KINDS, 0)  # where each kind may go on
-    for end, (what, size) in _automaton().iter(text):
+    for end, (what, size) in _automaton().iter(_lowered(text)):
         at = end + 1 - size
         if what == "digits":
             if at >= over["ip"]:
@@ -200,9 +231,9 @@ def find_spans(text: str) -> list[tuple[str, int, int]]:
             if at >= over["url"] and (span := _url(text, at, over["url"])):
                 found.append(("url", *span))
                 over["url"] = span[1]
-        elif at >= over["account"] and (span := _account(text, end + 1)):
-            found.append(("account", *span))
-            over["account"] = span[1]
+        elif at >= over[what] and (span := _account(text, end + 1) if what == "account" else _secret(text, at, size)):
+            found.append((what, *span))
+            over[what] = span[1]
     order = {k: i for i, k in enumerate(KINDS)}
     return sorted(found, key=lambda s: (s[1], order[s[0]]))
 

@@ -32,7 +32,8 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii_spans(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE_KINDS))
     counts = [F.expr(f"cast(size(filter(spans, s -> s.kind = '{k}')) as long)").alias(f"n_{k}") for k in BASE_KINDS]
-    return found.select("doc_id", *counts, F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"))
+    private = F.expr("cast(size(filter(spans, s -> s.kind <> 'url')) as long)").alias("n_private")
+    return found.select("doc_id", *counts, private, F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"))
 
 
 def digests(encoded: DataFrame, *keep: str) -> DataFrame:
