@@ -26,6 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,8 @@ from .common import checkpointed, chosen_rows, numbered, ranked_id, text_blocks,
 DISTANCE, SHINGLE_WORDS, SEED = 4, 4, 42
 #: Levels of each tree; more levels than a mask has bits bring little.
 LEVELS = 16
+#: Comparisons that take as long as moving one row.
+ROW_COST = 2000
 #: A leaf with more members than this is split into blocks.
 LEAF_ROWS = 4096
 
@@ -88,6 +91,17 @@ def masks(distance: int, bands: int) -> list[int]:
     return [sum(c) for c in combinations(band, bands - distance)]
 
 
+def bands_for(rows: int, distance: int) -> int:
+    """Bands that make the least work for so many distinct fingerprints: each tree costs a row per fingerprint, and
+    compares those that share one of 2**bits leaves. A row costs about as much as ``ROW_COST`` comparisons."""
+
+    def work(bands: int) -> float:
+        trees, bits = comb(bands, distance), 64 * (bands - distance) / bands
+        return trees * (rows * ROW_COST + rows * rows / 2 ** (bits + 1))
+
+    return min(range(distance + 1, distance + 5), key=work)
+
+
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
@@ -151,9 +165,9 @@ def forest(left: np.ndarray, right: np.ndarray | None, distance: int) -> list[tu
 
 def near_edges(fps: DataFrame, *, distance: int = DISTANCE, bands: int | None = None, leaf_rows: int = LEAF_ROWS) -> DataFrame:
     """Edges (a, b) between the distinct fingerprints of ``fps`` (column fp), enough to connect all that
-    pairs within ``distance`` connect. ``bands``: more of them make more trees with smaller leaves
-    (distance + 1 serves some hundred million fingerprints, distance + 2 a hundred times as many)."""
-    leaves = _leaves(fps, distance, bands or distance + 1)
+    pairs within ``distance`` connect. ``bands``: more of them make more trees with smaller leaves; left out,
+    their number follows from that of the fingerprints."""
+    leaves = _leaves(fps, distance, bands or bands_for(fps.count(), distance))
     # Written, so that a hot leaf can be split in the join.
     sizes = checkpointed(leaves.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     blocks = F.ceil(F.col("n") / leaf_rows)
