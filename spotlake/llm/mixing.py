@@ -5,8 +5,8 @@ target share of every source, language and topic at once. The factors calibrate
 probability per cell, and a hash of the document decides against it.
 
 Languages and topics are few, so a source is one row with a small matrix of tokens, and a
-sweep is one aggregate over the sources that returns such a matrix; the table of sources stays
-distributed. Topics come from a small k-means model of hashed word counts, fitted on all
+sweep is one aggregate over the sources that returns such a matrix. The table of sources stays
+distributed, unless it is seen to have ``LOCAL_SOURCES`` rows at most (a megabyte); the arithmetic is the same. Topics come from a small k-means model of hashed word counts, fitted on all
 documents: their vectors are written once, and a sweep hands back a sum per centroid. Vectors and
 centroids are whole numbers, so that sums are the same in whatever order they are taken.
 """
@@ -32,7 +32,9 @@ FLATTEN = 0.7
 #: Share of the tokens to keep.
 KEEP = 0.8
 #: Sweeps go on until every marginal is this close to its target share, or so many times.
-CLOSE, SWEEPS = 1e-6, 50
+CLOSE, SWEEPS = 1e-6, 200
+#: Up to so many sources (a row of a small matrix each) are raked where the sweeps are driven; more of them stay distributed.
+LOCAL_SOURCES = 4096
 #: Bins (of the logarithm of the factors) by which the probabilities are calibrated.
 BINS = 20_000
 
@@ -156,7 +158,7 @@ def mix(
     seed: int = 17,
     carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """doc_id, source, lang, topic, tokens, weight, probability and sampled of every row, and the columns ``carry``.
+    """doc_id, source, lang, topic, tokens, weight, probability, sampled and residual of every row, and the columns ``carry``.
 
     weight is the raked factor of the document's cell: weighted tokens have the target shares,
     which are in proportion to the tokens of a source, language or topic to the power ``flatten``.
@@ -165,6 +167,8 @@ def mix(
     are sampled together. Texts without words weigh nothing and keep the weight of their
     cell; a cell without any tokens has weight 1. Null sources and languages are a source and a
     language of their own; languages beyond ``languages`` are one. Other columns are not read.
+    residual, the same in every row, is how far the farthest language or topic ends from its target share: targets
+    that can't all be met (a topic of one document, say) leave one when the sweeps end. Sources are met exactly.
     """
     n_lang, width = len(languages) + 1, (len(languages) + 1) * topics
     code = F.lit(len(languages))
@@ -183,30 +187,37 @@ def mix(
         factors b and c (plain tokens without them). Numbers travel as data: the plan is the same in every sweep."""
         both = None if b is None else np.outer(b, c).ravel()
 
+        def part(cells: np.ndarray, total: np.ndarray) -> np.ndarray:
+            if both is None:
+                return cells.sum(axis=0)
+            good = total > 0
+            return cells[good].T @ (total[good] ** flatten / powers / (cells[good] @ both))
+
+        def matrices(batch) -> tuple[np.ndarray, np.ndarray]:
+            cells = pa.array(batch.column("cells").to_pylist(), pa.list_(pa.float64())).flatten()
+            return cells.to_numpy(zero_copy_only=False).reshape(-1, width), batch.column("total").to_numpy()
+
         def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            out = np.zeros(width)
-            for batch in batches:
-                cells = batch.column("cells").flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
-                if both is None:
-                    out += cells.sum(axis=0)
-                else:
-                    total, inner = batch.column("total").to_numpy(zero_copy_only=False), cells @ both
-                    good = total > 0
-                    out += cells[good].T @ (total[good] ** flatten / powers / inner[good])
+            out = sum((part(*matrices(batch)) for batch in batches), np.zeros(width))
             yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, width], pa.int32()), pa.array(out))], ["part"])
 
+        if few is not None:
+            return part(*matrices(few)).reshape(n_lang, topics)
         got = sources.mapInArrow(add, "part array<double>").agg(*[F.sum(F.col("part")[k]) for k in range(width)]).first()
         return np.array([x or 0.0 for x in got]).reshape(n_lang, topics)
 
+    few = sources.select("cells", "total").limit(LOCAL_SOURCES + 1).toArrow()
+    few = few if few.num_rows <= LOCAL_SOURCES else None
     plain = gathered(None, None)
     total = plain.sum()
     by_lang, by_topic = _share(plain.sum(axis=1), flatten), _share(plain.sum(axis=0), flatten)
     powers = sources.agg(F.sum(F.when(F.col("total") > 0, F.pow("total", F.lit(flatten))))).first()[0] or 1.0
     b, c = np.ones(n_lang), np.ones(topics)
-    for _ in range(SWEEPS):
+    for sweep in range(SWEEPS + 1):
         now = gathered(b, c)
         mixed = now * np.outer(b, c)
-        if max(np.abs(mixed.sum(axis=1) - by_lang).max(), np.abs(mixed.sum(axis=0) - by_topic).max()) < CLOSE:
+        residual = float(max(np.abs(mixed.sum(axis=1) - by_lang).max(), np.abs(mixed.sum(axis=0) - by_topic).max()))
+        if residual < CLOSE or sweep == SWEEPS:
             break
         rest = (now * c).sum(axis=1)
         b = np.where(rest > 0, by_lang / np.maximum(rest, 1e-300), 1.0)
@@ -227,7 +238,8 @@ def mix(
     chance = F.least(F.lit(1.0), weight * F.lit(scale))
     out = rows.join(factors.select("source", "factors"), "source")
     out = out.withColumns({"weight": weight, "probability": F.round(chance, 9)})
-    return out.select("doc_id", "source", "lang", "topic", "tokens", "weight", "probability", (unit_hash("doc_id", seed) < F.col("probability")).alias("sampled"), *carry)
+    sampled = (unit_hash("doc_id", seed) < F.col("probability")).alias("sampled")
+    return out.select("doc_id", "source", "lang", "topic", "tokens", "weight", "probability", sampled, F.lit(round(residual, 9)).alias("residual"), *carry)
 
 
 def _scale(factors: DataFrame, keep: float, total: float) -> float:
