@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,11 +48,14 @@ def joined(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a temporary one where neither the session nor the
-    context has a folder, as in tests."""
+    """The folder of ``spark.checkpoint.dir``. Where neither the session nor the context has one, a local session
+    gets a temporary one, as in tests; on a cluster, whose machines don't share such a folder, that is an error."""
     context = spark.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-"))
     return context.getCheckpointDir()
 
 
@@ -61,6 +65,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as Parquet in the shared folder, read again: smaller than a checkpoint where texts are long."""
+    path = f"{checkpoint_folder(df.sparkSession)}/written-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
     """``docs`` with a number of each row, and that column's name. Written, so that a lost task can't draw other numbers."""
     name = "_row"

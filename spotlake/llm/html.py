@@ -316,8 +316,13 @@ def main_text(html: str | None) -> str:
     return "\n".join(b.text for b, good in zip(blocks, classify(blocks), strict=True) if good)
 
 
-def extract_pages(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """page_id, url and text of every row, from the whole html.
+def declared_language(html) -> F.Column:
+    """The lang attribute of a page's html element; empty without one."""
+    return F.regexp_extract(html, r"""(?i)<html\b[^>]*?\slang\s*=\s*["']?([a-z]+)""", 1)
+
+
+def extract_pages(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", keep: tuple[str, ...] = ()) -> DataFrame:
+    """page_id, url, text and the columns ``keep`` of every row, from the whole html.
 
     Null and empty pages, and pages without main text, give an empty text. Repeated rows give
     repeated results. Other columns are not read. No row moves.
@@ -326,7 +331,8 @@ def extract_pages(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in text_blocks(batches, "html"):
             texts = [main_text(h) for h in block.column("html").to_pylist()]
-            yield pa.RecordBatch.from_arrays([block.column("page_id"), block.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
+            yield pa.RecordBatch.from_arrays([block.column("page_id"), block.column("url"), pa.array(texts, pa.string()), *(block.column(c) for c in keep)], ["page_id", "url", "text", *keep])
 
-    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    return rows.mapInArrow(extract, f"page_id {rows.schema['page_id'].dataType.simpleString()}, url string, text string")
+    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), *keep)
+    kept = "".join(f", `{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
+    return rows.mapInArrow(extract, f"page_id {rows.schema['page_id'].dataType.simpleString()}, url string, text string{kept}")

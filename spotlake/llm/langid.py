@@ -81,6 +81,11 @@ def address_hint(url) -> F.Column:
     return F.when(top != "", top).when(segment != "", segment)
 
 
+def page_host(url) -> F.Column:
+    """The host of an address, lower case, without user and port; empty without one."""
+    return F.regexp_extract(F.lower(F.coalesce(url, F.lit(""))), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)
+
+
 def identify(
     docs: DataFrame,
     *,

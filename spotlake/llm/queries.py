@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import bpe_encode
-from .common import table
+from .common import table, written
 from .exact_dedup import msd_groups
-from .html import extract_pages
-from .langid import identify
+from .html import declared_language, extract_pages
+from .langid import identify, page_host
 from .lines import similar_lines
 from .media import jpeg_features, jpeg_store
 from .mixing import mix
@@ -81,7 +81,11 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return identify(table(spark, sf_dir, "documents"))
+    """Of pages, which have all four kinds of evidence: their main text, the lang attribute, the address and the host."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html", declared_language(F.col("html")).alias("declared"), page_host(F.col("url")).alias("host"))
+    texts = written(extract_pages(pages, keep=("declared", "host")))
+    found = identify(texts, id_col="page_id", declared_col="declared", host_col="host", url_col="url")
+    return found.withColumnRenamed("doc_id", "page_id")
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

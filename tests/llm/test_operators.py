@@ -1,6 +1,7 @@
 """Each operator against a brute-force version, an exact round trip or defined edge cases."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -9,6 +10,7 @@ from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -378,6 +380,11 @@ def test_simhash_links(spark, how):
     assert groups([root.get(x, x) for x in signed]) == groups(brute_components(values))
 
 
+def test_more_bands_for_more_fingerprints():
+    chosen = [simhash.bands_for(n, 4) for n in (0, 10**5, 10**8, 10**11)]
+    assert chosen == sorted(chosen) and chosen[0] == 5 < chosen[-1]
+
+
 def _grouped(labels):
     out = defaultdict(list)
     for i, x in enumerate(labels):
@@ -507,6 +514,83 @@ def test_language_evidence(spark):
     assert [h[0] for h in hints] == ["de", "fr", None, None]
 
 
+def brute_posterior(rows, languages):
+    """The fusion by the rule itself, one document at a time. rows: (id, text, declared, hint, host)."""
+    n = len(languages)
+    code = lambda x: n + 1 if not x else languages.index(x) if x in languages else n
+    grams = []
+    for _, text, *_ in rows:
+        cells, _ = langid._trigrams(pa.array([text or ""]))
+        grams.append(cells.tolist())
+    counts = np.zeros((n, 1 << langid.BITS))
+    for (_, _, declared, _, _), g in zip(rows, grams, strict=True):
+        if code(declared) < n:
+            for x in g:
+                counts[code(declared), x] += 1
+    p = (counts + 0.5) / (counts + 0.5).sum(axis=1, keepdims=True) * (1 << langid.BITS)
+    scores = [[round(langid.TEXT_WEIGHT * sum(math.log(p[k, x]) for x in g), 3) for k in range(n)] for g in grams]
+    first = [n if not g or max(s) <= 0 else s.index(max(s)) for g, s in zip(grams, scores, strict=True)]
+
+    def table(values):
+        t = np.ones((n + 2, n))
+        for v, f in zip(values, first, strict=True):
+            if f < n:
+                t[v, f] += 1
+        t = np.log(t / t.sum(axis=0))
+        t[n + 1] = 0
+        return t
+
+    declared, hint = [code(r[2]) for r in rows], [code(r[3]) for r in rows]
+    by_declared, by_hint = table(declared), table(hint)
+    domain = lambda h: ".".join(h.split(".")[1:]) if h.count(".") > 1 else h
+    of = lambda keep: np.array([sum(f == k and keep(r) for r, f in zip(rows, first, strict=True)) for k in range(n)], float)
+    base = (of(lambda r: True) + 1) / (of(lambda r: True).sum() + n)
+    smooth = lambda own, parent: (own + langid.PRIOR_DOCS * parent) / (own.sum() + langid.PRIOR_DOCS)
+    out = {}
+    for r, g, s, d, h in zip(rows, grams, scores, declared, hint, strict=True):
+        if not g:
+            out[r[0]] = ("und", 1.0)
+            continue
+        prior = smooth(of(lambda x: x[4] == r[4]), smooth(of(lambda x: domain(x[4]) == domain(r[4])), base))
+        joint = [s[k] + math.log(prior[k]) + by_declared[d, k] + by_hint[h, k] + math.log(1 - langid.NONE_PRIOR) for k in range(n)] + [math.log(langid.NONE_PRIOR)]
+        best = joint.index(max(joint))
+        out[r[0]] = ((*languages, "und")[best], 1 / sum(math.exp(x - joint[best]) for x in joint))
+    return out
+
+
+def test_language_posterior_equals_the_rule(spark):
+    r = random.Random(8)
+    plain = {"en": "the of and house with that man dog", "de": "das und der haus mit dem hund nicht", "fr": "la de et maison avec que homme chien"}
+    languages = ("en", "de", "fr")
+    rows = []
+    for k in range(60):
+        own = r.choice(languages)
+        text = " ".join(r.choice(plain[own if r.random() < 0.8 else r.choice(languages)].split()) for _ in range(r.randrange(4))) if r.random() < 0.9 else r.choice(("", None, "12 34"))
+        rows.append((k, text, r.choice((own, own, None, "xx", r.choice(languages))), r.choice((own, None, "de", "xx")), f"h{r.randrange(4)}.{own}.example" if r.random() < 0.7 else "solo"))
+    data = [(i, t, d, f"http://a.org/{h}/x" if h else "http://a.org/long/x", host, "clash", 0) for i, t, d, h, host in rows]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string, url string, source string, hint string, prior int")
+    got = {x.doc_id: (x.language, x.posterior) for x in langid.identify(df, url_col="url", languages=languages).collect()}
+    want = brute_posterior(rows, languages)
+    assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in want.items()}
+    assert max(abs(got[k][1] - want[k][1]) for k in want) < 1e-4
+
+
+def test_language_of_pages(spark):
+    """The registered query, and what it finds where a third of the pages don't declare their language."""
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    got = QUERIES["op9_language_id"](spark, SF).collect()
+    assert len(got) == pages.count() and np.mean([r.accepted for r in got]) > 0.95
+    truth = {r.page_id: r[1] for r in pages.select("page_id", html.declared_language(F.col("html"))).collect()}
+    hidden = F.when(F.col("page_id") % 3 == 0, "").otherwise(html.declared_language(F.col("html")))
+    texts = html.extract_pages(pages.withColumns({"declared": hidden, "host": langid.page_host(F.col("url"))}), keep=("declared", "host"))
+    found = langid.identify(texts, id_col="page_id", declared_col="declared", host_col="host", url_col="url").collect()
+    assert np.mean([r.language == truth[r.doc_id] for r in found if r.doc_id % 3 == 0]) > 0.95
+    hosts = [(None, ""), ("http://A.b.Example/x", "a.b.example"), ("https://u:p@h.org:8080?q", "h.org"), ("no", "")]
+    assert [r[0] for r in spark.createDataFrame([(u,) for u, _ in hosts], "u string").select(langid.page_host(F.col("u"))).collect()] == [h for _, h in hosts]
+    tags = ['<!doctype html><HTML class=x LANG="fr-CA">', "<html lang=de>", "<html xml:lang='es'>", "<html><p lang=en>", None]
+    assert [r[0] for r in spark.createDataFrame([(t,) for t in tags], "t string").select(html.declared_language(F.col("t"))).collect()] == ["fr", "de", "", "", None]
+
+
 # --- op10
 
 
@@ -533,6 +617,41 @@ def test_mixing_meets_its_targets(spark):
     assert got[got.probability >= 1].sampled.all() and 0.6 < got.sampled.mean() < 1
 
 
+def brute_rake(cells, sweeps=400):
+    """Weights of (source, language, topic) cells by plain iterative proportional fitting of all three marginals."""
+    total = sum(cells.values())
+    targets = []
+    for place in range(3):
+        sums = defaultdict(float)
+        for k, n in cells.items():
+            sums[k[place]] += n
+        powers = {k: v**mixing.FLATTEN for k, v in sums.items() if v}
+        targets.append({k: v / sum(powers.values()) for k, v in powers.items()})
+    weight = {k: n / total for k, n in cells.items() if n}
+    for _ in range(sweeps):
+        for place in (1, 2, 0):
+            sums = defaultdict(float)
+            for k, w in weight.items():
+                sums[k[place]] += w
+            weight = {k: w * targets[place][k[place]] / sums[k[place]] for k, w in weight.items()}
+    return {k: w * total / cells[k] for k, w in weight.items()}
+
+
+@pytest.mark.parametrize("local", [4096, 2])
+def test_mixing_equals_plain_raking(spark, monkeypatch, local):
+    """Few sources and many, of which each sweep is a job."""
+    monkeypatch.setattr(mixing, "LOCAL_SOURCES", local)
+    r = random.Random(4)
+    rows = [(k, " ".join(r.choice("abcdefgh") for _ in range(r.randrange(1, 40))), r.choice(("en", "en", "fr", "de")), f"s{r.choice((0, 0, 0, 1, 2, 3))}") for k in range(300)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), topics=3).collect()
+    cells = defaultdict(int)
+    for x in got:
+        cells[x.source, x.lang, x.topic] += x.tokens
+    want = brute_rake(cells)
+    assert max(abs(x.weight - want[x.source, x.lang, x.topic]) for x in got) < 1e-4
+    assert {x.residual for x in got} == {got[0].residual} and got[0].residual < mixing.CLOSE
+
+
 def test_mixing_edges(spark, docs, empty):
     got = mixing.mix(docs).collect()
     assert len(got) == len(TEXTS) and mixing.mix(empty).count() == 0
