@@ -18,10 +18,6 @@ def cabrillo_time(date: Column, time: Column) -> Column:
     return F.coalesce(F.try_to_timestamp(text, F.lit("yyyy-MM-dd HHmm")), F.try_to_timestamp(text, F.lit("MM/dd/yyyy HHmm")))
 
 
-def epoch_time(c: Column) -> Column:
-    return F.timestamp_seconds(c)
-
-
 def mid_month(c: Column) -> Column:
     """The 15th of a ``YYYY-MM`` month between 1900 and 2100; null otherwise."""
     year, month = F.substring(c, 1, 4).try_cast("int"), F.substring(c, 6, 2).try_cast("int")

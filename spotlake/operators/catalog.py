@@ -9,7 +9,7 @@ from .dedupe import first_by_key
 
 #: Link patterns of index pages (fixed values): log files of a directory listing; query pages with hash and callsign.
 LOG_LINK = r"""href=['"]([^'"]+\.log)['"]"""
-QUERY_LINK = r"""showpubliclog\.php\?q=([^'"\s]+)['"][^>]*>([^<]+)<"""
+QUERY_LINK = r"""showpubliclog\.php\?q=([^"]+)"[^>]*>([^<]+)</a>"""
 
 
 def _calendar(spark, start: str, end: str, step: str) -> DataFrame:
@@ -66,6 +66,13 @@ def extract_links(pages: DataFrame, pattern: str = LOG_LINK, *, page: str = "pag
     return pages.select(page, F.posexplode(F.regexp_extract_all(html, F.lit(pattern), F.lit(group))).alias("pos", "link"))
 
 
+def query_manifest(pages: DataFrame, *, page: str = "page_id", html: str = "html", pattern: str = QUERY_LINK) -> DataFrame:
+    """page, callsign (trimmed, lower case, ``/`` as ``-``), pos and hash of the query links of each page; the first link of a callsign wins."""
+    both = F.arrays_zip(*[F.regexp_extract_all(html, F.lit(pattern), F.lit(g)).alias(n) for g, n in ((1, "hash"), (2, "name"))])
+    rows = pages.select(page, F.posexplode(both).alias("pos", "x")).select(page, "pos", F.col("x.hash").alias("hash"), F.replace(F.lower(F.trim("x.name")), F.lit("/"), F.lit("-")).alias("callsign"))
+    return first_by_key(rows.where("callsign <> ''").select(page, "callsign", "pos", "hash"), [page, "callsign"], ["pos"])
+
+
 def log_manifest(links: DataFrame, page: str = "page_id") -> DataFrame:
     """callsign of each log link: file name without suffix, lower case, ``/`` as ``-``; the first link of a page wins."""
     name = F.regexp_replace(F.lower(F.regexp_extract("link", r"([^/]*)$", 1)), r"\.log$", "")

@@ -68,11 +68,14 @@ def append_log(entries: DataFrame, path: str) -> None:
     entries.write.mode("append").parquet(path)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return file.getFileSystem(spark._jsc.hadoopConfiguration()).exists(file)
+
+
 def read_log(spark: SparkSession, path: str, schema) -> DataFrame:
     """The log at ``path``; an empty one if nothing was logged yet."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    there = folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
-    return spark.read.schema(schema).parquet(path) if there else spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path) if _exists(spark, path) else spark.createDataFrame([], schema)
 
 
 def replace_partitions(df: DataFrame, path: str, parts: list[str]) -> None:
@@ -105,10 +108,14 @@ def clustered(df: DataFrame, parts: list[str], order: list[str], files: int | No
     return dealt.sortWithinPartitions(*parts, *order)
 
 
-def csv_to_parquet(spark: SparkSession, src: str, dst: str, schema, *, delimiter: str = ",") -> None:
-    """Typed, zstd-compressed Parquet of CSV files; malformed rows are dropped."""
+def csv_to_parquet(spark: SparkSession, src: str, dst: str, schema, *, delimiter: str = ",", again: bool = False) -> bool:
+    """Typed, zstd-compressed Parquet of CSV files; malformed rows are dropped. An output that was finished (by its
+    ``_SUCCESS``) is skipped unless it is asked for ``again``. Returns whether it was written."""
+    if not again and _exists(spark, f"{dst}/_SUCCESS"):
+        return False
     rows = spark.read.schema(schema).option("mode", "DROPMALFORMED").option("sep", delimiter).csv(src)
     rows.write.mode("overwrite").option("compression", "zstd").parquet(dst)
+    return True
 
 
 def incremental_load(listing: DataFrame, log: DataFrame, log_path: str, read: Callable[[list[str]], DataFrame], write: Callable[[DataFrame], None], *, growth: bool = False, batch_files: int = 10_000, **entry) -> int:

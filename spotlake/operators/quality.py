@@ -111,6 +111,11 @@ def run_stats(log: DataFrame) -> DataFrame:
     )
 
 
+def write_report(stats: DataFrame, path: str) -> None:
+    """A run's totals, one row, as a JSON document."""
+    stats.coalesce(1).write.mode("overwrite").json(path)
+
+
 def size_figures(bytes_in: Column, bytes_out: Column) -> dict[str, Column]:
     """mb_in, mb_out, gb_in and ratio of two sizes."""
     return {"mb_in": bytes_in / 1048576.0, "mb_out": bytes_out / 1048576.0, "gb_in": bytes_in / 1073741824.0, "ratio": F.when(bytes_out > 0, bytes_in / bytes_out).otherwise(0.0)}

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.space import FALLBACK_FLUX, flux_or_fallback, space_conditions
 from ..functions.times import bucket3h
-from ..schemas import SOLAR_MEASURES
+from ..schemas import SOLAR, SOLAR_MEASURES, conform
+from ..sources import solar as feeds
+from ..sources.files import detect_format, read_documents
 
 #: Energy bands of the x-ray feed (fixed values).
 SHORT_BAND, LONG_BAND = "0.05-0.4nm", "0.1-0.8nm"
@@ -75,11 +77,6 @@ def merge_solar_wind(mag: DataFrame, plasma: DataFrame) -> DataFrame:
     return out.select("t", *[F.coalesce(c, F.lit(0.0)).alias(c) for c in out.columns if c != "t"])
 
 
-def last_value(df: DataFrame, value: str, time: str) -> DataFrame:
-    """value: the last one by time."""
-    return df.agg(F.max_by(value, time).alias(value))
-
-
 def live_conditions(kp: DataFrame, xray: DataFrame, flux: DataFrame, *, fallback: float = FALLBACK_FLUX) -> DataFrame:
     """One row of the present state: kp (time, kp_index, ap_index), xray (t, xray_short, xray_long), flux (time, flux)."""
     k = kp.agg(F.max_by("kp_index", "time").alias("kp_index"), F.max_by("ap_index", "time").alias("ap_index"))
@@ -90,3 +87,25 @@ def live_conditions(kp: DataFrame, xray: DataFrame, flux: DataFrame, *, fallback
     zero = lambda c: F.coalesce(c, F.lit(0.0)).alias(c)
     one = one.select(zero("kp_index"), zero("ap_index"), flux_or_fallback(F.col("solar_flux"), fallback).alias("solar_flux"), zero("xray_short"), zero("xray_long"))
     return one.withColumn("conditions", space_conditions(F.col("kp_index"), F.col("xray_long")))
+
+
+def solar_batch(documents: DataFrame) -> DataFrame:
+    """Solar documents (file, text) of mixed families in one batch, in the columns of the solar table: each document goes
+    to the parser of its family, by its name and first character; unknown ones are left out. source_file is the family."""
+    first = F.substring(F.ltrim(F.col("text")), 1, 1)
+    known = documents.withColumn("family", detect_format(F.col("file"), first))
+    of = lambda family: known.where(F.col("family") == family)
+    lines = of("sidc").select(F.explode(F.split("text", "\r?\n", -1)).alias("line"))
+    xray = bucket_3h(pivot_xray(feeds.parse_xray(of("xray_json"))), "t", ["xray_short", "xray_long"])
+    parts = {
+        "sidc": feeds.parse_sidc(lines).withColumn("time", F.col("date").cast("timestamp")),
+        "kp_json": feeds.parse_kp(of("kp_json")),
+        "xray_json": xray.withColumn("time", F.timestamp_seconds("bucket")).withColumn("date", F.to_date("time")),
+        "sfi_json": feeds.parse_flux_daily(of("sfi_json")).withColumn("time", F.col("date").cast("timestamp")),
+    }
+    return reduce(DataFrame.unionByName, [conform(df.withColumn("source_file", F.lit(family)), SOLAR) for family, df in parts.items()])
+
+
+def read_solar_folder(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """One batch of all solar files below ``paths``."""
+    return solar_batch(read_documents(spark, paths))

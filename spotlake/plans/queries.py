@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -12,26 +10,8 @@ from ..operators import catalog, dedupe, load, quality, solar
 from ..sources import cabrillo, files, pskr, rbn, wspr
 from ..sources import solar as feeds
 from ..streaming import live
-from .views import duckdb_sql, view
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def register(sql: str = "", *names: str):
-    """Register a query by its function's name; ``names``: derived views that its SQL reads."""
-
-    def add(f: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[f.__name__] = f
-        if sql:
-            views = ", ".join(f"{n} as ({duckdb_sql(n)})" for n in names)
-            body = sql.strip()
-            if views:
-                body = f"with {views}, {body[5:]}" if body.startswith("with ") else f"with {views} {body}"
-            ORACLE_SQL[f.__name__] = body
-        return f
-
-    return add
+from .registry import ORACLE_SQL, QUERIES, register
+from .views import view
 
 
 def _case(f: str, place: int) -> str:
@@ -551,12 +531,6 @@ def latest_by_file(spark, sf_dir):
     return dedupe.latest_by_priority(rows, ["day_no"], "priority", ["updated_seq"])
 
 
-@register("select distinct day_no, hour, kp from solar_versions where updated_seq % 2 = 0", "solar_versions")
-def overlapping_windows(spark, sf_dir):
-    rows = view(spark, sf_dir, "solar_versions").where("updated_seq % 2 = 0").select("day_no", "hour", "kp")
-    return live.dedupe_stream(rows.unionAll(rows), ["day_no", "hour", "kp"])
-
-
 @register("select distinct day_no, hour, kp from solar_versions", "solar_versions")
 def overlapping_windows_whole(spark, sf_dir):
     """All versions, in two windows of hours that overlap."""
@@ -646,18 +620,6 @@ def throughput(spark, sf_dir):
 # --- catalogues
 
 
-@register("select d::date as day from unnest(generate_series(timestamp '1994-01-01', timestamp '1999-12-31', interval 1 day)) x(d) where d::date not in (select o_orderdate::date from orders where o_orderkey % 50 = 0)")
-def archive_gaps(spark, sf_dir):
-    present = spark.read.parquet(f"{sf_dir}/orders.parquet").where("o_orderkey % 50 = 0").select(F.to_date("o_orderdate").alias("day"))
-    return catalog.missing_days(present, "1994-01-01", "1999-12-31")
-
-
-@register("select d::date as day from unnest(generate_series(timestamp '1990-01-01', timestamp '2001-12-01', interval 1 month)) x(d) where d::date not in (select date_trunc('month', o_orderdate)::date from orders where o_orderkey % 50 = 0)")
-def archive_month_gaps(spark, sf_dir):
-    present = spark.read.parquet(f"{sf_dir}/orders.parquet").where("o_orderkey % 50 = 0").select(F.to_date("o_orderdate").alias("day"))
-    return catalog.missing_months(present, "1990-01-01", "2001-12-01")
-
-
 @register("select d::date as day from unnest(generate_series(timestamp '1990-01-01', timestamp '2001-12-31', interval 1 day)) x(d) where d::date not in (select o_orderdate::date from orders)")
 def archive_gaps_whole(spark, sf_dir):
     """Gaps of all orders, in a calendar that reaches beyond them."""
@@ -705,3 +667,8 @@ def page_links(spark, sf_dir):
 def page_manifest(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "html")
     return catalog.log_manifest(catalog.extract_links(pages, r'href="([^"]+)"')).select("page_id", "callsign", "pos")
+
+
+from . import feeds as _feed_queries, stores as _store_queries  # noqa: E402, F401  (they register theirs)
+
+__all__ = ["ORACLE_SQL", "QUERIES"]

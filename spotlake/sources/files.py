@@ -17,18 +17,20 @@ from ..functions.clean import relative_path
 BATCH_LINES = 50_000
 
 
-def list_files(spark: SparkSession, root: str, glob: str = "*", *, min_age: str | None = None, year: int | None = None) -> DataFrame:
+def list_files(spark: SparkSession, root: str, glob: str = "*", *, min_age: str | None = None, year: int | None = None, contest: str | None = None) -> DataFrame:
     """file_path (relative to ``root``), file_size and modified of the files below ``root``, contents unread.
 
-    min_age: an interval such as ``5 minutes``; younger files are left out. year: only paths that name it."""
+    min_age: an interval such as ``5 minutes``; younger files are left out. year: only files of that year's folder, or
+    where files lie in no year's folder, those whose name starts with it. contest: only files of that folder."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root)
     base = root if "://" in root or root.startswith("file:") else f"file:{root}"
     out = found.select(relative_path(F.regexp_replace("path", "^file:/+", "file:/"), base).alias("file_path"), F.col("length").alias("file_size"), F.col("modificationTime").alias("modified"))
     if min_age:
         out = out.where(F.col("modified") <= F.current_timestamp() - F.expr(f"interval {min_age}"))
     if year:
-        out = out.where(F.regexp_extract("file_path", r"(?:^|[^0-9])(\d{4})", 1) == str(year))
-    return out
+        folder = F.regexp_extract("file_path", r"^(\d{4})/", 1)
+        out = out.where(F.when(folder != "", folder).otherwise(F.regexp_extract("file_path", r"([0-9]{4})[^/]*$", 1)) == str(year))
+    return out.where(F.startswith("file_path", F.lit(contest.rstrip("/") + "/"))) if contest else out
 
 
 def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -80,18 +82,20 @@ def _members(kind: str):
     return lines
 
 
-def _read_archives(spark: SparkSession, paths: str | list[str], kind: str) -> DataFrame:
-    return spark.read.format("binaryFile").load(paths).select("path", "content").mapInArrow(_members(kind), "file string, line_no long, line string")
+def archive_lines(archives: DataFrame, kind: str) -> DataFrame:
+    """file, line_no and line of the first CSV member of each of ``archives`` (path, content), of kind ``zip`` or ``tar``
+    (tar.gz too); an archive is one task."""
+    return archives.select("path", "content").mapInArrow(_members(kind), "file string, line_no long, line string")
 
 
 def read_zip_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """file, line_no and line of the first CSV member of each zip archive; an archive is one task."""
-    return _read_archives(spark, paths, "zip")
+    """Lines of zip archives."""
+    return archive_lines(spark.read.format("binaryFile").load(paths), "zip")
 
 
 def read_tar_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """The same of tar and tar.gz archives."""
-    return _read_archives(spark, paths, "tar")
+    """Lines of tar and tar.gz archives."""
+    return archive_lines(spark.read.format("binaryFile").load(paths), "tar")
 
 
 def detect_format(name: Column, first_char: Column) -> Column:

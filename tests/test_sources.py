@@ -124,6 +124,27 @@ def test_listing_and_formats(spark, tmp_path):
     assert [r[0] for r in df.select(files.detect_format(F.col("n"), F.col("c"))).collect()] == ["sidc", "sfi_json", "unknown", "xray_json"]
 
 
+def test_listing_by_year_and_contest(spark, tmp_path):
+    for name in ("2024/2019-x.zip", "2025/a.zip", "cq-ww/2024/a.log", "cq-ww-cw/b.log", "2024.zip"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text("x")
+    found = lambda **how: sorted(r.file_path for r in files.list_files(spark, str(tmp_path), **how).collect())
+    assert found(year=2024) == ["2024.zip", "2024/2019-x.zip"] and found(year=2019) == []
+    assert found(contest="cq-ww") == ["cq-ww/2024/a.log"] and len(found(min_age="0 seconds")) == 5 and found(min_age="1 hour") == []
+
+
+def test_mixed_solar_files(spark, tmp_path):
+    (tmp_path / "SIDC_x.csv").write_text("2024;05;11;2024.360;170;15.0;40;1\n#\n")
+    (tmp_path / "noaa_kp_index.json").write_text('[["time_tag","Kp","a_running"],["2024-05-11 00:00:00.000","9.00","400"]]')
+    (tmp_path / "goes_xray.json").write_text('[{"time_tag":"2024-05-11T01:14:00Z","satellite":18,"flux":1e-3,"energy":"0.1-0.8nm"}]')
+    (tmp_path / "readme.txt").write_text("flux")
+    from spotlake.operators.solar import read_solar_folder
+
+    got = {r.source_file: r for r in read_solar_folder(spark, str(tmp_path)).collect()}
+    assert set(got) == {"sidc", "kp_json", "xray_json"} and {str(r.date) for r in got.values()} == {"2024-05-11"}
+    assert (got["sidc"].ssn, got["kp_json"].kp_index) == (170, 9) and abs(got["xray_json"].xray_long - 1e-3) < 1e-9
+
+
 def test_lines_are_split_once(spark):
     """Filters on parsed rows don't repeat the split, and quoted lines are read from the left."""
     from spotlake.functions.clean import fields
