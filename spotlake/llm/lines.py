@@ -154,6 +154,11 @@ def _possible(x: dict, i, j, share: Fraction) -> np.ndarray:
     return good
 
 
+def _other_lines(one: np.ndarray, x: dict, i, j) -> np.ndarray:
+    """Whether the postings i and j are of two lines: by the 32 bits of the signature that travel, by size and position, or by the bitmap."""
+    return (one[i] != one[j]) | (x["low"][i] != x["low"][j]) | (x["high"][i] != x["high"][j]) | (x["size"][i] != x["size"][j]) | (x["at"][i] != x["at"][j])
+
+
 def _near_pairs(run: np.ndarray, length: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of places in the same run, for the runs of at most ``most`` rows, by distance. run: where the run of each place starts."""
     place = np.arange(len(run))
@@ -245,7 +250,9 @@ def similar_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     without words (and null and empty texts) have no part: their documents have no lines, no
     links and their own class. Ids must be whole numbers; null ids count as the greatest. Rows that
     repeat an id are one document whose lines of equal number are tied, and a tie stays. Other
-    columns are not read. Words are compared by 64-bit hashes.
+    columns are not read. Words are compared by 64-bit hashes and lines told apart by 128 bits; a link is
+    overlooked only if all postings of two lines look alike in 32 bits of their signatures, a bitmap of 128 and
+    their numbers of words.
     """
     context = docs.sparkSession.sparkContext
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)).alias("doc_id"), F.col(text_col).alias("text"))
@@ -312,7 +319,7 @@ def similar_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
                 live[run == 0] = True
             last, before = word[-1], int(total[-1])
             for i, j in _near_pairs(run, length, SMALL_ROWS):
-                good = (one[i] != one[j]) & _possible(x, i, j, share)
+                good = _other_lines(one, x, i, j) & _possible(x, i, j, share)
                 live[i[good]] = live[j[good]] = True
             for head in np.unique(run[length > SMALL_ROWS]).tolist():
                 rows_of = np.arange(head, head + int(length[head]))
@@ -321,7 +328,7 @@ def similar_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
                     continue
                 for at in range(0, len(rows_of), 256):
                     part = rows_of[at : at + 256, None]
-                    good = (one[part] != one[rows_of]) & _possible(x, part, rows_of[None, :], share)
+                    good = _other_lines(one, x, part, rows_of[None, :]) & _possible(x, part, rows_of[None, :], share)
                     live[rows_of[at : at + 256]] |= good.any(axis=1)
             hot = np.unique(run[total > group_rows])
             key = np.concatenate([_key(word[live], one[live]), _key(np.zeros(int(live.sum()), np.int32), one[live])])

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 from spotlake.llm import exact_dedup, langid, lines, mixing, simhash
 from test_operators import brute_lines
@@ -29,6 +30,23 @@ def test_line_dedup_of_a_cut_run(spark, monkeypatch):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
 
 
+@pytest.mark.parametrize("last", [0, 1000])
+def test_line_dedup_of_a_frequent_word(spark, last):
+    """Pairs whose first common prefix word stands in more lines than are looked at, with production parameters; ``last`` more
+    lines of that word have no partner."""
+    r, pairs = random.Random(last), 9_000
+    frequent = [f"c{k}" for k in range(40)]
+    rows = []
+    for k in range(pairs):
+        common = ["hot", *r.sample(frequent, 8)]
+        rows += [(2 * k, " ".join([f"u{k}", *common])), (2 * k + 1, " ".join([f"v{k}", *common]))]
+    rows += [(2 * pairs + k, " ".join([f"w{k}", "hot", *(f"x{k}_{i}" for i in range(8))])) for k in range(last)]
+    fillers = [(10**6 + k, " ".join(r.sample(frequent, 20))) for k in range(45_000)]
+    got = {x.doc_id: x for x in lines.similar_lines(spark.createDataFrame(rows + fillers, "doc_id long, text string")).collect()}
+    assert all(got[2 * k].n_links >= 1 and got[2 * k + 1].removed == [0] and got[2 * k + 1].class_id <= 2 * k for k in range(pairs))
+    assert sum(got[k].n_links for k in range(2 * pairs, 2 * pairs + last)) == 0
+
+
 # --- rows with null and repeated ids
 
 ENGLISH = "the house of the man and the dog is with them and the child of the woman is in the garden"
