@@ -66,9 +66,9 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 def written(df: DataFrame) -> DataFrame:
-    """``df`` as Parquet in the shared folder, read again: smaller than a checkpoint where texts are long."""
+    """``df`` as compressed Parquet in the shared folder, read again: smaller than a checkpoint where texts are long."""
     path = f"{checkpoint_folder(df.sparkSession)}/written-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
@@ -77,7 +77,7 @@ def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
     name = "_row"
     while name.lower() in {c.lower() for c in docs.columns}:
         name += "_"
-    return checkpointed(docs.withColumn(name, F.monotonically_increasing_id())), name
+    return written(docs.withColumn(name, F.monotonically_increasing_id())), name
 
 
 def ranked_id(id_col: str, row: str) -> F.Column:
