@@ -75,12 +75,14 @@ def _automaton() -> ahocorasick.Automaton:
     return a
 
 
-#: A-Z as a-z, one for one: places stay as they are.
+#: A-Z as a-z.
 _LOWER = {c: c + 32 for c in range(65, 91)}
 
 
 def _lowered(text: str) -> str:
-    return text.lower() if text.isascii() else text.translate(_LOWER)
+    """The text in lower case, place by place. A letter whose lower case is longer leaves only A-Z to be changed."""
+    lower = text.lower()
+    return lower if len(lower) == len(text) else text.translate(_LOWER)
 
 
 def _run(text: str, at: int, chars: frozenset) -> int:
