@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from spotlake.llm.bpe import bpe_encode
-from spotlake.llm.common import checkpoint_folder
+from spotlake.llm.common import checkpoint_folder, remove
 from spotlake.llm.exact_dedup import drop_copies
 from spotlake.llm.langid import keep_identified
 from spotlake.llm.mixing import sample_mix
@@ -31,7 +31,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies: five-word shingles, similarity of 0.8 or more."""
     return drop_near_copies(docs)
 
 
@@ -59,11 +59,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on ``documents``; what each stage returns is written beside the checkpoints and read again."""
+    """All stages on ``documents``; what each stage returns is written beside the checkpoints and read again, and deleted
+    when the next stage has been written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    folder = checkpoint_folder(spark)
+    folder, before = checkpoint_folder(spark), None
     for k, (_, stage) in enumerate(STAGES):
         path = f"{folder}/corpus-{uuid.uuid4().hex}-{k}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            remove(spark, before)
+        before = path
     return docs

@@ -72,6 +72,12 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete what was written at ``path``."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
     """``docs`` with a number of each row, and that column's name. Written, so that a lost task can't draw other numbers."""
     name = "_row"

@@ -23,8 +23,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import checkpointed, chosen_rows, joined, numbered, text_blocks
+from .common import checkpointed, joined, text_blocks, written
 
 LANGUAGES = ("en", "fr", "de", "es")
 #: Class of texts in none of the languages.
@@ -37,6 +38,8 @@ TEXT_WEIGHT = 0.3
 PRIOR_DOCS = 20.0
 #: Prior probability of no language.
 NONE_PRIOR = 1e-3
+#: Most hosts whose priors are broadcast.
+FEW_HOSTS = 50_000
 #: Least posterior of an accepted language.
 LEAST_POSTERIOR = 0.5
 
@@ -95,8 +98,9 @@ def identify(
     host_col: str = "source",
     url_col: str | None = None,
     languages: tuple[str, ...] = LANGUAGES,
+    whole_rows: bool = False,
 ) -> DataFrame:
-    """doc_id, language, posterior, accepted and text_language of every row.
+    """doc_id, language, posterior, accepted and text_language of every row, and its columns as the struct ``row`` if ``whole_rows``.
 
     Null and empty texts, and texts without a letter, are of no language (``und``), with
     posterior 1 and not accepted: metadata alone never accept a document. A null host
@@ -112,7 +116,9 @@ def identify(
         _code(F.col(declared_col), languages).alias("declared"),
         _code(address_hint(F.col(url_col)) if url_col else F.lit(None).cast("string"), languages).alias("hint"),
         F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"),
+        *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if whole_rows else []),
     )
+    kept = ["row"] if whole_rows else []
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((n, 1 << BITS), np.int64)
@@ -141,13 +147,14 @@ def identify(
             sums = np.round(sums * TEXT_WEIGHT, 3)
             made = pa.ListArray.from_arrays(pa.array(np.arange(block.num_rows + 1, dtype=np.int32) * n), pa.array(sums.ravel()))
             letters = np.bincount(row, minlength=block.num_rows)
-            names = ["doc_id", "declared", "hint", "host"]
+            names = ["doc_id", "declared", "hint", "host", *kept]
             yield pa.RecordBatch.from_arrays([*(block.column(c) for c in names), pa.array(letters), made], [*names, "grams", "text_score"])
 
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    scored = rows.mapInArrow(score, f"doc_id {kind}, declared int, hint int, host string, grams long, text_score array<double>")
+    kinds = T.StructType([f for f in rows.schema if f.name != "text"]).add("grams", "long").add("text_score", T.ArrayType(T.DoubleType()))
+    scored = rows.mapInArrow(score, kinds)
     first = F.expr(f"if(array_max(text_score) <= 0 or grams = 0, {n}, array_position(text_score, array_max(text_score)) - 1)")
-    scored = checkpointed(scored.withColumn("first", first.cast("int")).withColumn("domain", F.regexp_replace("host", r"^[^.]*\.(?=.*\.)", "")))
+    settle = written if whole_rows else checkpointed
+    scored = settle(scored.withColumn("first", first.cast("int")).withColumn("domain", F.regexp_replace("host", r"^[^.]*\.(?=.*\.)", "")))
 
     def evidence(column: str) -> F.Column:
         """log P(column | language) for each language, over the documents whose text decides; by column value."""
@@ -173,7 +180,9 @@ def identify(
     domains = hosts.groupBy("domain").agg(*[F.sum(f"n{k}").alias(f"n{k}") for k in range(n)]).select("domain", smoothed(counts_of, base).alias("parent"))
     # Written, so that a hot host can be split in the join below.
     priors = checkpointed(hosts.join(domains, "domain").select("host", smoothed(counts_of, F.col("parent")).alias("prior")))
-    fused = scored.join(priors, "host").withColumns({"by_declared": evidence("declared"), "by_hint": evidence("hint")})
+    # Few hosts are sent to the rows (their number bounds the size: names are short), so that no row moves.
+    few = priors.limit(FEW_HOSTS + 1).count() <= FEW_HOSTS
+    fused = scored.join(F.broadcast(priors) if few else priors, "host").withColumns({"by_declared": evidence("declared"), "by_hint": evidence("hint")})
     log_joint = F.concat(
         F.transform("text_score", lambda x, i: x + F.log(F.col("prior")[i]) + F.col("by_declared")[i] + F.col("by_hint")[i] + F.lit(float(np.log(1 - NONE_PRIOR)))),
         F.array(F.lit(float(np.log(NONE_PRIOR)))),
@@ -188,11 +197,12 @@ def identify(
         F.round("p", 6).alias("posterior"),
         ((F.col("best") < n) & (F.col("p") >= LEAST_POSTERIOR)).alias("accepted"),
         names[F.col("first")].alias("text_language"),
+        *kept,
     )
 
 
 def keep_identified(docs: DataFrame, *, id_col: str = "doc_id", **how) -> DataFrame:
     """``docs`` without the documents whose language is not accepted; all columns kept. Each row goes by its own
     text, whether its id is null or repeated."""
-    rows, row = numbered(docs)
-    return chosen_rows(rows, row, identify(rows, id_col=row, **how).where("accepted").select("doc_id")).select(*docs.columns)
+    found = identify(docs, id_col=id_col, whole_rows=True, **how).where("accepted")
+    return found.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])

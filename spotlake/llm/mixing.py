@@ -19,8 +19,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import checkpointed, chosen_rows, numbered, span_hashes, text_blocks, text_bytes, token_spans
+from .common import checkpointed, span_hashes, text_blocks, text_bytes, token_spans, written
 
 LANGUAGES = ("en", "fr", "de", "es")
 #: Topics, cells of a word-count vector, and the most sweeps of k-means.
@@ -114,15 +115,16 @@ def topic_features(docs: DataFrame, *, id_col: str, text_col: str, keep: tuple[s
     """doc_id, the columns ``keep``, tokens (words of the whole text) and topic."""
     rows = docs.select(F.col(id_col).alias("doc_id"), *keep, F.xxhash64(text_col).alias("order"), F.col(text_col).alias("text"))
     names = ["doc_id", *keep]
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in names)
+    kinds = [f for f in rows.schema if f.name in names]
+    long, binary = T.LongType(), T.BinaryType()
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in text_blocks(batches, "text", 1 << 20):
             tokens, made = _vectors(block.column("text"))
             yield pa.RecordBatch.from_arrays([*(block.column(c) for c in names), pa.array(tokens), block.column("order"), _pack(made)], [*names, "tokens", "order", "vector"])
 
-    written = checkpointed(rows.mapInArrow(vectors, f"{kinds}, tokens long, order long, vector binary"))
-    model = docs.sparkSession.sparkContext.broadcast(fit_topics(written.select("order", "vector"), topics))
+    stored = written(rows.mapInArrow(vectors, T.StructType([*kinds]).add("tokens", long).add("order", long).add("vector", binary)))
+    model = docs.sparkSession.sparkContext.broadcast(fit_topics(stored.select("order", "vector"), topics))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -131,7 +133,7 @@ def topic_features(docs: DataFrame, *, id_col: str, text_col: str, keep: tuple[s
             topic = np.concatenate([np.zeros(0, np.int64), *own]).astype(np.int32)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), batch.column("tokens"), pa.array(topic)], [*names, "tokens", "topic"])
 
-    return written.drop("order").mapInArrow(assign, f"{kinds}, tokens long, topic int")
+    return stored.drop("order").mapInArrow(assign, T.StructType([*kinds]).add("tokens", long).add("topic", T.IntegerType()))
 
 
 def unit_hash(column, seed: int) -> F.Column:
@@ -175,7 +177,7 @@ def mix(
     for k, name in enumerate(languages):
         code = F.when(F.col(lang_col) == name, k).otherwise(code)
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"), F.col(lang_col).cast("string").alias("lang"), code.cast("int").alias("language"), *carry)
-    rows = checkpointed(topic_features(base, id_col="doc_id", text_col="text", keep=("source", "lang", "language", *carry), topics=topics))
+    rows = topic_features(base, id_col="doc_id", text_col="text", keep=("source", "lang", "language", *carry), topics=topics)
 
     cell = F.col("language") * topics + F.col("topic")
     own = F.array(*[F.sum(F.when(cell == k, F.col("tokens")).otherwise(0)).cast("double") for k in range(width)])
@@ -236,7 +238,8 @@ def mix(
     scale = _scale(factors, keep, total)
     weight = F.col("factors")[cell]
     chance = F.least(F.lit(1.0), weight * F.lit(scale))
-    out = rows.join(factors.select("source", "factors"), "source")
+    factors = factors.select("source", "factors")
+    out = rows.join(factors if few is None else F.broadcast(factors), "source")
     out = out.withColumns({"weight": weight, "probability": F.round(chance, 9)})
     sampled = (unit_hash("doc_id", seed) < F.col("probability")).alias("sampled")
     return out.select("doc_id", "source", "lang", "topic", "tokens", "weight", "probability", sampled, F.lit(round(residual, 9)).alias("residual"), *carry)
@@ -265,5 +268,8 @@ def _scale(factors: DataFrame, keep: float, total: float) -> float:
 def sample_mix(docs: DataFrame, *, id_col: str = "doc_id", **how) -> DataFrame:
     """``docs`` without the documents that the mix doesn't sample; all columns kept. Each row goes by the probability
     of its own cell; rows that repeat an id (or have none) share their hash alone."""
-    rows, row = numbered(docs)
-    return chosen_rows(rows, row, mix(rows, id_col=id_col, carry=(row,), **how).where("sampled").select(row)).select(*docs.columns)
+    row = "_row"
+    while row.lower() in {c.lower() for c in docs.columns}:
+        row += "_"
+    whole = docs.withColumn(row, F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
+    return mix(whole, id_col=id_col, carry=(row,), **how).where("sampled").select(*[F.col(f"{row}.`{c}`").alias(c) for c in docs.columns])

@@ -26,7 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
-from math import comb
+from math import acos, ceil, comb, log, pi, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -44,28 +44,50 @@ LEVELS = 16
 ROW_COST = 2000
 #: A leaf with more members than this is split into blocks.
 LEAF_ROWS = 4096
+#: 64-bit words of a wide fingerprint, words in its shingles, and the similarity that counts as near.
+WIDE, WIDE_SHINGLE_WORDS, SIMILARITY = 4, 5, 0.8
+#: Probability with which a pair of just that similarity may share no leaf.
+MISSED = 0.02
 
 
-def fingerprint(text: bytes, words_per_shingle: int = SHINGLE_WORDS) -> int:
-    """SimHash of a text's word shingles; 0 without words."""
+def _shingle_hashes(text: bytes, words_per_shingle: int) -> np.ndarray:
     words = text.lower().split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     if len(words) <= words_per_shingle:
-        hashes = [xxhash.xxh64_intdigest(joined, SEED)]
-    else:
-        ends = np.cumsum([len(w) + 1 for w in words]).tolist()
-        starts = [0, *ends[: len(words) - words_per_shingle]]
-        digest = xxhash.xxh64_intdigest
-        hashes = [digest(joined[a : b - 1], SEED) for a, b in zip(starts, ends[words_per_shingle - 1 :], strict=True)]
+        return np.array([xxhash.xxh64_intdigest(joined, SEED)], np.uint64)
+    ends = np.cumsum([len(w) + 1 for w in words]).tolist()
+    starts = [0, *ends[: len(words) - words_per_shingle]]
+    digest = xxhash.xxh64_intdigest
+    return np.array([digest(joined[a : b - 1], SEED) for a, b in zip(starts, ends[words_per_shingle - 1 :], strict=True)], np.uint64)
+
+
+def _majority(hashes: np.ndarray) -> int:
+    """The bits that are 1 in over half of the hashes."""
     counts = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 4096):
-        part = np.array(hashes[at : at + 4096], np.uint64)
-        counts += np.unpackbits(part.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+        counts += np.unpackbits(hashes[at : at + 4096].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
     return int.from_bytes(np.packbits(2 * counts > len(hashes)).tobytes(), "big")
 
 
+def fingerprint(text: bytes, words_per_shingle: int = SHINGLE_WORDS) -> int:
+    """SimHash of a text's word shingles; 0 without words."""
+    return _majority(_shingle_hashes(text, words_per_shingle))
+
+
+def wide_fingerprint(text: bytes, words_per_shingle: int) -> list[int]:
+    """SimHash of ``WIDE`` words of 64 bits: of the shingles' hashes, and of what a mixer makes of them and the word's number."""
+    hashes = _shingle_hashes(text, words_per_shingle)
+    out = [_majority(hashes)]
+    for k in range(1, WIDE):
+        x = hashes + np.uint64(k * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        out.append(_majority(x ^ (x >> np.uint64(31))))
+    return out
+
+
 def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words_per_shingle: int = SHINGLE_WORDS) -> DataFrame:
     """doc_id and fp (the fingerprint's 64 bits as a long) of every whole text.
 
@@ -131,14 +153,19 @@ def _one_each(parent: np.ndarray, a: int, partners: np.ndarray) -> list[tuple[in
     return [(a, int(partners[k])) for k in np.unique(roots, return_index=True)[1]]
 
 
+def _differing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Bits in which fingerprints (their words along the last axis) differ."""
+    return np.bitwise_count(x ^ y).sum(axis=-1, dtype=np.int64)
+
+
 def forest(left: np.ndarray, right: np.ndarray | None, distance: int) -> list[tuple[int, int]]:
-    """Spanning forest of the pairs within ``distance`` among ``left`` (or between both sides), as values.
+    """Spanning forest of the pairs within ``distance`` among ``left`` (or between both sides; a row of words each), as places
+    in both sides, one after the other.
 
     Both sides are ordered by their distance to one vantage point, so that the triangle bound
     leaves a window of the other side to compare with."""
-    point = left[0]
     both = left if right is None else np.concatenate([left, right])
-    far = np.bitwise_count(both ^ point).astype(np.int64)
+    far = _differing(both, left[0])
     parent = np.arange(len(both))
     own = np.argsort(far[: len(left)], kind="stable")
     other = own if right is None else len(left) + np.argsort(far[len(left) :], kind="stable")
@@ -150,7 +177,7 @@ def forest(left: np.ndarray, right: np.ndarray | None, distance: int) -> list[tu
         hi = int(np.searchsorted(other_far, far[rows[-1]] + distance, side="right"))
         if lo >= hi:
             continue
-        hits = np.bitwise_count(both[rows][:, None] ^ other_values[lo:hi]) <= distance
+        hits = _differing(both[rows][:, None], other_values[None, lo:hi]) <= distance
         i, j = np.nonzero(hits)
         pairs = zip(rows[i].tolist(), other[lo + j].tolist(), strict=True)
         if len(i) > 8 * len(rows):  # a dense group: one partner of each component will do
@@ -159,7 +186,7 @@ def forest(left: np.ndarray, right: np.ndarray | None, distance: int) -> list[tu
             x, y = _find(parent, a), _find(parent, b)
             if x != y:
                 parent[max(x, y)] = min(x, y)
-                edges.append((int(both[a]), int(both[b])))
+                edges.append((a, b))
     return edges
 
 
@@ -168,56 +195,67 @@ def near_edges(fps: DataFrame, *, distance: int = DISTANCE, bands: int | None =
     pairs within ``distance`` connect. ``bands``: more of them make more trees with smaller leaves; left out,
     their number follows from that of the fingerprints."""
     leaves = _leaves(fps, distance, bands or bands_for(fps.count(), distance))
+    return _edges_in_leaves(leaves, "fp", ("fp",), distance, leaf_rows)
+
+
+def _edges_in_leaves(leaves: DataFrame, node: str, words: tuple[str, ...], distance: int, leaf_rows: int) -> DataFrame:
+    """Edges (a, b) between nodes: a spanning forest of the pairs within ``distance`` of each leaf. ``leaves``: leaf, node, and the
+    words of its fingerprint (of which the node may be one)."""
+    columns = list(dict.fromkeys([node, *words]))
     # Written, so that a hot leaf can be split in the join.
     sizes = checkpointed(leaves.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     blocks = F.ceil(F.col("n") / leaf_rows)
-    dealt = leaves.join(sizes, "leaf").withColumns({"blocks": blocks.cast("int"), "block": F.pmod(F.xxhash64("fp", "leaf"), blocks).cast("int")})
+    dealt = leaves.join(sizes, "leaf").withColumns({"blocks": blocks.cast("int"), "block": F.pmod(F.xxhash64(node, "leaf"), blocks).cast("int")})
     # Each row goes to the pairs of blocks that its own is in: one pair unless the leaf was split.
     with_block = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, F.col("block")).alias("i"), F.greatest(k, F.col("block")).alias("j")))
-    dealt = dealt.select("leaf", "fp", "block", F.explode(with_block).alias("pair"))
+    dealt = dealt.select("leaf", *columns, "block", F.explode(with_block).alias("pair"))
     keys = ["leaf", "i", "j"]
-    dealt = dealt.select("leaf", "pair.i", "pair.j", "block", "fp")
+    dealt = dealt.select("leaf", "pair.i", "pair.j", "block", *columns)
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
 
-        def done() -> list[tuple[int, int]]:
+        def done() -> pa.RecordBatch:
             cols = [np.concatenate(c) for c in zip(*held, strict=True)]
-            leaf, i, j, block, fp = cols
+            leaf, i, j, block = cols[:4]
+            by_name = dict(zip(columns, cols[4:], strict=True))
+            values = np.stack([by_name[w].view(np.uint64) for w in words], axis=1)
             cut = np.flatnonzero((leaf[1:] != leaf[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
-            edges = []
+            found = []
             for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(leaf)], strict=True):
                 if b - a < 2:
                     continue
-                values = fp[a:b].view(np.uint64)
+                place = np.arange(a, b)
                 if i[a] == j[a]:
-                    edges += forest(values, None, distance)
+                    edges = forest(values[a:b], None, distance)
                 elif (first := block[a:b] == i[a]).any() and not first.all():
-                    edges += forest(values[first], values[~first], distance)
-            return edges
-
-        def out(edges: list[tuple[int, int]]) -> pa.RecordBatch:
-            ab = np.array(edges, np.uint64).reshape(-1, 2).view(np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(ab[:, 0]), pa.array(ab[:, 1])], ["a", "b"])
+                    place = np.concatenate([place[first], place[~first]])
+                    edges = forest(values[a:b][first], values[a:b][~first], distance)
+                else:
+                    continue
+                if edges:
+                    found.append(place[np.array(edges)])
+            ends = by_name[node][np.concatenate(found)] if found else np.zeros((0, 2), np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], ["a", "b"])
 
         # Batches may end inside a shard: its rows wait for the rest of it.
         for batch in batches:
             if not batch.num_rows:
                 continue
-            cols = tuple(batch.column(k).to_numpy(zero_copy_only=False) for k in ("leaf", "i", "j", "block", "fp"))
+            cols = tuple(batch.column(k).to_numpy(zero_copy_only=False) for k in ("leaf", "i", "j", "block", *columns))
             same = (cols[0] == cols[0][-1]) & (cols[1] == cols[1][-1]) & (cols[2] == cols[2][-1])
             whole = int(len(same) - np.argmin(same[::-1])) if not same.all() else 0
             if whole:
                 held.append(tuple(c[:whole] for c in cols))
-                yield out(done())
+                yield done()
                 held = [tuple(c[whole:] for c in cols)]
             else:
                 if held and any(held[-1][k][-1] != cols[k][0] for k in range(3)):
-                    yield out(done())
+                    yield done()
                     held = []
                 held.append(cols)
         if held:
-            yield out(done())
+            yield done()
 
     shards = dealt.repartition(*keys).sortWithinPartitions(*keys)
     return shards.mapInArrow(link, "a long, b long")
@@ -263,9 +301,83 @@ def near_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     return prints.join(found, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def far_bits(similarity: float) -> tuple[float, float]:
+    """Share of the bits in which wide fingerprints of texts with just this Jaccard similarity differ (their shingle sets being
+    of one size), and how many they differ in at most but for the rarest 2 % of chances (two deviations)."""
+    share = acos(2 * similarity / (1 + similarity)) / pi
+    n = 64 * WIDE
+    return share, share * n + 2 * sqrt(n * share * (1 - share))
+
+
+def trees_for(rows: int, share: float) -> tuple[int, int]:
+    """Bits that a tree looks at, and trees, that make the least work for so many fingerprints, while texts whose
+    fingerprints differ in ``share`` of the bits share a leaf but for ``MISSED``."""
+
+    def trees(bits: int) -> int:
+        return ceil(log(MISSED) / log(1 - (1 - share) ** bits))
+
+    bits = min(range(6, 33), key=lambda k: trees(k) * (rows * ROW_COST + WIDE * rows * rows / 2 ** (k + 1)))
+    return bits, trees(bits)
+
+
+def similar_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words_per_shingle: int = WIDE_SHINGLE_WORDS, similarity: float = SIMILARITY, leaf_rows: int = LEAF_ROWS) -> DataFrame:
+    """doc_id and component_id (the smallest doc_id that links reach, its own included) of every row of ``docs``.
+
+    Texts link if their wide SimHash fingerprints say that the Jaccard similarity of their sets of word shingles may
+    be ``similarity``: if they differ in no more bits than ``far_bits`` of it. The trees are those of ``near_edges``, but
+    each looks at some bits drawn from all; partners agree on all of them in one tree at least, but for ``MISSED`` of the
+    pairs at the very similarity, and fewer of more similar ones. Random texts differ in half of the bits.
+    Texts without words link with one another. Null ids are a component's id only if it has no other.
+    """
+    share, most = far_bits(similarity)
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in text_blocks(batches, "text"):
+            made = np.array([wide_fingerprint(t, words_per_shingle) for t in text_bytes(block.column("text"))], np.uint64).reshape(-1, WIDE).view(np.int64)
+            yield pa.RecordBatch.from_arrays([block.column("doc_id"), *(pa.array(made[:, k]) for k in range(WIDE))], ["doc_id", *words])
+
+    words = tuple(f"w{k}" for k in range(WIDE))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    prints = checkpointed(rows.mapInArrow(make, f"doc_id {kind}, {', '.join(f'{w} long' for w in words)}"))
+    # A number of 64 bits stands for the 256 of a fingerprint; equal ones are one node.
+    prints = prints.withColumn("node", F.xxhash64(*words))
+    nodes = checkpointed(prints.groupBy("node", *words).agg(F.min("doc_id").alias("first")))
+    bits, trees = trees_for(nodes.count(), share)
+    draw = np.random.default_rng(SEED)
+    masks = np.zeros((trees, WIDE), np.uint64)
+    for t in range(trees):
+        for b in draw.choice(64 * WIDE, bits, replace=False).tolist():
+            masks[t, b // 64] |= np.uint64(1) << np.uint64(b % 64)
+    points = draw.integers(0, 1 << 63, (LEVELS, WIDE), np.uint64)
+
+    def plant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row for each tree: the leaf is a hash of the tree and of the shells around the vantage points, in the distance over the tree's bits."""
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2000):
+                part = batch.slice(at, 2000)
+                values = np.stack([part.column(w).to_numpy() for w in words], axis=1).view(np.uint64)
+                leaf = np.zeros((trees, part.num_rows), np.uint64)
+                for t in range(trees):
+                    leaf[t] = t + 1
+                    for p in points:
+                        leaf[t] = (leaf[t] ^ _differing(values & masks[t], p & masks[t]).astype(np.uint64)) * np.uint64(0x9FB21C651E98DF25)
+                        leaf[t] ^= leaf[t] >> np.uint64(29)
+                again = [np.tile(part.column(c).to_numpy(), trees) for c in ("node", *words)]
+                yield pa.RecordBatch.from_arrays([pa.array(leaf.ravel().view(np.int64)), *(pa.array(x) for x in again)], ["leaf", "node", *words])
+
+    leaves = nodes.select("node", *words).mapInArrow(plant, f"leaf long, node long, {', '.join(f'{w} long' for w in words)}")
+    roots = components(_edges_in_leaves(leaves, "node", words, int(most), leaf_rows)).withColumn("of", F.col("node")).select("of", "root")
+    linked = nodes.join(roots, nodes["node"] == roots["of"], "left").select("node", "first", F.coalesce("root", "node").alias("root"))
+    least = checkpointed(linked.groupBy("root").agg(F.min("first").alias("component_id")))
+    found = linked.join(least, "root").select("node", "component_id")
+    return prints.join(found, "node").select("doc_id", "component_id")
+
+
 def drop_near_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """``docs`` with one row of each component (that of the smallest id; of repeated ids or null ones alone, any one), all columns kept."""
+    """``docs`` with one row of each component of ``similar_groups`` (that of the smallest id; of repeated ids or null ones
+    alone, any one), all columns kept."""
     rows, row = numbered(docs)
     ranked = rows.select(ranked_id(id_col, row).alias("doc_id"), F.col(text_col).alias("text"))
-    keep = near_groups(ranked, **how).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id.row")
+    keep = similar_groups(ranked, **how).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id.row")
     return chosen_rows(rows, row, keep).select(*docs.columns)

@@ -1,14 +1,26 @@
 """The pipeline's stages against brute-force versions of their decisions."""
 
 import corpus_pipeline
+import numpy as np
 import public_tokenizers
 import tiktoken
-from spotlake.llm import bpe
-from test_operators import brute_components, brute_fingerprint
+from spotlake.llm import bpe, simhash
 
 SF = "/root/testdata/sf0.001"
 
 
+def brute_groups(texts):
+    """Of each text the first one that links of near wide fingerprints reach, by all pairs."""
+    prints = np.array([simhash.wide_fingerprint((t or "").encode(), 5) for t in texts], np.uint64)
+    most = simhash.far_bits(0.8)[1]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in np.flatnonzero(np.bitwise_count(prints[i] ^ prints).sum(axis=1) <= most).tolist():
+            a, b = sorted((root[i], root[j]))
+            root = [a if x == b else x for x in root]
+    return root
+
+
 def test_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     columns = docs.columns
@@ -26,8 +38,10 @@ def test_stages(spark):
         first.setdefault(" ".join(kept[0][i].split()), i)
     assert set(kept[1]) == set(first.values())
     ids = sorted(kept[1])
-    component = brute_components([brute_fingerprint(kept[1][i]) for i in ids])
-    assert set(kept[2]) == {ids[c] for c in component}
+    least = brute_groups([kept[1][i] for i in ids])
+    wanted = {ids[c] for c in least}
+    # The smallest of each group stays, and what the trees miss may stay too.
+    assert wanted <= set(kept[2]) and len(ids) - len(kept[2]) >= 0.9 * (len(ids) - len(wanted))
     assert set(kept[3]) <= set(kept[2])
 
 

@@ -4,7 +4,6 @@ import random
 
 import numpy as np
 import pyarrow as pa
-import pytest
 from pyspark.sql import functions as F
 from spotlake.llm import exact_dedup, langid, lines, mixing, simhash
 from test_operators import brute_lines
@@ -30,11 +29,10 @@ def test_line_dedup_of_a_cut_run(spark, monkeypatch):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
 
 
-@pytest.mark.parametrize("last", [0, 1000])
-def test_line_dedup_of_a_frequent_word(spark, last):
-    """Pairs whose first common prefix word stands in more lines than are looked at, with production parameters; ``last`` more
+def test_line_dedup_of_a_frequent_word(spark):
+    """Pairs whose first common prefix word stands in more lines than are looked at, with production parameters; a thousand more
     lines of that word have no partner."""
-    r, pairs = random.Random(last), 9_000
+    r, pairs, last = random.Random(1), 9_000, 1000
     frequent = [f"c{k}" for k in range(40)]
     rows = []
     for k in range(pairs):
@@ -83,6 +81,58 @@ def test_sampled_rows_go_by_their_own_cell(spark):
     assert {300, 301} <= sampled and 0 < len([k for k in sampled if k < 100]) < 60
 
 
+# --- near copies by similarity
+
+
+def shingles(text):
+    w = text.split()
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+
+
+def test_similar_groups(spark):
+    """Edited copies of five-word Jaccard 0.8 and more come together, unrelated texts don't, in small leaves too."""
+    r = random.Random(12)
+    vocabulary = [f"w{k}" for k in range(3000)]
+    texts, base = [], []
+    for b in range(120):
+        w = [r.choice(vocabulary) for _ in range(r.randrange(60, 400))]
+        texts.append(" ".join(w))
+        base.append(b)
+        for _ in range(r.randrange(3)):
+            edited = list(w)
+            for _ in range(r.randrange(1, 1 + max(1, len(w) // 50))):
+                edited[r.randrange(len(w))] = r.choice(vocabulary)
+            texts.append(" ".join(edited))
+            base.append(b)
+    texts += ["", None, "x", "x y", "y x", "x y z"]
+    base += [-1, -1, -2, -3, -4, -5]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumns({"node": F.lit(1), "w0": F.lit("clash")})
+    pairs = [(i, j) for i in range(len(texts) - 6) for j in range(i) if base[i] == base[j] and (lambda a, b: len(a & b) / len(a | b))(shingles(texts[i]), shingles(texts[j])) >= 0.8]
+    assert len(pairs) > 50
+    for how in ({}, {"leaf_rows": 4}):
+        got = {x.doc_id: x.component_id for x in simhash.similar_groups(df, **how).collect()}
+        assert len(got) == len(texts)
+        assert np.mean([got[i] == got[j] for i, j in pairs]) >= 0.95
+        assert all(base[i] == base[c] and c <= i for i, c in got.items())
+    assert simhash.similar_groups(df.limit(0)).count() == 0
+
+
+def test_similar_groups_of_a_large_group(spark):
+    """Hundreds of near copies of one text, beside others: one component, though leaves are split."""
+    r = random.Random(13)
+    w = [f"v{k}" for k in range(300)]
+    near = []
+    for k in range(600):
+        edited = list(w)
+        edited[r.randrange(300)] = f"n{k}"
+        near.append(" ".join(edited))
+    other = [" ".join(f"o{k}_{i}" for i in range(100)) for k in range(100)]
+    df = spark.createDataFrame(list(enumerate(near + other)), "doc_id long, text string")
+    got = {x.doc_id: x.component_id for x in simhash.similar_groups(df, leaf_rows=100).collect()}
+    assert got == {**{k: 0 for k in range(600)}, **{600 + k: 600 + k for k in range(100)}}
+    assert {x.doc_id for x in simhash.drop_near_copies(df).collect()} == {0, *range(600, 700)}
+
+
 # --- op10
 
 
