@@ -26,8 +26,8 @@ from .common import text_blocks, text_bytes
 INTERVAL = 192
 #: Most blocks in a column of an image, and most intervals in a row (65,535 pixels each way).
 MOST_ROWS, MOST_ACROSS = 8191, 42
-#: Samples that are packed together.
-GROUP_BYTES = 16 << 20
+#: Samples that are packed together, a multiple of eight intervals; and bytes of scans that are decoded together.
+GROUP_BYTES, DECODE_BYTES = 2048 * 8 * INTERVAL, 4 << 20
 #: Huffman codes of the luminance DC differences: how many codes of each length from 1 to 16, and the
 #: categories in code order (fixed values of the JPEG standard, table K.3).
 DC_COUNTS = (0, 1, 5, 1, 1, 1, 1, 1, 1, 0, 0, 0, 0, 0, 0, 0)
@@ -134,17 +134,26 @@ def jpeg_encode(payloads: list[bytes]) -> list[bytes]:
             images.append((i, rows, across, len(part)))
             data.append(part.ljust(rows * across * INTERVAL))
             counts.append(rows * across)
-    out = [b""] * len(payloads)
+    out: list[list[bytes]] = [[] for _ in payloads]
     start = 0
     while start < len(images):  # bit places of a group fit 32 bits
         stop, size = start + 1, len(data[start])
         while stop < len(images) and size + len(data[stop]) <= GROUP_BYTES:
             size, stop = size + len(data[stop]), stop + 1
-        scans = _scans(np.frombuffer(b"".join(data[start:stop]), np.uint8), np.array(counts[start:stop]))
+        if size > GROUP_BYTES:
+            scans = [_long_scan(data[start])]
+        else:
+            scans = _scans(np.frombuffer(b"".join(data[start:stop]), np.uint8), np.array(counts[start:stop]))
         for (i, rows, across, n), scan in zip(images[start:stop], scans, strict=True):
-            out[i] += _header(rows, across, n) + scan + b"\xff\xd9"
+            out[i] += [_header(rows, across, n), scan, b"\xff\xd9"]
         start = stop
-    return out
+    return [b"".join(x) for x in out]
+
+
+def _long_scan(samples: bytes) -> bytes:
+    """The scan of a large image, group by group: after a multiple of eight intervals stands the eighth restart marker."""
+    parts = [np.frombuffer(samples[at : at + GROUP_BYTES], np.uint8) for at in range(0, len(samples), GROUP_BYTES)]
+    return b"\xff\xd7".join(_scans(x, np.array([len(x) // INTERVAL]))[0] for x in parts)
 
 
 class _Image:
@@ -256,6 +265,26 @@ def _decode(words: np.ndarray, bit: np.ndarray, counts: np.ndarray, layout: list
     return out
 
 
+def _segments(big: np.ndarray, starts: np.ndarray, ends: np.ndarray, counts: np.ndarray, layout: list[tuple[int, bytes, bytes]], per: int) -> np.ndarray:
+    """DC values (16 bits hold them) of segments in order, of which each lies from a start to an end, decoded
+    some megabytes at a time."""
+    out, a = [], 0
+    while a < len(starts):
+        b = max(a + 1, int(np.searchsorted(ends, starts[a] + DECODE_BYTES, side="right")))
+        part = big[starts[a] : ends[b - 1] + 2]
+        keep = np.ones(len(part), bool)
+        keep[1:] &= ~((part[1:] == 0) & (part[:-1] == 255))
+        moved = np.cumsum(keep) - keep
+        clean = np.concatenate([part[keep].astype(np.uint32), np.zeros(4, np.uint32)])
+        words = (clean[:-3] << 24) | (clean[1:-2] << 16) | (clean[2:-1] << 8) | clean[3:]
+        own = counts[a:b]
+        order = np.argsort(-own, kind="stable")
+        values = _decode(words, moved[starts[a:b][order] - starts[a]] * 8, own[order], layout)[np.argsort(order, kind="stable")]
+        out.append(values[np.arange(values.shape[1]) < own[:, None] * per].astype(np.int16))
+        a = b
+    return np.concatenate(out) if out else np.zeros(0, np.int16)
+
+
 def jpeg_thumbnails(files: list[bytes]) -> list[list[tuple[int, int, bytes, np.ndarray]]]:
     """For each file its images: width, height, comment and the DC-only luminance thumbnail (uint8, one
     sample per 8x8 block of the first component, in rows)."""
@@ -279,19 +308,13 @@ def jpeg_thumbnails(files: list[bytes]) -> list[list[tuple[int, int, bytes, np.n
             else:  # further scans carry no luminance
                 at = data.find(b"\xff\xd8\xff", at)
                 at = start if at < 0 else at
-    keep = np.ones(len(big), bool)
-    keep[1:] &= ~((big[1:] == 0) & (big[:-1] == 255))
-    clean = big[keep].astype(np.uint32)
-    moved = np.concatenate([[0], np.cumsum(keep)])
-    clean = np.concatenate([clean, np.zeros(4, np.uint32)])
-    words = (clean[:-3] << 24) | (clean[1:-2] << 16) | (clean[2:-1] << 8) | clean[3:]
     groups: dict[tuple, list[int]] = {}
     for k, (_, image, _, _) in enumerate(images):
         groups.setdefault(tuple(image.layout()), []).append(k)
     out: list[list[tuple[int, int, bytes, np.ndarray]]] = [[] for _ in files]
     thumbs: dict[int, np.ndarray] = {}
     for layout, members in groups.items():
-        starts, counts, spans = [], [], []
+        starts, counts, ends, spans = [], [], [], []
         for k in members:
             _, image, scan, end = images[k]
             cuts = restarts[np.searchsorted(restarts, scan) : np.searchsorted(restarts, end)] + 2
@@ -301,22 +324,21 @@ def jpeg_thumbnails(files: list[bytes]) -> list[list[tuple[int, int, bytes, np.n
             own = np.minimum(each, n - each * np.arange(-(-n // each)))
             begins = np.concatenate([[scan], cuts])[: len(own)]
             own = own[: len(begins)]
-            spans.append((k, len(own)))
+            spans.append((k, int(own.sum())))
             starts.append(begins)
             counts.append(own)
-        starts, counts = np.concatenate(starts), np.concatenate(counts)
-        order = np.argsort(-counts, kind="stable")
-        values = np.empty((len(counts), 0), np.int32)
-        values = _decode(words, moved[starts[order]] * 8, counts[order], list(layout))[np.argsort(order, kind="stable")]
+            ends.append(np.append(cuts, end)[: len(begins)])
         per = sum(b[0] == 0 for b in layout)
+        values = _segments(big, np.concatenate(starts), np.concatenate(ends), np.concatenate(counts), list(layout), per)
         at = 0
         for k, n in spans:
-            thumbs[k] = values[at : at + n][np.arange(values.shape[1]) < counts[at : at + n, None] * per]
-            at += n
+            thumbs[k] = values[at : at + n * per]
+            at += n * per
     for k, (i, image, _, _) in enumerate(images):
         across, _ = image.mcus()
         component = next(c for c in image.components if c[0] == image.scan[0][0])
-        dc = np.clip((thumbs[k] * image.quant[component[3]] + 4) // 8 + 128, 0, 255).astype(np.uint8)
+        quant, raw = image.quant[component[3]], thumbs.pop(k)
+        dc = np.concatenate([np.clip((raw[p : p + DECODE_BYTES].astype(np.int32) * quant + 4) // 8 + 128, 0, 255).astype(np.uint8) for p in range(0, max(1, len(raw)), DECODE_BYTES)])
         h, v = (component[1], component[2]) if len(image.scan) > 1 else (1, 1)
         dc = dc[: len(dc) // (across * h * v) * across * h * v]
         dc = dc.reshape(-1, across, v, h).swapaxes(1, 2).reshape(-1, across * h)
@@ -324,6 +346,14 @@ def jpeg_thumbnails(files: list[bytes]) -> list[list[tuple[int, int, bytes, np.n
     return out
 
 
+def _readable(files: list[bytes]) -> list[list[tuple[int, int, bytes, np.ndarray]]]:
+    """``jpeg_thumbnails`` of files of which some may be broken: those have no images."""
+    try:
+        return jpeg_thumbnails(files)
+    except (ValueError, KeyError, IndexError, StopIteration, ZeroDivisionError, struct.error):
+        return [x for f in files for x in _readable([f])] if len(files) > 1 else [[]]
+
+
 def thumbnail_hashes(thumb: np.ndarray) -> str:
     """Average hash and difference hash of a thumbnail, from the means of an 8 by 9 grid, as 32 hex digits."""
     if not thumb.size:
@@ -358,13 +388,13 @@ def jpeg_store(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
 
 def jpeg_features(media: DataFrame, *, media_col: str = "media") -> DataFrame:
     """``media`` without its media column and with width, height, thumb_hash and payload (binary: the samples
-    that the media hold, as many as their comment says). A null file gives 0, 0, zeros and no payload;
-    of several images in a file the first gives the dimensions and the hash."""
+    that the media hold, as many as their comment says). A null file, and one that is no whole baseline JPEG, gives 0, 0,
+    zeros and an empty payload; of several images in a file the first gives the dimensions and the hash."""
     others = [c for c in media.columns if c != media_col]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in text_blocks(batches, media_col, 3 << 20):
-            found = jpeg_thumbnails(text_bytes(block.column(media_col)))
+            found = _readable(text_bytes(block.column(media_col)))
             payload = [b"".join(t.tobytes()[: int(c) if c.isdigit() else None] for _, _, c, t in images) for images in found]
             first = [images[0] if images else (0, 0, b"", np.zeros((0, 0), np.uint8)) for images in found]
             made = [pa.array([x[0] for x in first], pa.int32()), pa.array([x[1] for x in first], pa.int32()), pa.array([thumbnail_hashes(x[3]) for x in first], pa.string()), pa.array(payload, pa.binary())]

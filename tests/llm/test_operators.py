@@ -265,6 +265,26 @@ def test_jpeg_other_layouts():
     assert a[3].tolist() == b[3].tolist() == [[138, 135], [140, 140]] and (b[0], b[1]) == (16, 16)
 
 
+def test_jpeg_in_pieces(monkeypatch):
+    """Encoder and decoder take large images in pieces."""
+    r = random.Random(6)
+    payloads = [r.randbytes(192 * n) for n in (1, 8, 9, 64, 65, 400)] + [b"\xff" * 192 * 41]
+    whole = media.jpeg_encode(payloads)
+    monkeypatch.setattr(media, "GROUP_BYTES", 8 * 192 * 2)
+    monkeypatch.setattr(media, "DECODE_BYTES", 500)
+    files = media.jpeg_encode(payloads)
+    assert files == whole
+    assert [b"".join(t.tobytes()[: int(c)] for _, _, c, t in x) for x in media.jpeg_thumbnails(files)] == payloads
+
+
+def test_broken_media(spark):
+    good = media.jpeg_encode([b"x" * 192])[0]
+    files = [None, b"", b"x", good[:4], b"\xff\xd8" + good, good.replace(b"\xff\xc0", b"\xff\xc2"), good, b"GIF89a" + good]
+    rows = spark.createDataFrame([(k, bytearray(f) if f is not None else None) for k, f in enumerate(files)], "k int, media binary")
+    got = {x.k: bytes(x.payload) for x in media.jpeg_features(rows).collect()}
+    assert got[6] == b"x" * 192 and all(got[k] == b"" for k in (0, 1, 2, 3, 5, 7)) and set(got) == set(range(8))
+
+
 def test_media_documents(spark, docs, empty):
     got = media.jpeg_features(media.jpeg_store(docs)).collect()
     texts = dict(zip(IDS, TEXTS, strict=True))
@@ -317,6 +337,68 @@ def test_url_model_is_the_smoothed_ratio():
         assert ratio[code] == pytest.approx(np.log(prob(1, gram[:3], gram[3]) / prob(0, gram[:3], gram[3])), abs=1e-5)
 
 
+def brute_verdicts(places):
+    """Score, threshold and verdict of each (place, ruled) by the rules themselves, one character at a time."""
+    classes = urls._classes()
+    coded = lambda t: [0] * urls.ORDER + [int(classes[x]) for x in t.encode()]
+
+    def model(texts):
+        seen = defaultdict(lambda: defaultdict(int))
+        for t in texts:
+            c = coded(t)
+            for i in range(urls.ORDER, len(c)):
+                for order in range(urls.ORDER + 1):
+                    seen[tuple(c[i - order : i])][c[i]] += 1
+
+        def prob(context, x):
+            below = prob(context[1:], x) if context else 1 / urls.CLASSES
+            own = seen.get(tuple(context), {})
+            kinds = max(1, len(own))
+            return (own.get(x, 0) + kinds * below) / (sum(own.values()) + kinds)
+
+        return prob
+
+    def scorer(good, bad):
+        accepted, rejected = model(good), model(bad)
+
+        def score(t):
+            c = coded(t)
+            grams = [(c[i - urls.ORDER : i], c[i]) for i in range(urls.ORDER, len(c))]
+            return round(sum(math.log(accepted(g, x) / rejected(g, x)) for g, x in grams) / max(1, len(grams)), 6)
+
+        return score
+
+    def held(t):
+        h = xxhash.xxh64_intdigest(t.encode(), 42)
+        return (h - (1 << 64) if h >> 63 else h) % urls.FOLDS == 0
+
+    of = lambda label, out: [t for t, ruled in places if ruled == label and held(t) == out]
+    first = scorer(of("allow", False), of("block", False))
+    good, bad = [first(t) for t in of("allow", True)], [first(t) for t in of("block", True)]
+    threshold = 0.0
+    if good and bad:
+        ends = [(k + 1) * 2 * urls.SPAN / urls.BINS - urls.SPAN for k in range(urls.BINS)]
+        right = [sum(x < e for x in bad) / len(bad) + sum(x >= e for x in good) / len(good) for e in ends]
+        best = [k for k, v in enumerate(right) if v >= max(right) - 1e-12]
+        threshold = ends[min(best, key=lambda k: abs(k - urls.BINS / 2))]
+    score = scorer([t for t, ruled in places if ruled == "allow"], [t for t, ruled in places if ruled == "block"])
+    return [(score(t), threshold, ruled or ("allow" if score(t) >= threshold else "block")) for t, ruled in places]
+
+
+def test_url_verdicts_equal_the_rule(spark):
+    r = random.Random(2)
+    part = lambda pool: "".join(r.choice(pool) for _ in range(r.randrange(2, 9)))
+    made = [f"http://{part('aeinrst')}.com/{part('aeiou')}/{r.randrange(99)}" for _ in range(40)] + [f"http://{part('xzqk')}.net/es/{part('xyz')}-{r.randrange(99)}" for _ in range(40)]
+    made += [f"http://{part('aeinrstxzqk')}.org/{part('aeiouxyz')}" for _ in range(40)] + ["", "http://", "http://é.org/ü"]
+    got = sorted(urls.filter_urls(spark.createDataFrame(list(enumerate(made)), "page_id long, url string")).collect())
+    want = brute_verdicts([(x.host + x.path, x.verdict if x.rule else None) for x in got])
+    assert len({x.threshold for x in got}) == 1 and got[0].threshold == pytest.approx(want[0][1], abs=1e-9)
+    for x, (score, threshold, verdict) in zip(got, want, strict=True):
+        assert x.score == pytest.approx(score, abs=2e-6)
+        assert x.verdict == verdict or abs(score - threshold) < 1e-5
+    assert {x.verdict for x in got if not x.rule} == {"allow", "block"}
+
+
 def test_url_model_held_out(spark):
     """Trained on ruled URLs, it tells unruled ones of the same making apart."""
     good = [(i, f"http://news{i % 50}.com/story/{i}") for i in range(600)]
