@@ -91,9 +91,16 @@ def ranked_id(id_col: str, row: str) -> F.Column:
     return F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(row).alias("row"))
 
 
+#: Most row numbers (eight bytes each) that are broadcast.
+FEW_ROWS = 2_000_000
+
+
 def chosen_rows(docs: DataFrame, row: str, chosen: DataFrame) -> DataFrame:
-    """The numbered rows whose numbers are in ``chosen``, without the number."""
-    return docs.join(chosen.withColumnsRenamed({chosen.columns[0]: row}), row, "left_semi").drop(row)
+    """The numbered rows whose numbers are in ``chosen``, without the number. Few numbers, which are counted first, are sent to
+    the rows; more of them meet the rows in a shuffle."""
+    chosen = checkpointed(chosen.withColumnsRenamed({chosen.columns[0]: row}))
+    few = chosen.limit(FEW_ROWS + 1).count() <= FEW_ROWS
+    return docs.join(F.broadcast(chosen) if few else chosen, row, "left_semi").drop(row)
 
 
 def normal_space(text) -> F.Column:
