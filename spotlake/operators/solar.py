@@ -11,7 +11,7 @@ from ..functions.space import FALLBACK_FLUX, flux_or_fallback, space_conditions
 from ..functions.times import bucket3h
 from ..schemas import SOLAR, SOLAR_MEASURES, conform
 from ..sources import solar as feeds
-from ..sources.files import detect_format, read_documents
+from ..sources.files import detect_format, detect_legacy_format, read_documents
 
 #: Energy bands of the x-ray feed (fixed values).
 SHORT_BAND, LONG_BAND = "0.05-0.4nm", "0.1-0.8nm"
@@ -106,6 +106,17 @@ def solar_batch(documents: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, [conform(df.withColumn("source_file", F.lit(family)), SOLAR) for family, df in parts.items()])
 
 
+def legacy_batch(documents: DataFrame) -> DataFrame:
+    """Older text files (file, text) of mixed families in one batch, in the columns of the solar table: by their name, or else by
+    the first line that isn't blank or a comment, each goes to the parser of daily flux, of sunspot numbers or of fixed-width indices."""
+    lines = F.split("text", "\r?\n", -1)
+    first = F.get(F.filter(lines, lambda x: (F.trim(x) != "") & ~F.startswith(F.ltrim(x), F.lit("#"))), F.lit(0))
+    rows = documents.select(detect_legacy_format(F.col("file"), F.coalesce(first, F.lit(""))).alias("family"), F.explode(lines).alias("line"))
+    parsers = {"noaa": feeds.parse_dsd, "sidc": feeds.parse_sidc, "kpap": feeds.parse_kpap_fixed}
+    parts = [parse(rows.where(F.col("family") == family).select("line")).withColumns({"source_file": F.lit(family), "time": F.col("date").cast("timestamp")}) for family, parse in parsers.items()]
+    return reduce(DataFrame.unionByName, [conform(df, SOLAR) for df in parts])
+
+
 def read_solar_folder(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """One batch of all solar files below ``paths``."""
     return solar_batch(read_documents(spark, paths))

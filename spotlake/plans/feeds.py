@@ -128,6 +128,24 @@ def solar_mixed_files(spark, sf_dir):
     return batch.groupBy("source_file", "date", "time").agg(F.count(F.lit(1)).alias("n"), *sums)
 
 
+@register("""with s as (select 'sidc' as source_file, o_orderdate::date as date, 0.0 as observed_flux, 2.0 * (o_orderkey % 300) as ssn, 0.0 as kp_index, 2 as n from orders
+  union all select 'noaa', o_orderdate::date, 60.0 + o_orderkey % 200, 0.0, 0.0, 1 from orders union all select 'kpap', o_orderdate::date, 0.0, 0.0, (o_orderkey % 28) / 4.0, 1 from orders)
+  select source_file, date, sum(n)::bigint as n, sum(observed_flux) as observed_flux, sum(ssn) as ssn, sum(kp_index) as kp_index from s group by all""")
+def legacy_mixed_files(spark, sf_dir):
+    """Older files of all families, one of them known by its content alone."""
+    k, day = F.col("o_orderkey"), lambda f: F.date_format("o_orderdate", f)
+    sidc = F.concat(day("yyyy;MM;dd"), F.lit(";0.0;"), (k % 300).cast("string"), F.lit(";1.0;1;1"))
+    noaa = F.concat_ws(" ", day("yyyy MM dd"), (60 + k % 200).cast("string"), F.lit("1 2"))
+    kpap = F.concat(day("yyyy MM dd "), F.lit("00.0" + " " * 32), F.format_string("%5.2f", (k % 28) / 4), F.lit("   "), F.format_string("%2d", k % 90), F.lit("  x"))
+    rows = _table(spark, sf_dir, "orders").withColumn("doc", F.expr(f"o_orderkey div {DOCUMENT_ROWS}"))
+    texts = {"/x/sunspots_%d.csv": sidc, "/x/SFI_%d.txt": noaa, "/x/KpData_%d.txt": kpap, "/x/other_%d.dat": sidc}
+    held = rows.groupBy("doc").agg(*[F.concat(F.lit("# notes\n\n"), F.array_join(F.collect_list(line), "\n")).alias(f"t{i}") for i, line in enumerate(texts.values())])
+    files_of = F.explode(F.array(*[F.struct(F.format_string(name, "doc").alias("file"), F.col(f"t{i}").alias("text")) for i, name in enumerate(texts)])).alias("d")
+    batch = solar.legacy_batch(held.select(files_of).select("d.file", "d.text"))
+    sums = [F.sum(F.col(c).cast("double")).alias(c) for c in ("observed_flux", "ssn", "kp_index")]
+    return batch.groupBy("source_file", "date").agg(F.count(F.lit(1)).alias("n"), *sums)
+
+
 # --- raw lines with headers, comments and markers
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import re
 import tarfile
 import zipfile
 from collections.abc import Iterator
@@ -23,7 +24,7 @@ def list_files(spark: SparkSession, root: str, glob: str = "*", *, min_age: str
     min_age: an interval such as ``5 minutes``; younger files are left out. year: only files of that year's folder, or
     where files lie in no year's folder, those whose name starts with it. contest: only files of that folder."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root)
-    base = root if "://" in root or root.startswith("file:") else f"file:{root}"
+    base = re.sub("^file:/+", "file:/", root) if ":/" in root else f"file:{root}"
     out = found.select(relative_path(F.regexp_replace("path", "^file:/+", "file:/"), base).alias("file_path"), F.col("length").alias("file_size"), F.col("modificationTime").alias("modified"))
     if min_age:
         out = out.where(F.col("modified") <= F.current_timestamp() - F.expr(f"interval {min_age}"))

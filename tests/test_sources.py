@@ -129,6 +129,7 @@ def test_listing_by_year_and_contest(spark, tmp_path):
         (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
         (tmp_path / name).write_text("x")
     found = lambda **how: sorted(r.file_path for r in files.list_files(spark, str(tmp_path), **how).collect())
+    assert {r.file_path for r in files.list_files(spark, f"file://{tmp_path}", contest="cq-ww").collect()} == {"cq-ww/2024/a.log"}
     assert found(year=2024) == ["2024.zip", "2024/2019-x.zip"] and found(year=2019) == []
     assert found(contest="cq-ww") == ["cq-ww/2024/a.log"] and len(found(min_age="0 seconds")) == 5 and found(min_age="1 hour") == []
 
