@@ -66,7 +66,7 @@ SPECTRUM = (
 )
 #: HF amateur bands.
 HF_BANDS = (102, 111)
-#: Rows that a band plan of the user may have: each is a branch of one expression.
+#: Rows of a user's band plan that become branches of one expression.
 PLAN_ROWS = 1000
 
 
@@ -142,12 +142,16 @@ def band_info(df: DataFrame, id_col: str) -> DataFrame:
 
 def join_band_plan(df: DataFrame, freq_col: str, plan: DataFrame) -> DataFrame:
     """``df`` with plan_band: the band of lowest ``priority`` in ``plan`` (band, min_mhz, max_mhz, priority) that
-    holds the frequency, the smaller band on ties; null outside. A plan has at most PLAN_ROWS rows, which is checked."""
-    rows = plan.orderBy("priority", "band").limit(PLAN_ROWS + 1).collect()
-    if len(rows) > PLAN_ROWS:
-        raise ValueError(f"a band plan has at most {PLAN_ROWS} rows")
+    holds the frequency, the smaller band on ties; null outside. A plan of at most PLAN_ROWS rows, which is counted first,
+    becomes one expression; a larger one is cut into disjoint segments that the rows are joined with."""
+    from ..operators.ranges import range_lookup
+
+    rows = plan.select("band", "min_mhz", "max_mhz", "priority").orderBy("priority", "band").limit(PLAN_ROWS + 1)
+    if rows.count() > PLAN_ROWS:
+        found = range_lookup(df, freq_col, plan, "min_mhz", "max_mhz", ["priority", "band"], "plan_band")
+        return found.withColumn("plan_band", F.col("plan_band.band"))
     f, out = F.col(freq_col), F.lit(None).cast("int")
-    for r in reversed(rows):
+    for r in reversed(rows.collect()):
         out = F.when(f.between(r["min_mhz"], r["max_mhz"]), F.lit(r["band"])).otherwise(out)
     return df.withColumn("plan_band", out)
 

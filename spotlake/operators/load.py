@@ -5,6 +5,8 @@ on the way is simply run again."""
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -68,6 +70,12 @@ def append_log(entries: DataFrame, path: str) -> None:
     entries.write.mode("append").parquet(path)
 
 
+def append_run(rows: DataFrame, path: str, run: str) -> None:
+    """Add the rows of a run (such as its rejects) to the table at ``path``, as partition ``run``. A run that is repeated replaces its own
+    rows, also where there are none left."""
+    rows.write.mode("overwrite").parquet(f"{path}/run={run}")
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     file = spark._jvm.org.apache.hadoop.fs.Path(path)
     return file.getFileSystem(spark._jsc.hadoopConfiguration()).exists(file)
@@ -108,6 +116,13 @@ def clustered(df: DataFrame, parts: list[str], order: list[str], files: int | No
     return dealt.sortWithinPartitions(*parts, *order)
 
 
+def range_clustered(df: DataFrame, parts: list[str], order: list[str], *, file_rows: int = 1_000_000) -> DataFrame:
+    """``df`` dealt by sampled ranges of ``parts`` and ``order`` and sorted inside each task, so that a partition has as many files of about
+    ``file_rows`` rows as it needs, with ranges of ``order`` that don't overlap (but for rows that are equal in all of it, which stay together)."""
+    files = max(1, -(-df.count() // file_rows))
+    return df.repartitionByRange(files, *parts, *order).sortWithinPartitions(*parts, *order)
+
+
 def csv_to_parquet(spark: SparkSession, src: str, dst: str, schema, *, delimiter: str = ",", again: bool = False) -> bool:
     """Typed, zstd-compressed Parquet of CSV files; malformed rows are dropped. An output that was finished (by its
     ``_SUCCESS``) is skipped unless it is asked for ``again``. Returns whether it was written."""
@@ -118,17 +133,27 @@ def csv_to_parquet(spark: SparkSession, src: str, dst: str, schema, *, delimiter
     return True
 
 
-def incremental_load(listing: DataFrame, log: DataFrame, log_path: str, read: Callable[[list[str]], DataFrame], write: Callable[[DataFrame], None], *, growth: bool = False, batch_files: int = 10_000, **entry) -> int:
+def incremental_load(
+    listing: DataFrame, log: DataFrame, log_path: str, read: Callable[[list[str]], DataFrame], write: Callable[[DataFrame], DataFrame | None], *, growth: bool = False, batch_files: int = 10_000, **entry
+) -> int:
     """Load the files that the plan names, in batches of at most ``batch_files``, each logged when it is written.
 
-    A batch's file names go through the driver: they are the reader's arguments. Returns the number of files."""
+    The plan is computed once and stored beside the log. A batch's file names go through the driver: they are the reader's arguments. ``write`` may return what it
+    wrote by file (file_path, row_count), which is logged; a log of its own load, that counts by itself, is ``ledger.load_files``. Returns the number of files."""
     plan = plan_growth(listing, log) if growth else plan_incremental(listing, log)
+    stored = f"{log_path}-plans/{uuid.uuid4().hex}"
+    plan.select("file_path", "file_size").distinct().sort("file_path").write.parquet(stored)
+    plan = listing.sparkSession.read.schema("file_path string, file_size long").parquet(stored)
     total, after = 0, ""
     while True:
         names = [r[0] for r in plan.where(F.col("file_path") > after).orderBy("file_path").limit(batch_files).select("file_path").collect()]
         if not names:
             return total
-        write(read(names))
-        done = listing.where(F.col("file_path").between(names[0], names[-1])).join(plan.select("file_path"), "file_path", "left_semi")
-        append_log(log_entries(done, **entry), log_path)
+        began = time.monotonic()
+        counts = write(read(names))
+        done, measured = plan.where(F.col("file_path").between(names[0], names[-1])), {}
+        if isinstance(counts, DataFrame):
+            done = done.join(counts.select("file_path", "row_count"), "file_path", "left")
+            measured = {"rows": F.coalesce("row_count", F.lit(0)), "elapsed_ms": F.lit(round(1000 * (time.monotonic() - began) / len(names)))}
+        append_log(log_entries(done, **(measured | entry)), log_path)
         total, after = total + len(names), names[-1]

@@ -80,6 +80,16 @@ def band_plan_join(spark, sf_dir):
     return bands.join_band_plan(_frequencies(spark, sf_dir), "f", plan).select("k", "f", "plan_band")
 
 
+@register(f"""with {_FREQ}, plan as (select o_orderkey as band, (o_custkey % 997) * 0.375::double as lo, (o_custkey % 997) * 0.375::double + (o_orderkey % 89) * 0.125::double as hi, o_orderkey % 50 as priority from orders),
+  met as (select k, f, arg_min(band, priority * 1000000000 + band) as band from freqs join plan on f between lo and hi group by k, f) select k, f, band as plan_band from freqs left join met using (k, f)""")
+def wide_plan_join(spark, sf_dir):
+    """A plan of a range for each order, most of which overlap many others; the ends are exact in binary."""
+    o, c = F.col("o_orderkey"), F.col("o_custkey")
+    lo = (c % 997) * F.lit(0.375)
+    plan = spark.read.parquet(f"{sf_dir}/orders.parquet").select(o.alias("band"), lo.alias("min_mhz"), (lo + (o % 89) * F.lit(0.125)).alias("max_mhz"), (o % 50).alias("priority"))
+    return bands.join_band_plan(_frequencies(spark, sf_dir), "f", plan).select("k", "f", "plan_band")
+
+
 @register(f"with {_FREQ} select k, f from freqs where {NAME('f')} = '20m'")
 def band_pruned(spark, sf_dir):
     f = F.col("f")
@@ -310,9 +320,24 @@ def cabrillo_reasons(spark, sf_dir):
     return cabrillo.parse_cabrillo(view(spark, sf_dir, "cabrillo_lines")).where(~F.col("_ok")).groupBy(F.col("_reason").alias("reason")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@register(f"with {_LOG} select file, 'all ' || count(*) || ' QSO lines failed to parse' as reason from placed group by file having count(*) filter (call is not null and p is not null) = 0", "cabrillo_lines")
+_OUTCOMES = f"""{_LOG}, n as (select file, count(*) filter (call is not null and p is not null) as n_ok, count(*) filter (call is null or p is null) as n_failed from placed group by file),
+files as (select distinct file from cabrillo_lines),
+outcomes as (select file, case when n_ok > 0 then 'loaded' when n_failed > 0 then 'failed' else 'empty' end as outcome, coalesce(n_ok, 0) as n_ok, coalesce(n_failed, 0) as n_failed,
+  case when n_ok > 0 then null when n_failed > 0 then 'all ' || n_failed || ' QSO lines failed to parse' else '0 QSOs parsed' end as reason from files left join n using (file))"""
+
+
+@register(f"with {_OUTCOMES} select file, reason from outcomes where reason is not null", "cabrillo_lines")
 def cabrillo_rejects(spark, sf_dir):
-    return cabrillo.rejects(cabrillo.parse_cabrillo(view(spark, sf_dir, "cabrillo_lines")))
+    lines = view(spark, sf_dir, "cabrillo_lines")
+    return cabrillo.rejects(lines, cabrillo.parse_cabrillo(lines))
+
+
+@register(f"with {_OUTCOMES} select * from outcomes union all select 'gone-' || n_nationkey, 'unreadable', 0, 0, 'file can''t be read' from nation", "cabrillo_lines")
+def cabrillo_outcomes(spark, sf_dir):
+    """Of all listed files, some of which give no line."""
+    lines = view(spark, sf_dir, "cabrillo_lines")
+    gone = spark.read.parquet(f"{sf_dir}/nation.parquet").select(F.concat(F.lit("gone-"), F.col("n_nationkey").cast("string")).alias("file"))
+    return cabrillo.file_outcomes(lines, cabrillo.parse_cabrillo(lines), lines.select("file").unionAll(gone))
 
 
 @register(f"with {_LOG} select call as callsign, rpad(case when length(grid) = 4 then grid || 'MM' else grid end, 6, ' ') as grid, left(grid, 4) as grid_4, cast(0 as bigint) as spot_count, date '2024-05-11' as last_seen from head where call is not null and grid is not null", "cabrillo_lines")

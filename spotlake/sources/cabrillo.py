@@ -83,10 +83,26 @@ def grid_enrichment(headers: DataFrame, today: Column) -> DataFrame:
     return good.select("callsign", pad_grid6(F.col("grid")).alias("grid"), grid4(F.col("grid")).alias("grid_4"), F.lit(0).cast("long").alias("spot_count"), today.alias("last_seen"))
 
 
-def rejects(parsed: DataFrame) -> DataFrame:
-    """file and reason of files none of whose contacts were accepted."""
-    by_file = parsed.groupBy("file").agg(F.count_if("_ok").alias("good"), F.count(F.lit(1)).alias("n"))
-    return by_file.where("good = 0").select("file", F.concat(F.lit("all "), F.col("n").cast("string"), F.lit(" QSO lines failed to parse")).alias("reason"))
+def file_outcomes(lines: DataFrame, parsed: DataFrame, listing: DataFrame | None = None) -> DataFrame:
+    """One row for each file of ``listing`` (column file; left out: the files that have lines): file, outcome, n_ok, n_failed (contacts) and
+    reason (null where rows were loaded).
+
+    outcome: ``loaded``; ``failed`` where none of the contacts was accepted; ``empty`` where the log has no contact;
+    ``unreadable`` where a listed file gave no line at all. Files that aren't listed have no row."""
+    by_file = parsed.groupBy("file").agg(F.count_if("_ok").alias("n_ok"), F.count_if(~F.col("_ok")).alias("n_failed"))
+    seen = lines.select("file").distinct()
+    out = seen.withColumn("_seen", F.lit(True)) if listing is None else listing.select("file").distinct().join(seen.withColumn("_seen", F.lit(True)), "file", "left")
+    none = F.lit(0).cast("long")
+    out = out.join(by_file, "file", "left").withColumns({"n_ok": F.coalesce("n_ok", none), "n_failed": F.coalesce("n_failed", none)})
+    outcome = F.when(F.col("_seen").isNull(), "unreadable").when(F.col("n_ok") > 0, "loaded").when(F.col("n_failed") > 0, "failed").otherwise("empty")
+    lost = F.concat(F.lit("all "), F.col("n_failed").cast("string"), F.lit(" QSO lines failed to parse"))
+    reason = F.when(F.col("outcome") == "failed", lost).when(F.col("outcome") == "empty", "0 QSOs parsed").when(F.col("outcome") == "unreadable", "file can't be read")
+    return out.withColumn("outcome", outcome).select("file", "outcome", "n_ok", "n_failed", reason.alias("reason"))
+
+
+def rejects(lines: DataFrame, parsed: DataFrame, listing: DataFrame | None = None) -> DataFrame:
+    """file and reason of the files that gave no contact (see ``file_outcomes``)."""
+    return file_outcomes(lines, parsed, listing).where("outcome <> 'loaded'").select("file", "reason")
 
 
 def read_cabrillo_lines(spark: SparkSession, root: str, glob: str = "*.log") -> DataFrame:

@@ -62,21 +62,27 @@ def refresh_live(kp: DataFrame, xray: DataFrame, flux: DataFrame, path: str) ->
     now.write.mode("overwrite").json(f"{path}/json")
 
 
+def last_readings(readings: DataFrame) -> DataFrame:
+    """kind, time, a and b of the last reading of each kind (of readings of one time, the largest values). On a stream its state is one row a
+    kind, however long it runs, and readings that come late change nothing."""
+    newest = F.max(F.struct("time", "a", "b")).alias("last")
+    return readings.groupBy("kind").agg(newest).select("kind", "last.time", "last.a", "last.b")
+
+
 def refresh_stream(readings: DataFrame, path: str, checkpoint: str, *, once: bool = False, every: str = "15 minutes") -> StreamingQuery:
     """Keep the snapshot of ``refresh_live`` up to date from a stream of readings (kind ``kp``, ``xray`` or ``flux``, time, and
-    the values a, b). Each trigger adds its readings to the table below ``path`` and refreshes from all of them; a batch
-    that is run again replaces its own readings."""
-
-    def refresh(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        rows = batch.select("kind", "time", "a", "b").withColumn("batch", F.lit(number))
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(f"{path}/readings")
-        every = spark.read.parquet(f"{path}/readings")
-        of = lambda kind, time, *names: every.where(F.col("kind") == kind).select(F.col("time").alias(time), *[F.col(c).alias(n) for c, n in zip("ab", names, strict=False)])
+    the values a, b). The state is the last reading of each kind; a trigger gets these few rows, whatever came before, and a restart goes on from
+    the checkpoint."""
+
+    def refresh(last: DataFrame, number: int) -> None:
+        # Three rows at most.
+        rows = last.sparkSession.createDataFrame(last.collect(), last.schema)
+        of = lambda kind, time, *names: rows.where(F.col("kind") == kind).select(F.col("time").alias(time), *[F.col(c).alias(n) for c, n in zip("ab", names, strict=False)])
         refresh_live(of("kp", "time", "kp_index", "ap_index"), of("xray", "t", "xray_short", "xray_long"), of("flux", "time", "flux"), path)
 
-    writer = readings.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint)
+    known = readings.where(F.col("kind").isin("kp", "xray", "flux"))
+    writer = last_readings(known).writeStream.outputMode("complete").foreachBatch(refresh).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)).start()
 
 
-__all__ = ["counters", "dedupe_stream", "ingest_jsonl", "normalize_live", "read_spot_stream", "refresh_live", "refresh_stream", "rotated", "write_jsonl_rotated"]
+__all__ = ["counters", "dedupe_stream", "ingest_jsonl", "last_readings", "normalize_live", "read_spot_stream", "refresh_live", "refresh_stream", "rotated", "write_jsonl_rotated"]

@@ -53,7 +53,7 @@ def test_cabrillo(spark, tmp_path):
     r = parsed.where("_ok").first()
     assert (r.frequency, r.call_1, r.call_2, r.rst_sent, r.exch_sent, r.rst_rcvd, r.exch_rcvd, r.contest, r.source) == (7000, "K1ABC", "JA1XYZ", "599", "05 x", "599", "25", "CQ-WW-CW", "cq/2005cw")
     assert sorted(x._reason for x in parsed.where("not _ok").collect()) == ["no callsign", "too few fields"]
-    assert [x.file.rsplit("/", 1)[1] for x in cabrillo.rejects(parsed).collect()] == ["none.log"]
+    assert [x.file.rsplit("/", 1)[1] for x in cabrillo.rejects(lines, parsed).collect()] == ["none.log"]
     grids = cabrillo.grid_enrichment(cabrillo.cabrillo_headers(lines), F.lit("2024-01-01").cast("date")).collect()
     assert [(g.callsign, g.grid, g.grid_4) for g in grids] == [("K1ABC", "FN42MM", "FN42")]
 
