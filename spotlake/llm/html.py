@@ -4,7 +4,8 @@ A page is cut into blocks at block-level tags. The first pass decides the blocks
 features settle: containers of boilerplate (by tag, role, class or id) and link-heavy blocks
 are bad; long blocks with enough stop words are good. The second pass gives each block that
 stays ambiguous (short ones, and long ones poor in stop words) the label of its nearest
-decided neighbours in the same section.
+decided neighbours in the same section. One thing bends that: where the text stands in articles, an ambiguous block
+of one is dropped only if all decided blocks next to it in its section are bad, as notices inside an article stand between its paragraphs.
 """
 
 from __future__ import annotations
@@ -88,10 +89,10 @@ _ENDS = {name: re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I) for name in RAW}
 
 
 class _Element:
-    __slots__ = ("name", "bad", "section", "link", "skip", "marks")
+    __slots__ = ("name", "bad", "section", "link", "skip", "mark")
 
-    def __init__(self, name: str, bad: bool, section: int, link: bool, skip: bool, marks: tuple[int, ...]):
-        self.name, self.bad, self.section, self.link, self.skip, self.marks = name, bad, section, link, skip, marks
+    def __init__(self, name: str, bad: bool, section: int, link: bool, skip: bool, mark: int):
+        self.name, self.bad, self.section, self.link, self.skip, self.mark = name, bad, section, link, skip, mark
 
 
 def _cue(token: str) -> str | None:
@@ -128,10 +129,41 @@ def _marked(name: str, attributes: str, inside: bool) -> tuple[bool, set[str]]:
 
 
 class _Block:
-    __slots__ = ("text", "linked", "bad", "section", "inside", "marks")
+    __slots__ = ("text", "linked", "bad", "section", "inside", "main", "mark")
 
-    def __init__(self, text: str, linked: int, bad: bool, section: int, inside: bool, marks: tuple[int, ...]):
-        self.text, self.linked, self.bad, self.section, self.inside, self.marks = text, linked, bad, section, inside, marks
+    def __init__(self, text: str, linked: int, bad: bool, section: int, inside: bool, main: bool, mark: int):
+        self.text, self.linked, self.bad, self.section, self.inside, self.main, self.mark = text, linked, bad, section, inside, main, mark
+
+
+class _Stack(list):
+    """The open elements, and where those of a name, blocks, and blocks that no start tag closes beyond stand, so that a tag finds what it ends in one step."""
+
+    def __init__(self, root: _Element):
+        super().__init__([root])
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.walls: list[int] = []
+
+    def add(self, e: _Element) -> None:
+        k = len(self)
+        self.append(e)
+        self.places.setdefault(e.name, []).append(k)
+        if e.name in BLOCKS:
+            self.blocks.append(k)
+            if e.name != "p" and not (e.name[0] == "h" and e.name[1:].isdigit()):
+                self.walls.append(k)
+
+    def cut(self, k: int) -> None:
+        for e in self[k:]:
+            self.places[e.name].pop()
+        del self[k:]
+        for places in (self.blocks, self.walls):
+            while places and places[-1] >= k:
+                places.pop()
+
+    def last(self, *names: str) -> int:
+        """Place of the last open element of these names; 0 if there is none."""
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=0)
 
 
 def page_blocks(html: str) -> list[_Block]:
@@ -140,13 +172,17 @@ def page_blocks(html: str) -> list[_Block]:
     An element that its class or id calls boilerplate holds none if the main element stands in it, or
     the first article of a page that has no article or long block elsewhere."""
     blocks: list[_Block] = []
-    root = _Element("", False, 0, False, False, ())
-    firm: list[bool] = []  # of each element that its name calls boilerplate, whether no article can change that
+    root = _Element("", False, 0, False, False, -1)
+    # Of each element that its name calls boilerplate (its mark): the mark around it, whether no article can change that, and whether that holds for it or one around.
+    around: list[int] = []
+    firm: list[bool] = []
+    held: list[bool] = []
     lifted: set[int] = set()
-    in_marks: tuple[int, ...] = ()
+    walked: set[int] = set()
+    in_mark = -1
     free_article = False
-    stack = [root]
-    sections = {0: False}  # whether a section lies in an article or main element
+    stack = _Stack(root)
+    sections = {0: (False, False)}  # whether a section lies in an article or main element, and in a main one
     pieces: list[str] = []
     linked = breaks = 0
 
@@ -155,7 +191,7 @@ def page_blocks(html: str) -> list[_Block]:
         if pieces:
             if text := " ".join("".join(pieces).split()):
                 top = stack[-1]
-                blocks.append(_Block(text, linked, top.bad, top.section, sections[top.section], top.marks))
+                blocks.append(_Block(text, linked, top.bad, top.section, *sections[top.section], top.mark))
             pieces.clear()
         linked = breaks = 0
 
@@ -172,7 +208,15 @@ def page_blocks(html: str) -> list[_Block]:
 
     def close(k: int) -> None:
         flush()
-        del stack[k:]
+        stack.cut(k)
+
+    def lift(k: int) -> None:
+        """A main element in it and those around it: none of them is boilerplate but for firm ones."""
+        while k >= 0 and k not in walked:
+            walked.add(k)
+            if not firm[k]:
+                lifted.add(k)
+            k = around[k]
 
     at, n = 0, len(html)
     while at < n:
@@ -196,18 +240,15 @@ def page_blocks(html: str) -> list[_Block]:
             continue
         name = m[2].lower()
         if m[1]:
-            k = len(stack) - 1
-            while k and stack[k].name != name:
-                # An inline end tag doesn't reach beyond its block.
-                if name not in BLOCKS and name not in SKIPPED and stack[k].name in BLOCKS:
-                    k = 0
-                    break
-                k -= 1
+            k = stack.last(name)
+            # An inline end tag doesn't reach beyond its block.
+            if name not in BLOCKS and name not in SKIPPED and stack.blocks and stack.blocks[-1] > k:
+                k = 0
             if k:
-                if name in BLOCKS or any(e.name in BLOCKS for e in stack[k:]):
+                if name in BLOCKS or stack.blocks and stack.blocks[-1] >= k:
                     close(k)
                 else:
-                    del stack[k:]
+                    stack.cut(k)
             elif name in BLOCKS:
                 flush()
             continue
@@ -219,68 +260,83 @@ def page_blocks(html: str) -> list[_Block]:
                 pieces.append(" ")
             continue
         if name in CLOSES_P or name == "li" or name in ("dt", "dd"):
-            stop = ("li", "ul", "ol", "menu") if name == "li" else ("dl",) if name in ("dt", "dd") else None
-            for k in range(len(stack) - 1, 0, -1):
-                e = stack[k].name
-                if stop is None and e == "p" or name == e == "li" or stop == ("dl",) and e in ("dt", "dd"):
-                    close(k)
-                    break
-                if e in BLOCKS and e != "p" and not (e[0] == "h" and e[1:].isdigit()):
-                    break
+            k = stack.last("li") if name == "li" else stack.last("dt", "dd") if name in ("dt", "dd") else stack.last("p")
+            if k and (not stack.walls or stack.walls[-1] <= k):
+                close(k)
         if name in BLOCKS:
             flush()
         if name in VOID:
             continue
         top = stack[-1]
-        inside = sections[top.section]
+        inside, in_main = sections[top.section]
         hidden, named = _marked(name, m[3], inside)
         bad = top.bad or name in BOILERPLATE or name == "header" and not inside or hidden
-        marks = top.marks
+        mark = top.mark
         if named:
-            marks = (*marks, len(firm))
+            around.append(mark)
             firm.append(not named.isdisjoint(FIRM))
+            held.append(firm[-1] or mark >= 0 and held[mark])
+            mark = len(firm) - 1
         if name == "main" and not bad:
-            lifted.update(k for k in marks if not firm[k])
-        elif name == "article" and not bad and not any(firm[k] for k in marks):
-            free_article = free_article or not marks
-            in_marks = in_marks or marks
+            lift(mark)
+        elif name == "article" and not bad and not (mark >= 0 and held[mark]):
+            free_article = free_article or mark < 0
+            in_mark = in_mark if in_mark >= 0 else mark
         section = top.section
         if name in SECTIONS:
             section = len(sections)
-            sections[section] = inside or name in ("article", "main")
+            sections[section] = inside or name in ("article", "main"), in_main or name == "main"
         if name in RAW:
             end = _ENDS[name].search(html, at)
             at = end.end() if end else n
             continue
         if m[3].endswith("/") and name not in BLOCKS and name not in SKIPPED:
             continue
-        if name == "body":
-            stack = [e for e in stack if not e.skip]  # a head that was not closed
-        stack.append(_Element(name, bad, section, top.link or name == "a", top.skip or name in SKIPPED, marks))
+        if name == "body" and stack[-1].skip:  # a head that was not closed: all in it is skipped too
+            k = len(stack) - 1
+            while stack[k - 1].skip:
+                k -= 1
+            stack.cut(k)
+        stack.add(_Element(name, bad, section, top.link or name == "a", top.skip or name in SKIPPED, mark))
     flush()
-    if not free_article and not any(len(b.text) >= SHORT_CHARS and not b.bad and not b.marks for b in blocks):
-        lifted.update(in_marks)
+    if not free_article and not any(len(b.text) >= SHORT_CHARS and not b.bad and b.mark < 0 for b in blocks):
+        k = in_mark
+        while k >= 0:
+            lifted.add(k)
+            k = around[k]
+    stays: list[bool] = []  # whether a mark, or one around it, makes boilerplate
+    for k, outer in enumerate(around):
+        stays.append(k not in lifted or outer >= 0 and stays[outer])
     for b in blocks:
-        b.bad = b.bad or any(k not in lifted for k in b.marks)
+        b.bad = b.bad or b.mark >= 0 and stays[b.mark]
     return blocks
 
 
+def _good(b: _Block) -> bool:
+    """Whether a long block has enough stop words."""
+    words = _WORD.findall(b.text.lower())
+    return bool(words) and sum(w in STOP_WORDS for w in words) >= STOP_DENSITY * len(words)
+
+
+def _articles_rule(blocks: list[_Block], good: list[bool]) -> bool:
+    """Whether the page's text stands in its article and main elements alone: in a main element, or where articles hold no
+    less text than the good blocks outside them. Teasers beside a text that has no article of its own don't."""
+    held = [b for b in blocks if b.inside and not b.bad]
+    if not held or any(b.main for b in held):
+        return bool(held)
+    return sum(len(b.text) for b in held) >= sum(len(b.text) for b, g in zip(blocks, good, strict=True) if g and not b.inside)
+
+
 def classify(blocks: list[_Block]) -> list[bool]:
     """Whether each block is main text."""
-    anywhere = any(b.inside and not b.bad for b in blocks)
+    open_to = [not b.bad and b.linked <= LINK_DENSITY * len(b.text) for b in blocks]
+    good = [free and len(b.text) >= SHORT_CHARS and _good(b) for b, free in zip(blocks, open_to, strict=True)]
+    anywhere = _articles_rule(blocks, good)
     labels: list[bool | None] = []
-    for b in blocks:
-        n = len(b.text)
-        if b.bad or b.linked > LINK_DENSITY * n or anywhere and not b.inside:
-            labels.append(False)
-        elif n < SHORT_CHARS:
-            labels.append(None)
-        else:
-            words = _WORD.findall(b.text.lower())
-            good = bool(words) and sum(w in STOP_WORDS for w in words) >= STOP_DENSITY * len(words)
-            labels.append(True if good else None)
+    for b, free, is_good in zip(blocks, open_to, good, strict=True):
+        labels.append(False if not free or anywhere and not b.inside else True if is_good else None)
     out = [bool(x) for x in labels]
-    n = len(blocks)
+    n, some = len(blocks), any(labels)
     # Distance and label of the nearest decided, not structurally bad block of the same section, from each side.
     before: list[tuple[int, bool] | None] = [None] * n
     after: list[tuple[int, bool] | None] = [None] * n
@@ -299,8 +355,8 @@ def classify(blocks: list[_Block]) -> list[bool]:
             near = [x for x in (before[i], after[i]) if x]
             if not near:
                 # No decided block in the section: the section itself decides.
-                out[i] = b.inside or not anywhere and not any(labels)
-            elif b.inside:
+                out[i] = anywhere and b.inside or not anywhere and not some
+            elif anywhere and b.inside:
                 out[i] = len(near) < 2 or any(label or d > 1 for d, label in near)
             else:
                 least = min(d for d, _ in near)
