@@ -165,16 +165,35 @@ def _url(text: str, at: int, floor: int) -> tuple[int, int] | None:
     while start > floor and text[start - 1] in ALNUM:
         start -= 1
     end, n = at + 3, len(text)
+    if start == at or not text[start].isalpha() or end >= n or text[end] not in ALNUM:
+        return None
     while end < n and text[end] not in URL_END and text[end].isprintable():
         end += 1
     while end > at + 3 and text[end - 1] in URL_CLOSING:
         end -= 1
-    if start == at or not text[start].isalpha() or end == at + 3 or text[at + 3] not in ALNUM:
-        return None
-    return start, end
+    return (start, end) if end > at + 3 else None
+
+
+class _Values:
+    """Runs of value characters. The last run is remembered: cues inside a value that was no account don't scan it again."""
 
+    def __init__(self, text: str):
+        self.text, self.start, self.stop, self.end, self.digit = text, 0, 0, 0, -1
 
-def _account(text: str, at: int) -> tuple[int, int] | None:
+    def run(self, at: int) -> tuple[int, int, bool]:
+        """From ``at``: the end of the run, that without closing characters, and whether a digit is in the latter."""
+        if not self.start <= at < self.stop:
+            self.start, self.stop = at, _run(self.text, at, ACCOUNT_VALUE)
+            self.end = self.stop
+            while self.end > at and self.text[self.end - 1] in ".=/":
+                self.end -= 1
+            self.digit = self.end - 1
+            while self.digit >= at and self.text[self.digit] not in DIGITS:
+                self.digit -= 1
+        return max(at, self.stop), max(at, self.end), self.digit >= at
+
+
+def _account(text: str, at: int, values: _Values) -> tuple[int, int] | None:
     """The value after a cue that ends at ``at``."""
     n = len(text)
     while at < n and text[at] in " \"'":
@@ -184,11 +203,9 @@ def _account(text: str, at: int) -> tuple[int, int] | None:
     at += 1
     while at < n and text[at] in " \"'":
         at += 1
-    end = _run(text, at, ACCOUNT_VALUE)
-    quoted = text[at - 1] in "\"'" and text[end : end + 1] == text[at - 1]
-    while end > at and text[end - 1] in ".=/":
-        end -= 1
-    if end - at < ACCOUNT_CHARS or not (quoted or any(c in DIGITS for c in text[at:end])):
+    stop, end, digit = values.run(at)
+    quoted = text[at - 1] in "\"'" and text[stop : stop + 1] == text[at - 1]
+    if end - at < ACCOUNT_CHARS or not (quoted or digit):
         return None
     return at, end
 
@@ -209,6 +226,7 @@ def find_spans(text: str) -> list[tuple[str, int, int]]:
     """All spans (kind, start, end) in code points, end exclusive, by start and then kind."""
     found: list[tuple[str, int, int]] = []
     over = dict.fromkeys(KINDS, 0)  # where each kind may go on
+    values = _Values(text)
     for end, (what, size) in _automaton().iter(_lowered(text)):
         at = end + 1 - size
         if what == "digits":
@@ -233,7 +251,7 @@ def find_spans(text: str) -> list[tuple[str, int, int]]:
             if at >= over["url"] and (span := _url(text, at, over["url"])):
                 found.append(("url", *span))
                 over["url"] = span[1]
-        elif at >= over[what] and (span := _account(text, end + 1) if what == "account" else _secret(text, at, size)):
+        elif at >= over[what] and (span := _account(text, end + 1, values) if what == "account" else _secret(text, at, size)):
             found.append((what, *span))
             over[what] = span[1]
     order = {k: i for i, k in enumerate(KINDS)}
