@@ -41,10 +41,25 @@ DECODE_IDS = 1 << 20
 LONG_TEXT, PIECE_WORDS = 4_000_000, 200_000
 
 
-def word_pattern(pattern: str) -> regex.Pattern:
+#: Letters and numbers that Unicode has gained after version 16.0, whose classes the tiktoken library has (fixed values): the
+#: ``regex`` package knows them, and they are neither here.
+LATER = (
+    "\u0558\u058b\u058c\u088f\u0c5c\u0cdc\u208f\u209d-\u209f\ua7ce\ua7cf\ua7d2\ua7d4\ua7dd\ua7e2\ua7f1\uab6c\uab6d\U000107bb-\U000107bf\U00010940-\U00010959\U00010ec5-\U00010ec7\U00010ed9-\U00010eee"
+    "\U00011b0a\U00011db0-\U00011ddb\U00011de0-\U00011de9\U00011df1\U0001246f\U00012475-\U0001247f\U00012550-\U00012686\U00016ea0-\U00016eb8\U00016ebb-\U00016ed3\U00016ff2-\U00016ff6"
+    "\U000187f8-\U000187ff\U00018cd6-\U00018cda\U00018d09-\U00018d20\U00018d80-\U00018df2\U00018e00-\U00019191\U000191a0-\U000191d2\U0001b123-\U0001b128\U0001b168\U0001d6a6\U0001df1f-\U0001df24"
+    "\U0001df2b-\U0001df81\U0001df90-\U0001df96\U0001dfcd-\U0001dfff\U0001e6c0-\U0001e6de\U0001e6e0-\U0001e6e2\U0001e6e4\U0001e6e5\U0001e6e7-\U0001e6ed\U0001e6f0-\U0001e6f4\U0001e6fe\U0001e6ff"
+    "\U0002b73a-\U0002b73f\U0002b81e\U0002cea2-\U0002cead\U000323b0-\U00033479\U0003d000-\U0003fc3f"
+)
+
+
+def word_pattern(pattern: str, later: bool = True) -> regex.Pattern:
     r"""The splitting pattern with ``\s`` as Unicode's White_Space, which is what the tiktoken
-    library means by it (Python's ``\s`` also takes U+001C to U+001F)."""
-    return regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
+    library means by it (Python's ``\s`` also takes U+001C to U+001F), and ``\p{L}`` and ``\p{N}`` as of Unicode 16.0. Without
+    ``later``, for texts without the code points of ``LATER``, as the package has them, which is faster."""
+    spelt = pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
+    if later:
+        spelt = spelt.replace(r"\p{L}", rf"[\p{{L}}--[{LATER}]]").replace(r"\p{N}", rf"[\p{{N}}--[{LATER}]]")
+    return regex.compile(spelt, regex.V1 if later else 0)
 
 
 def _members(property_class: str, limit: int = 0x250) -> str:
@@ -56,14 +71,14 @@ def _members(property_class: str, limit: int = 0x250) -> str:
 def splitter(pattern: str) -> Callable[[str], Iterator[list[str]]]:
     """Splits a text by the pattern, into one list or, a very long text, into several. Texts of Latin letters take the
     standard library's ``re``, in whose dialect the pattern's classes are spelt out up to U+024F; the others take ``regex``."""
-    slow = word_pattern(pattern)
+    slow, careful = word_pattern(pattern, later=False), word_pattern(pattern)
     letters, numbers, spaces = _members(r"\p{L}"), _members(r"\p{N}"), _members(r"\p{White_Space}")
     spelt = pattern.replace(r"[^\s\p{L}\p{N}]", f"[^{spaces}{letters}{numbers}]").replace(r"\p{L}", f"[{letters}]").replace(r"\p{N}", f"[{numbers}]").replace(r"\s", f"[{spaces}]").replace(r"\S", f"[^{spaces}]")
     fast = slow if re.search(r"\\[pPwWdDbBX]", spelt) else re.compile(spelt)
-    other = re.compile("[^\0-\u024f]").search
+    other, new = re.compile("[^\0-\u024f]").search, re.compile(f"[{LATER}]").search
 
     def split(text: str) -> Iterator[list[str]]:
-        how = slow if other(text) else fast
+        how = fast if not other(text) else careful if new(text) else slow
         if len(text) < LONG_TEXT:
             yield how.findall(text)
             return
