@@ -115,7 +115,8 @@ def identify(
         F.col(text_col).alias("text"),
         _code(F.col(declared_col), languages).alias("declared"),
         _code(address_hint(F.col(url_col)) if url_col else F.lit(None).cast("string"), languages).alias("hint"),
-        F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"),
+        # A character that no host has stands for an absent one, apart from an empty one.
+        F.coalesce(F.col(host_col).cast("string"), F.lit("\0")).alias("host"),
         *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if whole_rows else []),
     )
     kept = ["row"] if whole_rows else []

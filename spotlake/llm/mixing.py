@@ -34,6 +34,8 @@ FLATTEN = 0.7
 KEEP = 0.8
 #: Sweeps go on until every marginal is this close to its target share, or so many times.
 CLOSE, SWEEPS = 1e-6, 200
+#: Stands for a null source, apart from an empty one, between the scan and the result.
+NO_SOURCE = "\0"
 #: Up to so many sources (a row of a small matrix each) are raked where the sweeps are driven; more of them stay distributed.
 LOCAL_SOURCES = 4096
 #: Bins (of the logarithm of the factors) by which the probabilities are calibrated.
@@ -172,11 +174,12 @@ def mix(
     residual, the same in every row, is how far the farthest language or topic ends from its target share: targets
     that can't all be met (a topic of one document, say) leave one when the sweeps end. Sources are met exactly.
     """
-    n_lang, width = len(languages) + 1, (len(languages) + 1) * topics
-    code = F.lit(len(languages))
+    # Languages beyond those listed are one, and so is none.
+    n_lang, width = len(languages) + 2, (len(languages) + 2) * topics
+    code = F.when(F.col(lang_col).isNull(), len(languages) + 1).otherwise(len(languages))
     for k, name in enumerate(languages):
         code = F.when(F.col(lang_col) == name, k).otherwise(code)
-    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"), F.col(lang_col).cast("string").alias("lang"), code.cast("int").alias("language"), *carry)
+    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.coalesce(F.col(source_col).cast("string"), F.lit(NO_SOURCE)).alias("source"), F.col(lang_col).cast("string").alias("lang"), code.cast("int").alias("language"), *carry)
     rows = topic_features(base, id_col="doc_id", text_col="text", keep=("source", "lang", "language", *carry), topics=topics)
 
     cell = F.col("language") * topics + F.col("topic")
@@ -242,7 +245,8 @@ def mix(
     out = rows.join(factors if few is None else F.broadcast(factors), "source")
     out = out.withColumns({"weight": weight, "probability": F.round(chance, 9)})
     sampled = (unit_hash("doc_id", seed) < F.col("probability")).alias("sampled")
-    return out.select("doc_id", "source", "lang", "topic", "tokens", "weight", "probability", sampled, F.lit(round(residual, 9)).alias("residual"), *carry)
+    source = F.when(F.col("source") != NO_SOURCE, F.col("source")).alias("source")
+    return out.select("doc_id", source, "lang", "topic", "tokens", "weight", "probability", sampled, F.lit(round(residual, 9)).alias("residual"), *carry)
 
 
 def _scale(factors: DataFrame, keep: float, total: float) -> float:
@@ -266,8 +270,8 @@ def _scale(factors: DataFrame, keep: float, total: float) -> float:
 
 
 def sample_mix(docs: DataFrame, *, id_col: str = "doc_id", **how) -> DataFrame:
-    """``docs`` without the documents that the mix doesn't sample; all columns kept. Each row goes by the probability
-    of its own cell; rows that repeat an id (or have none) share their hash alone."""
+    """``docs`` without the documents that the mix doesn't sample; all columns kept, whatever their names. Each row goes by the probability
+    of its own cell; rows that repeat an id (or have none) share their hash alone. An empty table gives an empty result."""
     row = "_row"
     while row.lower() in {c.lower() for c in docs.columns}:
         row += "_"
