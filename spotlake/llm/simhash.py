@@ -16,6 +16,9 @@ boundary (nearly all fingerprints, as Hamming distances crowd around 32) is what
 take the place of. A shard is a leaf of a tree; a leaf above ``leaf_rows`` is split
 into blocks whose pairs are dealt to separate tasks.
 
+``similar_groups`` asks for a Jaccard similarity instead: wide fingerprints of the shingle sets name candidates by the same trees,
+and two texts are linked only after their sets were compared.
+
 Inside a shard a local vantage point orders the members by full distance, and only those
 within the triangle bound of each other are compared. A task reports a spanning forest of
 its shard, never all pairs, and components are joined by alternating large-star and
@@ -24,7 +27,8 @@ small-star rounds.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from fractions import Fraction
 from itertools import combinations
 from math import acos, ceil, comb, log, pi, sqrt
 
@@ -34,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, chosen_rows, numbered, ranked_id, text_blocks, text_bytes
+from .common import FEW_ROWS, checkpointed, chosen_rows, numbered, ranked_id, text_blocks, text_bytes
 
 #: Fingerprints link at this many differing bits or fewer; words in a shingle; seed of XXH64.
 DISTANCE, SHINGLE_WORDS, SEED = 4, 4, 42
@@ -46,8 +50,10 @@ ROW_COST = 2000
 LEAF_ROWS = 4096
 #: 64-bit words of a wide fingerprint, words in its shingles, and the similarity that counts as near.
 WIDE, WIDE_SHINGLE_WORDS, SIMILARITY = 4, 5, 0.8
-#: Probability with which a pair of just that similarity may share no leaf.
-MISSED = 0.02
+#: Probability with which a pair of just that similarity may share no leaf, and deviations of their differing bits that are allowed for.
+MISSED, DEVIATIONS = 0.02, 3
+#: Bytes of shingle sets that a task compares at once with as many others.
+SET_BYTES = 64 << 20
 
 
 def _shingle_hashes(text: bytes, words_per_shingle: int) -> np.ndarray:
@@ -76,18 +82,34 @@ def fingerprint(text: bytes, words_per_shingle: int = SHINGLE_WORDS) -> int:
     return _majority(_shingle_hashes(text, words_per_shingle))
 
 
-def wide_fingerprint(text: bytes, words_per_shingle: int) -> list[int]:
-    """SimHash of ``WIDE`` words of 64 bits: of the shingles' hashes, and of what a mixer makes of them and the word's number."""
-    hashes = _shingle_hashes(text, words_per_shingle)
-    out = [_majority(hashes)]
+def shingle_set(text: bytes, words_per_shingle: int) -> np.ndarray:
+    """The distinct hashes of a text's word shingles, in order."""
+    return np.unique(_shingle_hashes(text, words_per_shingle))
+
+
+def wide_fingerprint(shingles: np.ndarray) -> list[int]:
+    """SimHash of ``WIDE`` words of 64 bits of a set of hashes: of these, and of what a mixer makes of them and the word's number."""
+    out = [_majority(shingles)]
     for k in range(1, WIDE):
-        x = hashes + np.uint64(k * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+        x = shingles + np.uint64(k * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
         x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         out.append(_majority(x ^ (x >> np.uint64(31))))
     return out
 
 
+def alike(x: np.ndarray, y: np.ndarray, similarity: Fraction) -> bool:
+    """Whether two sets (sorted) have at least this Jaccard similarity."""
+    if len(x) > len(y):
+        x, y = y, x
+    part, whole = similarity.numerator, similarity.numerator + similarity.denominator
+    need = part * (len(x) + len(y))
+    if whole * len(x) < need:
+        return False
+    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    return whole * int((y[at] == x).sum()) >= need
+
+
 def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words_per_shingle: int = SHINGLE_WORDS) -> DataFrame:
     """doc_id and fp (the fingerprint's 64 bits as a long) of every whole text.
 
@@ -158,9 +180,9 @@ def _differing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x ^ y).sum(axis=-1, dtype=np.int64)
 
 
-def forest(left: np.ndarray, right: np.ndarray | None, distance: int) -> list[tuple[int, int]]:
+def forest(left: np.ndarray, right: np.ndarray | None, distance: int, linked: Callable[[int, int], bool] | None = None) -> list[tuple[int, int]]:
     """Spanning forest of the pairs within ``distance`` among ``left`` (or between both sides; a row of words each), as places
-    in both sides, one after the other.
+    in both sides, one after the other. With ``linked``, a pair must also pass it; it is asked only of pairs that no others connect.
 
     Both sides are ordered by their distance to one vantage point, so that the triangle bound
     leaves a window of the other side to compare with."""
@@ -178,6 +200,25 @@ def forest(left: np.ndarray, right: np.ndarray | None, distance: int) -> list[tu
         if lo >= hi:
             continue
         hits = _differing(both[rows][:, None], other_values[None, lo:hi]) <= distance
+        if linked is not None:
+            for a, hit in zip(rows.tolist(), hits, strict=True):
+                partners = other[lo:hi][hit]
+                while len(partners):
+                    roots = partners
+                    while (up := parent[roots]).size and (up != roots).any():
+                        roots = up
+                    x = _find(parent, a)
+                    partners = partners[roots != x]
+                    for k, b in enumerate(partners.tolist()):
+                        if linked(a, b):
+                            y = _find(parent, b)
+                            parent[max(x, y)] = min(x, y)
+                            edges.append((a, b))
+                            break
+                    else:
+                        break
+                    partners = partners[k + 1 :]
+            continue
         i, j = np.nonzero(hits)
         pairs = zip(rows[i].tolist(), other[lo + j].tolist(), strict=True)
         if len(i) > 8 * len(rows):  # a dense group: one partner of each component will do
@@ -198,14 +239,17 @@ def near_edges(fps: DataFrame, *, distance: int = DISTANCE, bands: int | None =
     return _edges_in_leaves(leaves, "fp", ("fp",), distance, leaf_rows)
 
 
-def _edges_in_leaves(leaves: DataFrame, node: str, words: tuple[str, ...], distance: int, leaf_rows: int) -> DataFrame:
+def _edges_in_leaves(
+    leaves: DataFrame, node: str, words: tuple[str, ...], distance: int, leaf_rows: int, *, sizes: DataFrame | None = None, shingles: str | None = None, similarity: Fraction = Fraction(0)
+) -> DataFrame:
     """Edges (a, b) between nodes: a spanning forest of the pairs within ``distance`` of each leaf. ``leaves``: leaf, node, and the
-    words of its fingerprint (of which the node may be one)."""
-    columns = list(dict.fromkeys([node, *words]))
-    # Written, so that a hot leaf can be split in the join.
-    sizes = checkpointed(leaves.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-    blocks = F.ceil(F.col("n") / leaf_rows)
-    dealt = leaves.join(sizes, "leaf").withColumns({"blocks": blocks.cast("int"), "block": F.pmod(F.xxhash64(node, "leaf"), blocks).cast("int")})
+    words of its fingerprint (of which the node may be one). ``sizes``: leaf and blocks (in how many it is dealt), if known. ``shingles``: a column
+    of shingle sets, which must have the ``similarity`` too."""
+    columns = list(dict.fromkeys([node, *words, *([shingles] if shingles else [])]))
+    if sizes is None:
+        # Written, so that a hot leaf can be split in the join.
+        sizes = checkpointed(leaves.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where("n > 1")).select("leaf", F.ceil(F.col("n") / leaf_rows).cast("int").alias("blocks"))
+    dealt = leaves.join(sizes, "leaf").withColumn("block", F.pmod(F.xxhash64(node, "leaf"), F.col("blocks")).cast("int"))
     # Each row goes to the pairs of blocks that its own is in: one pair unless the leaf was split.
     with_block = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, F.col("block")).alias("i"), F.greatest(k, F.col("block")).alias("j")))
     dealt = dealt.select("leaf", *columns, "block", F.explode(with_block).alias("pair"))
@@ -221,16 +265,21 @@ def _edges_in_leaves(leaves: DataFrame, node: str, words: tuple[str, ...], dista
             by_name = dict(zip(columns, cols[4:], strict=True))
             values = np.stack([by_name[w].view(np.uint64) for w in words], axis=1)
             cut = np.flatnonzero((leaf[1:] != leaf[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
-            found = []
+            found, linked = [], None
             for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(leaf)], strict=True):
                 if b - a < 2:
                     continue
                 place = np.arange(a, b)
+                if shingles:
+                    sets = [np.frombuffer(x, np.uint64) for x in by_name[shingles][a:b]]
+                    linked = lambda x, y, place=place, sets=sets, a=a: alike(sets[place[x] - a], sets[place[y] - a], similarity)
                 if i[a] == j[a]:
-                    edges = forest(values[a:b], None, distance)
+                    edges = forest(values[a:b], None, distance, linked)
                 elif (first := block[a:b] == i[a]).any() and not first.all():
                     place = np.concatenate([place[first], place[~first]])
-                    edges = forest(values[a:b][first], values[a:b][~first], distance)
+                    if shingles:
+                        linked = lambda x, y, place=place, sets=sets, a=a: alike(sets[place[x] - a], sets[place[y] - a], similarity)
+                    edges = forest(values[a:b][first], values[a:b][~first], distance, linked)
                 else:
                     continue
                 if edges:
@@ -303,10 +352,10 @@ def near_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
 def far_bits(similarity: float) -> tuple[float, float]:
     """Share of the bits in which wide fingerprints of texts with just this Jaccard similarity differ (their shingle sets being
-    of one size), and how many they differ in at most but for the rarest 2 % of chances (two deviations)."""
+    of one size), and how many they differ in at most but for chances beyond ``DEVIATIONS``."""
     share = acos(2 * similarity / (1 + similarity)) / pi
     n = 64 * WIDE
-    return share, share * n + 2 * sqrt(n * share * (1 - share))
+    return share, share * n + DEVIATIONS * sqrt(n * share * (1 - share))
 
 
 def trees_for(rows: int, share: float) -> tuple[int, int]:
@@ -320,30 +369,45 @@ def trees_for(rows: int, share: float) -> tuple[int, int]:
     return bits, trees(bits)
 
 
-def similar_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words_per_shingle: int = WIDE_SHINGLE_WORDS, similarity: float = SIMILARITY, leaf_rows: int = LEAF_ROWS) -> DataFrame:
+def similar_groups(
+    docs: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    words_per_shingle: int = WIDE_SHINGLE_WORDS,
+    similarity: float = SIMILARITY,
+    leaf_rows: int = LEAF_ROWS,
+    bits_and_trees: tuple[int, int] | None = None,
+    key: str | None = None,
+) -> DataFrame:
     """doc_id and component_id (the smallest doc_id that links reach, its own included) of every row of ``docs``.
 
-    Texts link if their wide SimHash fingerprints say that the Jaccard similarity of their sets of word shingles may
-    be ``similarity``: if they differ in no more bits than ``far_bits`` of it. The trees are those of ``near_edges``, but
-    each looks at some bits drawn from all; partners agree on all of them in one tree at least, but for ``MISSED`` of the
-    pairs at the very similarity, and fewer of more similar ones. Random texts differ in half of the bits.
-    Texts without words link with one another. Null ids are a component's id only if it has no other.
+    Texts link if the Jaccard similarity of their sets of word shingles is ``similarity`` or more, which is checked on the sets of every
+    pair before it is linked. Candidates are pairs whose wide SimHash fingerprints differ in no more bits than ``far_bits``. The trees are
+    those of ``near_edges``, but each looks at some bits drawn from all; partners agree on all of them in one tree at least, but for ``MISSED`` of the
+    pairs at the very similarity, and fewer of more similar ones: whatever ``trees_for`` (or ``bits_and_trees``) chooses, such a pair may be overlooked
+    with that chance, and no pair below the similarity is ever linked. Texts that candidates connect meet in one task, or in
+    pairs of blocks where they are many, and their sets are compared but for pairs that verified links connect already.
+
+    Equal sets are one node. Texts without words link with one another, shorter ones than a shingle are one shingle. Null ids are a component's id only if it has
+    no other. Rows that repeat an id each have their row. An empty table gives an empty result; other columns are not read. ``key``: a field of the id (a struct) that is unique in itself.
     """
     share, most = far_bits(similarity)
+    exact = Fraction(str(similarity))
+    words = tuple(f"w{k}" for k in range(WIDE))
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in text_blocks(batches, "text"):
-            made = np.array([wide_fingerprint(t, words_per_shingle) for t in text_bytes(block.column("text"))], np.uint64).reshape(-1, WIDE).view(np.int64)
-            yield pa.RecordBatch.from_arrays([block.column("doc_id"), *(pa.array(made[:, k]) for k in range(WIDE))], ["doc_id", *words])
+            sets = [shingle_set(t, words_per_shingle) for t in text_bytes(block.column("text"))]
+            made = np.array([wide_fingerprint(x) for x in sets], np.uint64).reshape(-1, WIDE).view(np.int64)
+            node = np.array([xxhash.xxh3_64_intdigest(x.tobytes()) for x in sets], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([block.column("doc_id"), pa.array(node), pa.array([len(x) for x in sets], pa.int32()), *(pa.array(made[:, k]) for k in range(WIDE))], ["doc_id", "node", "size", *words])
 
-    words = tuple(f"w{k}" for k in range(WIDE))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    prints = checkpointed(rows.mapInArrow(make, f"doc_id {kind}, {', '.join(f'{w} long' for w in words)}"))
-    # A number of 64 bits stands for the 256 of a fingerprint; equal ones are one node.
-    prints = prints.withColumn("node", F.xxhash64(*words))
-    nodes = checkpointed(prints.groupBy("node", *words).agg(F.min("doc_id").alias("first")))
-    bits, trees = trees_for(nodes.count(), share)
+    prints = checkpointed(rows.mapInArrow(make, f"doc_id {kind}, node long, size int, {', '.join(f'{w} long' for w in words)}"))
+    nodes = checkpointed(prints.groupBy("node", "size", *words).agg(F.min("doc_id").alias("first")))
+    bits, trees = bits_and_trees or trees_for(nodes.count(), share)
     draw = np.random.default_rng(SEED)
     masks = np.zeros((trees, WIDE), np.uint64)
     for t in range(trees):
@@ -367,7 +431,29 @@ def similar_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                 yield pa.RecordBatch.from_arrays([pa.array(leaf.ravel().view(np.int64)), *(pa.array(x) for x in again)], ["leaf", "node", *words])
 
     leaves = nodes.select("node", *words).mapInArrow(plant, f"leaf long, node long, {', '.join(f'{w} long' for w in words)}")
-    roots = components(_edges_in_leaves(leaves, "node", words, int(most), leaf_rows)).withColumn("of", F.col("node")).select("of", "root")
+    candidates = components(_edges_in_leaves(leaves, "node", words, int(most), leaf_rows)).select("node", F.col("root").alias("leaf"))
+    # Texts that candidates connect bring their sets, one text of each node.
+    suspects = checkpointed(nodes.join(candidates, "node"))
+    of = lambda c: F.col(f"{c}.{key}") if key else F.col(c)
+    brought = suspects.withColumnRenamed("node", "own").withColumn("_at", of("first"))
+    few = key is not None and suspects.limit(FEW_ROWS // 4 + 1).count() <= FEW_ROWS // 4
+    brought = brought.select("_at", "own", "leaf", *words)
+    same = of("doc_id") == F.col("_at") if key else F.col("doc_id").eqNullSafe(F.col("_at"))
+    texts = rows.join(F.broadcast(brought) if few else brought, same).select("text", "own", "leaf", *words)
+
+    def bring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in text_blocks(batches, "text"):
+            sets = [shingle_set(t, words_per_shingle).tobytes() for t in text_bytes(block.column("text"))]
+            # Of rows that repeat an id, those of the node.
+            right = [k for k, (x, n) in enumerate(zip(sets, block.column("own").to_pylist(), strict=True)) if xxhash.xxh3_64_intdigest(x) == n % (1 << 64)]
+            rest = [block.column(c).take(pa.array(right, pa.int64())) for c in ("leaf", "own", *words)]
+            yield pa.RecordBatch.from_arrays([*rest, pa.array([sets[k] for k in right], pa.binary())], ["leaf", "node", *words, "shingles"])
+
+    members = texts.mapInArrow(bring, f"leaf long, node long, {', '.join(f'{w} long' for w in words)}, shingles binary")
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / leaf_rows), F.ceil(F.sum(F.col("size").cast("long") * 8) / SET_BYTES)).cast("int")
+    sizes = checkpointed(suspects.groupBy("leaf").agg(blocks.alias("blocks")))
+    verified = _edges_in_leaves(members, "node", words, int(most), leaf_rows, sizes=sizes, shingles="shingles", similarity=exact)
+    roots = components(verified).withColumn("of", F.col("node")).select("of", "root")
     linked = nodes.join(roots, nodes["node"] == roots["of"], "left").select("node", "first", F.coalesce("root", "node").alias("root"))
     least = checkpointed(linked.groupBy("root").agg(F.min("first").alias("component_id")))
     found = linked.join(least, "root").select("node", "component_id")
@@ -376,8 +462,8 @@ def similar_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
 def drop_near_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """``docs`` with one row of each component of ``similar_groups`` (that of the smallest id; of repeated ids or null ones
-    alone, any one), all columns kept."""
+    alone, any one), all columns kept, whatever their names. An empty table stays empty."""
     rows, row = numbered(docs)
     ranked = rows.select(ranked_id(id_col, row).alias("doc_id"), F.col(text_col).alias("text"))
-    keep = similar_groups(ranked, **how).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id.row")
+    keep = similar_groups(ranked, key="row", **how).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id.row")
     return chosen_rows(rows, row, keep).select(*docs.columns)

@@ -109,7 +109,8 @@ def test_similar_groups(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumns({"node": F.lit(1), "w0": F.lit("clash")})
     pairs = [(i, j) for i in range(len(texts) - 6) for j in range(i) if base[i] == base[j] and (lambda a, b: len(a & b) / len(a | b))(shingles(texts[i]), shingles(texts[j])) >= 0.8]
     assert len(pairs) > 50
-    for how in ({}, {"leaf_rows": 4}):
+    # Trees as at ten thousand, a million and fifteen million texts.
+    for how in ({}, {"leaf_rows": 4}, *({"bits_and_trees": simhash.trees_for(n, simhash.far_bits(0.8)[0])} for n in (10_000, 1_000_000, 15_000_000))):
         got = {x.doc_id: x.component_id for x in simhash.similar_groups(df, **how).collect()}
         assert len(got) == len(texts)
         assert np.mean([got[i] == got[j] for i, j in pairs]) >= 0.95
@@ -133,6 +134,33 @@ def test_similar_groups_of_a_large_group(spark):
     assert {x.doc_id for x in simhash.drop_near_copies(df).collect()} == {0, *range(600, 700)}
 
 
+def test_no_text_goes_without_a_partner(spark):
+    """Pairs of all similarities: what is linked is a union of links of 0.8 and more, at any setting of the trees."""
+    r = random.Random(14)
+    texts = []
+    for b in range(150):
+        w = [f"t{b}_{k}" for k in range(120)]
+        texts.append(" ".join(w))
+        for share in (0.008, 0.009, 0.016, 0.017, 0.025, 0.04):
+            at = r.sample(range(120), max(1, round(120 * share)))
+            texts.append(" ".join(f"e{b}_{share}_{k}" if k in at else x for k, x in enumerate(w)))
+    texts += [" ".join(["na"] * 500 + [f"end{k}_{i}" for i in range(9)]) for k in range(20)]  # long runs of one word
+    sets = [shingles(t) for t in texts]
+    close = [(i, j) for i in range(len(texts)) for j in range(max(0, i - 30), i) if 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j])]
+    root = list(range(len(texts)))
+    for i, j in close:
+        a, b = sorted((root[i], root[j]))
+        root = [a if x == b else x for x in root]
+    assert 2 < len(close) / 150 < 12
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for how in ({}, {"bits_and_trees": (11, 22)}, {"bits_and_trees": (15, 44)}):
+        got = {x.doc_id: x.component_id for x in simhash.similar_groups(df, **how).collect()}
+        assert all(root[i] == root[c] for i, c in got.items())
+        assert np.mean([got[i] == got[j] for i, j in close]) >= 0.95
+        gone = set(got) - {x.doc_id for x in simhash.drop_near_copies(df, **how).collect()}
+        assert gone == {i for i, c in got.items() if c != i} and gone <= {i for pair in close for i in pair}
+
+
 # --- op10
 
 
