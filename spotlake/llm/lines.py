@@ -30,8 +30,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
-from .common import checkpointed, text_blocks, text_bytes, token_spans, word_hashes
+from ..operators.ranges import dense_rank
+from .common import checkpointed, numbered, ranked_id, text_blocks, text_bytes, token_spans, word_hashes
 
 #: Least Jaccard similarity of matching lines.
 THRESHOLD = Fraction(8, 10)
@@ -45,9 +47,8 @@ GROUP_ROWS = 1024
 SMALL_ROWS = 48
 #: Postings of a word beyond which all count as having a possible partner without a look.
 LOOK_ROWS = 8192
-
-#: Words from which on a posting doesn't say how many its line has.
-MANY_WORDS = 65535
+#: Bytes of line texts that a batch carries.
+LINE_BYTES = 4 << 20
 
 _LOW = np.uint64(0xFFFFFFFF)
 _NULL_ID = np.iinfo(np.int64).max
@@ -248,14 +249,15 @@ def similar_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
 
     Words are runs without ASCII white space, case and all, and lines end at line feeds. Lines
     without words (and null and empty texts) have no part: their documents have no lines, no
-    links and their own class. Ids must be whole numbers; null ids count as the greatest. Rows that
-    repeat an id are one document whose lines of equal number are tied, and a tie stays. Other
-    columns are not read. Words are compared by 64-bit hashes and lines told apart by 128 bits; a link is
+    links and their own class. Ids may be of any type that has an order; null ids are one document, the greatest (a class is null only if all of it is). Rows that
+    repeat an id are one document whose lines of equal number are tied, and a tie stays. An empty table gives an empty result; other
+    columns are not read. Words are compared by 64-bit hashes and lines told apart by 128 bits. A link is
     overlooked only if all postings of two lines look alike in 32 bits of their signatures, a bitmap of 128 and
-    their numbers of words.
+    their numbers of words, or if the words before their first common one are different but agree in 32 bits.
     """
+    named, docs = _whole_ids(docs, id_col, text_col)
     context = docs.sparkSession.sparkContext
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)).alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.coalesce("id", F.lit(_NULL_ID)).alias("doc_id"), "text")
     cells, share = 1 << CELL_BITS, threshold / (1 + threshold)
 
     def survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -300,9 +302,8 @@ def similar_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
             sets = lines.sets(fresh, counts.value)
             line, position, word, before = sets.prefixes(threshold)
             named = (word << np.uint64(32)) | (lines.one[fresh][line].view(np.uint64) & _LOW)
-            placed = np.minimum(sets.size[line], MANY_WORDS) << 16 | np.minimum(position, MANY_WORDS)
-            made = (named, sets.low[line], sets.high[line], (before.astype(np.uint64) << np.uint64(32)) | placed.astype(np.uint64))
-            yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in made], ["named", "low", "high", "placed"])
+            made = (named, sets.low[line], sets.high[line], sets.size[line] << 32 | position)
+            yield pa.RecordBatch.from_arrays([*(pa.array(x.view(np.int64)) for x in made), pa.array(before.view(np.int32))], ["named", "low", "high", "placed", "before"])
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, before = None, 0  # the word that the batch before ended with, and its rows so far
@@ -310,9 +311,9 @@ def similar_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
             word = batch.column("word").to_numpy()
             named, low, high, placed = (batch.column(k).to_numpy().view(np.uint64) for k in ("named", "low", "high", "placed"))
             one = _half(named)
-            x = {"size": (placed >> np.uint64(16) & np.uint64(MANY_WORDS)).astype(np.int64), "at": (placed & np.uint64(MANY_WORDS)).astype(np.int64), "before": placed >> np.uint64(32), "low": low, "high": high}
+            x = {"size": (placed >> np.uint64(32)).astype(np.int64), "at": (placed & _LOW).astype(np.int64), "before": batch.column("before").to_numpy(), "low": low, "high": high}
             run, length = _run_starts(word)
-            live = np.isin(run, run[x["size"] == MANY_WORDS])  # too long to tell
+            live = np.zeros(len(word), bool)
             total = length.copy()
             if word[0] == last:  # the rest of a run that was cut: its partners may stand in the pieces before
                 total[run == 0] += before
@@ -336,10 +337,10 @@ def similar_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
             made = (np.concatenate([key, word[hot].astype(np.int64) & ((1 << SPLIT_BITS) - 1)]), np.concatenate([np.zeros(len(key), np.int64), total[hot]]))
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in made], ["cell", "rows"])
 
-    # Four numbers a posting: word and signature, the bitmap, and word before, length and position.
-    postings = rows.mapInArrow(post, "named long, low long, high long, placed long")
+    # Five numbers a posting: word and signature, the bitmap, length and position, and the word before.
+    postings = rows.mapInArrow(post, "named long, low long, high long, placed long, before int")
     by_word = F.shiftright("named", 32).cast("int")
-    looked = postings.repartition(by_word).sortWithinPartitions("named").select(by_word.alias("word"), "named", "low", "high", "placed").mapInArrow(look, "cell long, rows long")
+    looked = postings.repartition(by_word).sortWithinPartitions("named").select(by_word.alias("word"), "named", "low", "high", "placed", "before").mapInArrow(look, "cell long, rows long")
     at, bit = F.expr("cell >> 6"), F.expr("shiftleft(1L, cast(cell & 63 as int))")
     # Both tables that go to all tasks have a fixed size: 2**28 bits, and a number per cell.
     tables = checkpointed(looked.groupBy(F.when(F.col("rows") == 0, at).otherwise(-1 - F.col("cell")).alias("at")).agg(F.bit_or(F.when(F.col("rows") == 0, bit).otherwise(0)).alias("bits"), F.max("rows").alias("rows")))
@@ -380,8 +381,12 @@ def similar_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
             i, j = np.minimum(own[pick], other), np.maximum(own[pick], other)
             texts = {k: lines.text(int(keep[k])) for k in np.unique(line).tolist()}
             line = line[pick]
-            for at in range(0, len(pick), 20_000):
-                p = slice(at, at + 20_000)
+            # Batches of bounded bytes: a long line is in as many as it has words with a likely match.
+            ends = np.cumsum([len(texts[k]) + 40 for k in line.tolist()], dtype=np.int64)
+            at = 0
+            while at < len(pick):
+                p = slice(at, max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + LINE_BYTES, side="right"))))
+                at = p.stop
                 made = [word[pick[p]].view(np.int64), i[p].astype(np.int32), j[p].astype(np.int32), own[pick[p]].astype(np.int32), position[pick[p]].astype(np.int32), doc[keep[line[p]]], lines.number[keep[line[p]]].astype(np.int32)]
                 yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in made), pa.array([texts[k] for k in line[p].tolist()], pa.binary())], names)
 
@@ -397,7 +402,7 @@ def similar_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
             order = order[new]
             word, i, j, own, at, doc, number = (c[order] for c in (word, i, j, own, at.astype(np.int64), doc, number))
             sets = lines.sets(order, counts.value)
-            before = np.where(at > 0, sets.word[np.maximum(sets.head + at - 1, 0)] >> np.uint64(32), np.uint64(0))
+            before = np.where(at > 0, sets.word[np.maximum(sets.head + at - 1, 0)], np.uint64(0))
             x = {"size": sets.size, "at": at, "low": sets.low, "high": sets.high, "before": before}
             rank = np.empty(len(order), np.int64)
             by_place = np.lexsort((number, doc))
@@ -442,7 +447,27 @@ def similar_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
         F.min(F.coalesce("least.doc_id", "doc_id")).alias("class_id"),
     )
     joined = rows.select("doc_id").distinct().join(by_doc, "doc_id", "left")
-    return joined.select("doc_id", F.coalesce("n_lines", zero).alias("n_lines"), F.coalesce("n_links", zero).alias("n_links"), F.coalesce("removed", F.array().cast("array<int>")).alias("removed"), F.coalesce("class_id", "doc_id").alias("class_id"))
+    known = lambda c: F.when(c != _NULL_ID, c)
+    out = joined.select(
+        known(F.col("doc_id")).alias("doc_id"),
+        F.coalesce("n_lines", zero).alias("n_lines"),
+        F.coalesce("n_links", zero).alias("n_links"),
+        F.coalesce("removed", F.array().cast("array<int>")).alias("removed"),
+        known(F.coalesce("class_id", "doc_id")).alias("class_id"),
+    )
+    if named is None:
+        return out
+    own, of_class = (named.select(F.col("id").alias(a), F.col("i").alias(b)) for a, b in (("_own", "doc_id"), ("_class", "class_id")))
+    return out.join(own, "doc_id", "left").join(of_class, "class_id", "left").select(F.col("_own").alias("doc_id"), "n_lines", "n_links", "removed", F.col("_class").alias("class_id"))
+
+
+def _whole_ids(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame | None, DataFrame]:
+    """id (a long in the order of the ids, null where they are) and text of ``docs``; first, of ids that aren't whole numbers, what each stands for (id, i)."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    if isinstance(rows.schema["id"].dataType, IntegralType):
+        return None, rows.select(F.col("id").cast("long").alias("id"), "text")
+    named = checkpointed(dense_rank(rows, "id"))
+    return named, rows.join(named, "id", "left").select(F.col("i").alias("id"), "text")
 
 
 def _half(x: np.ndarray) -> np.ndarray:
@@ -456,9 +481,16 @@ def _key(word: np.ndarray, one: np.ndarray) -> np.ndarray:
 
 
 def drop_similar_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """``docs`` with the later ones of matching lines taken out of each text; all rows and columns kept."""
-    gone = similar_lines(docs, id_col=id_col, text_col=text_col, **how).where(F.size("removed") > 0).select(F.col("doc_id").alias(id_col), F.col("removed").alias("_removed_lines"))
-    lines = F.split(F.col(text_col), "\n", -1)
-    kept = F.filter(lines, lambda x, k: ~F.array_contains(F.col("_removed_lines"), k))
-    out = docs.join(checkpointed(gone), id_col, "left")
-    return out.withColumn(text_col, F.when(F.col("_removed_lines").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))).select(*docs.columns)
+    """``docs`` with the later ones of matching lines taken out of each text; all rows and columns kept, whatever their names. Each row is a
+    document of its own: rows that repeat an id come in any one order, and those of null ids last."""
+    rows, row = numbered(docs)
+    place, removed = f"{row}_place", f"{row}_removed"
+    while {place, removed} & {c.lower() for c in docs.columns}:
+        place, removed = f"{place}_", f"{removed}_"
+    ranks = checkpointed(dense_rank(rows.select(ranked_id(id_col, row).alias("at")), "at").select(F.col("at.row").alias(row), F.col("i").alias(place)))
+    ranked = rows.join(ranks, row)
+    gone = similar_lines(ranked.select(F.col(place).alias("doc_id"), F.col(text_col).alias("text")), **how).where(F.size("removed") > 0)
+    gone = checkpointed(gone.select(F.col("doc_id").alias(place), F.col("removed").alias(removed)))
+    kept = F.filter(F.split(F.col(text_col), "\n", -1), lambda x, k: ~F.array_contains(F.col(removed), k))
+    out = ranked.join(gone, place, "left")
+    return out.withColumn(text_col, F.when(F.col(removed).isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))).select(*docs.columns)

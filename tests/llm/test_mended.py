@@ -8,7 +8,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
-from spotlake.llm import bpe, html, langid, mixing, pii
+from spotlake.llm import bpe, html, langid, lines, mixing, pii
 
 GOOD = "<p>The text of the page is in the block and it is of the kind that is long enough for all the readers.</p>"
 TEXT = html.main_text(GOOD)
@@ -72,3 +72,30 @@ def test_null_and_empty_are_apart(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     found = {r.doc_id: r for r in langid.identify(docs).where(F.col("doc_id") >= 100).collect()}
     assert found[100].language != found[101].language or found[100].posterior != found[101].posterior
+
+
+@pytest.mark.parametrize("n", [20_000, 80_000])
+def test_one_long_line_with_a_near_copy(spark, n):
+    words = [f"w{k}" for k in range(n)]
+    rows = [(1, " ".join(words)), (2, " ".join(["x", "y", *words[2:]])), (3, " ".join(f"v{k}" for k in range(n)))]
+    got = {r.doc_id: (r.n_links, r.removed, r.class_id) for r in lines.similar_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: (1, [], 1), 2: (1, [0], 1), 3: (0, [], 3)}
+
+
+def test_ids_of_lines(spark):
+    line, near = "a b c d e f g h i j", "a b c d e f g h i k"
+    make = lambda kind, rows: spark.createDataFrame([(*r, [9], "x", 1) for r in rows], f"doc_id {kind}, text string, _removed_lines array<int>, _row string, _row_place int")
+    # A null id stays null, comes last, and its later line goes.
+    docs = make("long", [(None, f"only one\n{line}"), (7, near), (None, None)])
+    got = {r.doc_id: (r.n_lines, r.n_links, r.removed, r.class_id) for r in lines.similar_lines(docs).collect()}
+    assert got == {7: (1, 1, [], 7), None: (2, 1, [1], 7)}
+    out = lines.drop_similar_lines(docs)
+    assert out.columns == docs.columns and sorted(map(str, out.collect())) == sorted(map(str, make("long", [(None, "only one"), (7, near), (None, None)]).collect()))
+    # Texts as ids go by their order.
+    docs = make("string", [("b", line), ("a", near), ("c", "other text"), (None, line)])
+    got = {r.doc_id: (r.n_links, r.removed, r.class_id) for r in lines.similar_lines(docs).collect()}
+    assert got == {"a": (1, [], "a"), "b": (1, [0], "a"), "c": (0, [], "c"), None: (1, [0], "a")}
+    assert sorted(r.text for r in lines.drop_similar_lines(docs).collect()) == ["", "", near, "other text"]
+    # Rows that repeat an id are documents of their own where lines are dropped.
+    assert sorted(r.text for r in lines.drop_similar_lines(make("int", [(1, line), (1, line), (1, near)])).collect())[:2] == ["", ""]
+    assert lines.drop_similar_lines(docs.limit(0)).count() == 0
