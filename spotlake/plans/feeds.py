@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import times
 from ..operators import catalog, solar
+from ..shared import scratch, stored
 from ..sources import cabrillo, files, rbn, wspr
 from ..sources import solar as feeds
 from .registry import register
@@ -260,6 +261,47 @@ def zip_archives(spark, sf_dir):
     return parsed.groupBy("de_call").agg(F.count(F.lit(1)).alias("n"), F.count_if("_ok").alias("n_parsed"), F.sum(F.col("speed").cast("long")).alias("speeds"))
 
 
+def _as_files(archives: DataFrame, folder: str, broken: Column) -> DataFrame:
+    """Archives (path, content) as files of the shared folder; of the broken ones the second half is missing. Written by a job, whose rows are the paths."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = files._store_of(folder)
+        store.create_dir(root, recursive=True)
+        for batch in batches:
+            for path, content, cut in zip(*(batch.column(c).to_pylist() for c in ("path", "content", "cut")), strict=True):
+                with store.open_output_stream(f"{root}/{path.rsplit('/', 1)[1]}", compression=None) as out:
+                    out.write(content[: len(content) // 2] if cut else content)
+            yield pa.RecordBatch.from_arrays([batch.column("path")], ["path"])
+
+    return stored(archives.withColumn("cut", broken).mapInArrow(write, "path string"))
+
+
+def _streamed_archives(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    lines = view(spark, sf_dir, "wspr_lines").withColumn("file", F.expr(f"concat('/a/', line_no div {DOCUMENT_ROWS}, '.{kind}')"))
+    folder = scratch(spark)
+    _as_files(_archives(lines, kind.split(".")[0]), folder, F.regexp_extract("path", "([0-9]+)[.]", 1).cast("int") % 3 == 1)
+    return files.stream_archives(spark, f"{folder}/*.{kind}", kind.split(".")[0])
+
+
+_BLOCKS = f"b as (select line, line_no // {DOCUMENT_ROWS} as block from wspr_lines), p as (select block, string_split(line, ',') as c from b)"
+
+
+@register(f"with {_BLOCKS} select block, count(*) as n_read, count(*) filter (len(c) >= 15 and c[6] <> 'bad') as n_parsed, sum(try_cast(c[1] as bigint))::bigint as ids from p where block % 3 <> 1 group by block", "wspr_lines")
+def tar_streams(spark, sf_dir):
+    """Archives read from files as streams; those that are cut off give no rows."""
+    parsed = wspr.parse_wspr(files.whole_archives(_streamed_archives(spark, sf_dir, "tar.gz")))
+    first = F.get(F.split("line", ","), F.lit(0)).try_cast("long")
+    block = F.regexp_extract("file", "([0-9]+)[.]tar", 1).cast("long").alias("block")
+    return parsed.groupBy(block).agg(F.count(F.lit(1)).alias("n_read"), F.count_if("_ok").alias("n_parsed"), F.sum(first).alias("ids"))
+
+
+@register(f"with {_BLOCKS} select distinct block, true as told from b where block % 3 = 1", "wspr_lines")
+def zip_stream_rejects(spark, sf_dir):
+    """The archives that are cut off, with a reason each, as the reject table has them."""
+    found = files.archive_faults(_streamed_archives(spark, sf_dir, "zip"))
+    return found.select(F.regexp_extract("file", "([0-9]+)[.]zip", 1).cast("long").alias("block"), (F.length("reason") > 0).alias("told"))
+
+
 # --- index pages
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import bands, clean, space, times
-from ..operators import catalog, dedupe, load, quality, solar
+from ..operators import catalog, dedupe, load, quality, scan, solar
 from ..sources import cabrillo, files, pskr, rbn, wspr
 from ..sources import solar as feeds
 from ..streaming import live
@@ -305,16 +305,22 @@ found as (select *, list_position(list_transform(f[6:len(f)], lambda x: regexp_m
 placed as (select *, case when raw_at >= 6 then raw_at end as p from found)"""
 
 
-@register(
-    f"""with {_LOG} select file, line_no, strptime(f[3] || ' ' || lpad(left(regexp_replace(f[4], '[Zz]+$', ''), 4), 4, '0'), '%Y-%m-%d %H%M') as timestamp, cast(floor(cast(f[1] as double)) as bigint) as frequency,
+_CONTACTS = f"""with {_LOG} select file, line_no, strptime(f[3] || ' ' || lpad(left(regexp_replace(f[4], '[Zz]+$', ''), 4), 4, '0'), '%Y-%m-%d %H%M') as timestamp, cast(floor(cast(f[1] as double)) as bigint) as frequency,
       {BAND('(floor(cast(f[1] as double)) / 1000.0)')} as band, upper(f[2]) as mode, upper(f[5]) as call_1, upper(f[p]) as call_2, f[6] as rst_sent, array_to_string(f[7:p - 1], ' ') as exch_sent, f[p + 1] as rst_rcvd,
-      array_to_string(f[p + 2:len(f)], ' ') as exch_rcvd, contest, '' as source from placed where call is not null and p is not null""",
-    "cabrillo_lines",
-)
+      array_to_string(f[p + 2:len(f)], ' ') as exch_rcvd, contest, '' as source from placed where call is not null and p is not null"""
+
+
+@register(_CONTACTS, "cabrillo_lines")
 def cabrillo_contacts(spark, sf_dir):
     return cabrillo.parse_cabrillo(view(spark, sf_dir, "cabrillo_lines")).where("_ok").drop("_ok", "_reason")
 
 
+@register(_CONTACTS, "cabrillo_lines")
+def cabrillo_segmented(spark, sf_dir):
+    """The same from lines dealt by ranges, as for logs that are too long for a task."""
+    return cabrillo.parse_cabrillo(view(spark, sf_dir, "cabrillo_lines"), tasks=7).where("_ok").drop("_ok", "_reason")
+
+
 @register(f"with {_LOG} select case when call is null then 'no callsign' else 'no other call' end as reason, count(*) as n from placed where call is null or p is null group by 1", "cabrillo_lines")
 def cabrillo_reasons(spark, sf_dir):
     return cabrillo.parse_cabrillo(view(spark, sf_dir, "cabrillo_lines")).where(~F.col("_ok")).groupBy(F.col("_reason").alias("reason")).agg(F.count(F.lit(1)).alias("n"))
@@ -697,3 +703,13 @@ def page_manifest(spark, sf_dir):
 from . import feeds as _feed_queries, stores as _store_queries  # noqa: E402, F401  (they register theirs)
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
+
+
+@register("""with e as (select event_type, event_id, user_id, case when event_id % 5 = 0 then user_id end as sparse from events)
+  select event_type, event_id, last_value(sparse ignore nulls) over w as carried, sum(sparse) over w::bigint as running, lag(user_id) over (partition by event_type order by event_id) as earlier
+  from e window w as (partition by event_type order by event_id rows unbounded preceding)""")
+def ordered_scans(spark, sf_dir):
+    """Values carried forward, running sums and the row before in a few long groups, each on many tasks."""
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_type", "event_id", "user_id", F.when(F.col("event_id") % 5 == 0, F.col("user_id")).alias("sparse"))
+    out = scan.ordered_scan(rows, ["event_type"], ["event_id"], last={"carried": "sparse"}, total={"running": "sparse"}, before={"earlier": "user_id"}, tasks=32)
+    return out.select("event_type", "event_id", "carried", "running", "earlier")

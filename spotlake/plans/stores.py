@@ -10,7 +10,7 @@ from .. import schemas
 from ..operators import ledger, load, quality
 from ..shared import scratch
 from ..sources import cabrillo, files, pskr
-from ..streaming import live
+from ..streaming import compact, live
 from .registry import register
 from .views import view
 
@@ -241,7 +241,10 @@ def _streamed(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
     return live.normalize_live(live.read_spot_stream(spark, path=f"{path}/in"))
 
 
-@register(f"with {_HF} select strftime(make_timestamp(t * 1000000), '%Y-%m-%dT%H:%M:%SZ') as ts, strftime(make_timestamp(t * 1000000), '%H') as hh, sc, f, snr::bigint as snr from hf", "pskr_json")
+_ROTATED = f"with {_HF} select strftime(make_timestamp(t * 1000000), '%Y-%m-%dT%H:%M:%SZ') as ts, strftime(make_timestamp(t * 1000000), '%H') as hh, sc, f, snr::bigint as snr from hf"
+
+
+@register(_ROTATED, "pskr_json")
 def stream_rotated_readback(spark, sf_dir):
     """Rotated gz JSON lines of a stream; the second run finds nothing new."""
     path = scratch(spark)
@@ -251,6 +254,24 @@ def stream_rotated_readback(spark, sf_dir):
     return spark.read.schema("ts string, sc string, f long, snr long, yyyy string, mm string, dd string, hh string").json(f"{path}/out").select("ts", "hh", "sc", "f", "snr")
 
 
+@register(_ROTATED, "pskr_json")
+def compacted_readback(spark, sf_dir):
+    """Rotated files of many triggers: the closed hours are compacted, some of them get late spots and are compacted again, the others stay as they are.
+    A last run finds nothing to do, and an hour has one file."""
+    path, rows = scratch(spark), view(spark, sf_dir, "pskr_json")
+    before = "9999" if rows.isEmpty() else rows.agg(F.date_format(F.expr("percentile_approx(event_time, 0.7)"), "yyyy-MM-dd-HH")).first()[0]
+    done = []
+    for k in range(4):
+        spots = live.rotated(pskr.normalize_live(rows.where(F.col("line_no") % 4 == k)))
+        spots.write.mode("append").option("compression", "gzip").partitionBy("yyyy", "mm", "dd", "hh").json(f"{path}/in")
+        if k in (1, 3):
+            done += [compact.compact(spark, f"{path}/in", f"{path}/few", before) for _ in range(2)]
+    most = compact.rotated_hours(spark, f"{path}/few/spots").agg(F.max("files")).first()[0]
+    if done[1] or done[3] or not done[0] or not done[2] or most != 1:
+        raise RuntimeError(f"compaction made {done} hours of up to {most} files")
+    return compact.compacted_spots(spark, f"{path}/in", f"{path}/few").select("ts", "hh", "sc", "f", F.col("snr").cast("long").alias("snr"))
+
+
 @register(f"with {_HF} select make_timestamp(t * 1000000) as timestamp, sc as sender_call, f as frequency, snr::bigint as snr from hf", "pskr_json")
 def stream_catchup_readback(spark, sf_dir):
     """Rotated files caught up with in two runs, with more files between them."""

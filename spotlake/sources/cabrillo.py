@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.bands import band_id
 from ..functions.clean import grid4, is_callsign, pad_grid6, plain_spaces, settled, source_key, to_float, valid_grid, words
 from ..functions.times import cabrillo_time
+from ..operators.scan import ordered_scan
 from .files import numbered_lines
 
 
@@ -15,13 +16,15 @@ def _body(line: Column, size: int) -> Column:
     return F.upper(F.trim(F.substring(line, size + 1, 1 << 20)))
 
 
-def _log_lines(lines: DataFrame) -> DataFrame:
-    """Non-blank lines before END-OF-LOG, with what is known of their file: the callsign so far, and the last contest and grid."""
+def _log_lines(lines: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Non-blank lines before END-OF-LOG, with what is known of their file: the callsign so far, and the last contest and grid. A
+    file is one task's work, or with ``tasks`` that of as many as it takes."""
     rows = lines.withColumn("line", F.trim(plain_spaces(F.col("line")))).where("line <> ''").withColumn("_up", F.upper("line"))
     whole = Window.partitionBy("file")
     so_far = whole.orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    end = F.min(F.when(F.col("_up").startswith("END-OF-LOG"), F.col("line_no"))).over(whole)
-    rows = rows.withColumn("_end", end).where("_end is null or line_no < _end").drop("_end")
+    end = F.min(F.when(F.col("_up").startswith("END-OF-LOG"), F.col("line_no")))
+    rows = rows.join(rows.groupBy("file").agg(end.alias("_end")), "file") if tasks else rows.withColumn("_end", end.over(whole))
+    rows = rows.where("_end is null or line_no < _end").drop("_end")
     grid = F.when(F.col("_up").startswith("GRID-LOCATOR:"), _body(F.col("line"), 13)).when(F.col("_up").startswith("HQ-GRID-LOCATOR:"), _body(F.col("line"), 16))
     rows = rows.withColumns(
         {
@@ -30,17 +33,23 @@ def _log_lines(lines: DataFrame) -> DataFrame:
             "_grid": F.when(valid_grid(grid), grid),
         }
     )
+    if tasks:
+        latest = lambda c: F.coalesce(F.max_by(c, F.when(F.col(c).isNotNull(), F.col("line_no"))), F.lit(""))
+        heads = rows.groupBy("file").agg(latest("_contest").alias("contest"), latest("_grid").alias("grid"))
+        scanned = ordered_scan(rows, ["file"], ["line_no"], last={"header_call": "_call"}, tasks=tasks)
+        return scanned.join(heads, "file").withColumn("header_call", F.coalesce("header_call", F.lit("")))
     last = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col("line_no"))).over(whole)
     return rows.withColumns({"header_call": F.coalesce(F.last("_call", ignorenulls=True).over(so_far), F.lit("")), "contest": F.coalesce(last("_contest"), F.lit("")), "grid": F.coalesce(last("_grid"), F.lit(""))})
 
 
-def parse_cabrillo(lines: DataFrame, *, root: str = "") -> DataFrame:
+def parse_cabrillo(lines: DataFrame, *, root: str = "", tasks: int | None = None) -> DataFrame:
     """Contacts of ``lines`` (file, line_no, line) in the columns of contest.bronze, with file, line_no, _ok, _reason.
 
     A contact needs a CALLSIGN header before it; its own call comes from its line. The other call is the
     first word after the own one that looks like a callsign and isn't it. The band follows the kHz
-    without decimals. A file's contest is the last one named, for all its rows."""
-    rows = _log_lines(lines).where(F.col("_up").startswith("QSO:")).withColumn("_f", words(F.col("line")))
+    without decimals. A file's contest is the last one named, for all its rows. ``tasks``: into how many ranges all lines are dealt,
+    where single files are too long for a task; left out, a file is one task's work."""
+    rows = _log_lines(lines, tasks).where(F.col("_up").startswith("QSO:")).withColumn("_f", words(F.col("line")))
     # ``QSO:7000`` without a space keeps its first word, as one that is not ``QSO:``.
     rows = rows.withColumn("_f", F.when(F.upper(F.rtrim(F.get("_f", F.lit(0)), F.lit(":"))) == "QSO", F.expr("slice(_f, 2, greatest(size(_f) - 1, 0))")).otherwise(F.col("_f")))
     at = lambda k: F.get("_f", F.lit(k))

@@ -6,9 +6,12 @@ import io
 import re
 import tarfile
 import zipfile
+import zlib
 from collections.abc import Iterator
+from typing import IO
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +19,8 @@ from ..functions.clean import relative_path
 
 #: Lines that an archive reader hands over at once.
 BATCH_LINES = 50_000
+#: Characters of a line of a streamed archive, its end included.
+LINE_CHARS = 1 << 20
 
 
 def list_files(spark: SparkSession, root: str, glob: str = "*", *, min_age: str | None = None, year: int | None = None, contest: str | None = None) -> DataFrame:
@@ -89,6 +94,75 @@ def archive_lines(archives: DataFrame, kind: str) -> DataFrame:
     return archives.select("path", "content").mapInArrow(_members(kind), "file string, line_no long, line string")
 
 
+def _store_of(path: str) -> tuple[fs.FileSystem, str]:
+    if path.startswith("file:"):
+        path = "/" + path.removeprefix("file:").lstrip("/")
+    return (fs.LocalFileSystem(), path) if "://" not in path else fs.FileSystem.from_uri(path)
+
+
+def _first_csv(stream: IO[bytes], kind: str) -> IO[bytes] | None:
+    """The first CSV member of an archive, to be read piece by piece: a tar as it comes, a zip by its directory."""
+    if kind == "zip":
+        archive = zipfile.ZipFile(stream)
+        name = next((n for n in archive.namelist() if n.lower().endswith(".csv")), None)
+        return name and archive.open(name)
+    archive = tarfile.open(fileobj=stream, mode="r:*")  # noqa: SIM115
+    member = next((m for m in archive if m.isfile() and m.name.lower().endswith(".csv")), None)
+    return member and archive.extractfile(member)
+
+
+def stream_archives(spark: SparkSession, paths: str | list[str], kind: str, *, tasks: int | None = None) -> DataFrame:
+    """file, line_no, line and fault of the first CSV member of archives (``zip``, or ``tar``, tar.gz too) of any size.
+
+    An archive is one task, which reads it as a stream: it holds ``BATCH_LINES`` lines and a decompression buffer. An archive that is broken, cut
+    off, without a CSV member or with a line above ``LINE_CHARS`` has a last row with its fault and no line; lines that stand before the
+    break have theirs. Spark lists no files of zero bytes. Paths may hold patterns, and must be those of a store that tasks can open by pyarrow."""
+    found = spark.read.format("binaryFile").load(paths).select("path")
+    tasks = tasks or max(64, 4 * spark.sparkContext.defaultParallelism)
+
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(path: str, n: int, held: list[str], fault: str | None = None) -> pa.RecordBatch:
+            size = len(held) + (fault is not None)
+            faults = pa.array([None] * len(held) + [fault] * (size - len(held)), pa.string())
+            numbers = pa.array([*range(n + 1, n + 1 + len(held)), *[None] * (size - len(held))], pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array([path] * size, pa.string()), numbers, pa.array(held + [None] * (size - len(held)), pa.string()), faults], ["file", "line_no", "line", "fault"])
+
+        for batch in batches:
+            for path in batch.column("path").to_pylist():
+                held: list[str] = []
+                n, fault = 0, None
+                try:
+                    store, place = _store_of(path)
+                    with store.open_input_file(place) as stream:
+                        member = _first_csv(stream, kind)
+                        if member is None:
+                            raise ValueError("no CSV member")
+                        text = io.TextIOWrapper(member, "utf-8", errors="replace")
+                        while line := text.readline(LINE_CHARS):
+                            if len(line) == LINE_CHARS and line[-1] != "\n":
+                                raise ValueError(f"line {n + len(held) + 1} is too long")
+                            held.append(line.rstrip("\r\n"))
+                            if len(held) == BATCH_LINES:
+                                yield rows(path, n, held)
+                                n, held = n + len(held), []
+                except (OSError, EOFError, ValueError, RuntimeError, NotImplementedError, zlib.error, tarfile.TarError, zipfile.BadZipFile) as problem:
+                    fault = f"{type(problem).__name__}: {problem}"
+                if held or fault:
+                    yield rows(path, n, held, fault)
+
+    return found.repartition(tasks, "path").mapInArrow(lines, "file string, line_no long, line string, fault string")
+
+
+def archive_faults(streamed: DataFrame) -> DataFrame:
+    """file and reason of the archives that could not be read to their end, as the reject table has them."""
+    return streamed.where("fault is not null").select("file", F.col("fault").alias("reason"))
+
+
+def whole_archives(streamed: DataFrame) -> DataFrame:
+    """file, line_no and line of the archives that were read to their end."""
+    return streamed.where("fault is null").join(archive_faults(streamed).select("file"), "file", "left_anti").select("file", "line_no", "line")
+
+
 def read_zip_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Lines of zip archives."""
     return archive_lines(spark.read.format("binaryFile").load(paths), "zip")
