@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..operators import ledger, load, quality
 from ..shared import scratch
-from ..sources import cabrillo, files, pskr
+from ..sources import cabrillo, files, pskr, replay
 from ..streaming import compact, live
 from .registry import register
 from .views import view
@@ -254,6 +254,20 @@ def stream_rotated_readback(spark, sf_dir):
     return spark.read.schema("ts string, sc string, f long, snr long, yyyy string, mm string, dd string, hh string").json(f"{path}/out").select("ts", "hh", "sc", "f", "snr")
 
 
+@register(_ROTATED, "pskr_json")
+def stream_replay_readback(spark, sf_dir):
+    """The live messages from a log with offsets, to rotated files: in three runs, with more messages before the second, none before the third, and keys that are null or malformed."""
+    path, rows = scratch(spark), view(spark, sf_dir, "pskr_json")
+    n = F.col("line_no")
+    rows = rows.select("line_no", F.when(n % 5 == 0, None).when(n % 5 == 1, "{").otherwise((n % 13).cast("string")).alias("key"), F.col("line").alias("value"))
+    for part in (n % 2 == 0, n % 2 == 1, None):
+        if part is not None:
+            replay.publish(rows.where(part), f"{path}/log", segment_rows=500)
+        spots = live.normalize_live(live.read_spot_stream(spark, "spot_log", path=f"{path}/log"))
+        live.write_jsonl_rotated(spots, f"{path}/out", f"{path}/state", once=True).awaitTermination()
+    return spark.read.schema("ts string, sc string, f long, snr long, yyyy string, mm string, dd string, hh string").json(f"{path}/out").select("ts", "hh", "sc", "f", "snr")
+
+
 @register(_ROTATED, "pskr_json")
 def compacted_readback(spark, sf_dir):
     """Rotated files of many triggers: the closed hours are compacted, some of them get late spots and are compacted again, the others stay as they are.

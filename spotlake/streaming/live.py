@@ -7,14 +7,21 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.solar import live_conditions
+from ..sources import replay
 from ..sources.pskr import normalize_live, parse_pskr
 
+#: Sources whose messages are the column value.
+LOG_FORMATS = ("kafka", "spot_log")
+
 
 def read_spot_stream(spark: SparkSession, fmt: str = "text", options: dict[str, str] | None = None, path: str | None = None, *, max_files: int | None = 1000) -> DataFrame:
-    """A stream of messages (column line) from files or from Kafka. The rate is limited at the source; nothing is dropped."""
+    """A stream of messages (column line) from files, or from a log with offsets: Kafka, or ``spot_log`` (see ``sources.replay``). The rate of files is
+    limited at the source; nothing is dropped. A message without a value is an empty line."""
+    if fmt == "spot_log":
+        replay.register(spark)
     reader = spark.readStream.format(fmt).options(**(options or {}))
-    if fmt == "kafka":
-        return reader.load().select(F.col("value").cast("string").alias("line"))
+    if fmt in LOG_FORMATS:
+        return (reader.load(path) if path else reader.load()).select(F.coalesce(F.col("value").cast("string"), F.lit("")).alias("line"))
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return (reader.load(path) if path else reader.load()).select(F.col("value").alias("line"))

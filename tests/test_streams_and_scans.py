@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 from spotlake.operators import scan
-from spotlake.sources import cabrillo, files
+from spotlake.sources import cabrillo, files, replay
 from spotlake.streaming import compact, live
 
 
@@ -104,3 +104,23 @@ def test_compaction(spark, tmp_path):
     assert spots() == sorted([*every, "K100"]) and compact.compact(spark, src, dst, "1970-01-01-02") == 1
     assert spots() == sorted([*every, "K100"])
     assert compact.compact(spark, src, dst, "1970-01-01-04", target_bytes=100) == 1 and spots() == sorted([*every, "K100"])
+
+
+def test_log_with_offsets_is_replayable(spark, tmp_path):
+    log, out = str(tmp_path / "log"), str(tmp_path / "out")
+    messages = lambda *some: spark.createDataFrame(list(some), "key string, value string")
+
+    def run(state):
+        lines = live.read_spot_stream(spark, "spot_log", {"path": log})
+        lines.writeStream.format("parquet").option("path", f"{out}-{state}").option("checkpointLocation", str(tmp_path / state)).trigger(availableNow=True).start().awaitTermination()
+        return sorted(r.line for r in spark.read.schema("line string").parquet(f"{out}-{state}").collect())
+
+    first = [(None, "a"), ("{bad", "b\u00e9"), ("k", None), ("k", "c\nd"), *(("k", f"m{i:02}") for i in range(25))]
+    assert replay.publish(messages(*first), log, partitions=3, segment_rows=10) == len(first)
+    want = sorted(v or "" for _, v in first)
+    assert run("one") == want and run("one") == want
+    assert replay.publish(messages(("k", "later"), (None, "z")), log, partitions=3) == 2 and replay.publish(messages(), log, partitions=3) == 0
+    assert run("one") == sorted([*want, "later", "z"])  # what is new alone was read
+    assert run("two") == sorted([*want, "later", "z"])  # a new reader has all from the start
+    held = replay.segments(log)
+    assert all(a[0] + a[1] == b[0] for s in held.values() for a, b in zip(s, s[1:], strict=False)) and sum(r for s in held.values() for _, r, _ in s) == len(first) + 2
