@@ -60,7 +60,7 @@ def msd_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
 
 
 def drop_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", first_bytes: int = FIRST_BYTES) -> DataFrame:
-    """``docs`` with one row of each group of equal texts, all columns kept: the row of the smallest id, whatever its place in
+    """``docs`` with one row of each group of equal texts (null ones count as empty), all columns kept, whatever their names; an empty table stays empty: the row of the smallest id, whatever its place in
     the table; of rows that repeat that id, or of a group that has null ids alone, any one. Rows that share an id but not
     their text each count for themselves."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("row"))

@@ -203,7 +203,7 @@ def identify(
 
 
 def keep_identified(docs: DataFrame, *, id_col: str = "doc_id", **how) -> DataFrame:
-    """``docs`` without the documents whose language is not accepted; all columns kept. Each row goes by its own
-    text, whether its id is null or repeated."""
+    """``docs`` without the documents whose language is not accepted; all columns kept, whatever their names. Each row goes by its own
+    text, whether its id is null or repeated; null and empty texts go. An empty table gives an empty result."""
     found = identify(docs, id_col=id_col, whole_rows=True, **how).where("accepted")
     return found.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])

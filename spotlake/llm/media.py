@@ -373,7 +373,7 @@ def jpeg_store(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     """doc_id, n_bytes (of the text's UTF-8) and media (the JPEG) of every whole text.
 
     The payload is the text's bytes with spaces up to a positive multiple of 192, so null and
-    empty texts give 192 spaces. Equal texts give equal media. Other columns are not read.
+    empty texts give 192 spaces. Equal texts give equal media, and repeated rows a row each. An empty table gives an empty result. Other columns are not read.
     """
 
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

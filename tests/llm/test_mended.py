@@ -8,7 +8,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
-from spotlake.llm import bpe, html, langid, lines, mixing, pii
+from spotlake.llm import bpe, html, langid, lines, media, mixing, pii
 
 GOOD = "<p>The text of the page is in the block and it is of the kind that is long enough for all the readers.</p>"
 TEXT = html.main_text(GOOD)
@@ -99,3 +99,82 @@ def test_ids_of_lines(spark):
     # Rows that repeat an id are documents of their own where lines are dropped.
     assert sorted(r.text for r in lines.drop_similar_lines(make("int", [(1, line), (1, line), (1, near)])).collect())[:2] == ["", ""]
     assert lines.drop_similar_lines(docs.limit(0)).count() == 0
+
+
+def plain_dc(data):
+    """Width, height and the mean of each 8x8 block of a grey baseline JPEG, bit by bit as the standard has it."""
+    at, tables, quant, interval = 2, {}, {}, 0
+    assert data[:2] == b"\xff\xd8"
+    while True:
+        marker, size = data[at + 1], int.from_bytes(data[at + 2 : at + 4], "big")
+        body = data[at + 4 : at + 2 + size]
+        at += 2 + size
+        if marker == 0xDB:
+            quant[body[0] & 15] = body[1]
+        elif marker == 0xC0:
+            height, width, table = int.from_bytes(body[1:3], "big"), int.from_bytes(body[3:5], "big"), body[8]
+        elif marker == 0xDD:
+            interval = int.from_bytes(body, "big")
+        elif marker == 0xC4:
+            while body:
+                counts, code, k = body[1:17], 0, 17
+                codes = tables[body[0]] = {}
+                for length, n in enumerate(counts, 1):
+                    for _ in range(n):
+                        codes[length, code] = body[k]
+                        code, k = code + 1, k + 1
+                    code <<= 1
+                body = body[k:]
+        elif marker == 0xDA:
+            dc, ac = tables[body[2] >> 4], tables[16 | body[2] & 15]
+            break
+    bits = ""
+    state = {"at": at}
+
+    def fill():
+        nonlocal bits
+        b = data[state["at"]]
+        state["at"] += 2 if b == 255 else 1
+        bits += f"{b:08b}"
+
+    def take(n):
+        nonlocal bits
+        while len(bits) < n:
+            fill()
+        out, bits = bits[:n], bits[n:]
+        return int(out, 2) if n else 0
+
+    def symbol(codes):
+        code = length = 0
+        while (length, code) not in codes:
+            code, length = code << 1 | take(1), length + 1
+        return codes[length, code]
+
+    out, last = [], 0
+    for k in range(-(-width // 8) * -(-height // 8)):
+        if interval and k and k % interval == 0:
+            bits, last = "", 0
+            assert data[state["at"]] == 255 and data[state["at"] + 1] == 0xD0 + (k // interval - 1) % 8
+            state["at"] += 2
+        n = symbol(dc)
+        v = take(n)
+        last += v - (1 << n) + 1 if n and v < 1 << n - 1 else v
+        k = 1
+        while k < 64:
+            x = symbol(ac)
+            if not x:
+                break
+            k += 1 + (x >> 4)
+            take(x & 15)
+        out.append(last * quant[table] / 8 + 128)
+    return width, height, out
+
+
+@pytest.mark.parametrize("text", ["", "plain text", "\xff\x00é\n" * 300, "x" * 5000, "".join(chr(k) for k in range(1, 3000) if not 0xD800 <= k < 0xE000)])
+def test_stored_images_by_a_plain_decoder(text):
+    payload = text.encode().ljust(max(1, -(-len(text.encode()) // 192)) * 192)
+    (data,) = media.jpeg_encode([payload])
+    (image,) = media.jpeg_thumbnails([data])[0]
+    width, height, means = plain_dc(data)
+    assert (image[0], image[1]) == (width, height) and [float(x) for x in image[3].ravel().tolist()] == means
+    assert bytes(int(x) for x in means)[: len(payload)] == payload
