@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
 from ..operators.ranges import dense_rank
-from .common import checkpointed, numbered, ranked_id, text_blocks, text_bytes, token_spans, word_hashes
+from .common import checkpointed, numbered, ranked_id, text_blocks, text_bytes, token_spans, word_hashes, written
 
 #: Least Jaccard similarity of matching lines.
 THRESHOLD = Fraction(8, 10)
@@ -274,7 +274,8 @@ def similar_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
         none = pa.nulls(len(used), pa.int64())
         yield pa.RecordBatch.from_arrays([none, pa.nulls(len(used), pa.int32()), none, none, pa.array(used, pa.int32()), pa.array(packed, pa.binary())], names)
 
-    surveyed = checkpointed(rows.mapInArrow(survey, "doc_id long, number int, one long, two long, chunk int, counts binary"))
+    # A row for each line: as Parquet, whose columns of ids and numbers are small.
+    surveyed = written(rows.mapInArrow(survey, "doc_id long, number int, one long, two long, chunk int, counts binary"))
     found = surveyed.where("chunk is null").select("doc_id", "number", "one", "two")
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
