@@ -1,7 +1,9 @@
 """A corpus from ``documents``: identified, deduplicated, mixed and encoded.
 
 ``STAGES`` in order; each stage gets what the one before wrote and returns the columns of
-documents, the last one the encoded corpus.
+documents, the last one the encoded corpus. Rows are decided one by one: null or repeated ids don't
+join them, null texts count as empty (which no language accepts), further columns are kept whatever their names, and an
+empty table goes through as an empty one.
 """
 
 from __future__ import annotations
