@@ -9,10 +9,12 @@ import time
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..shared import stored
 from .dedupe import latest_by_key
+from .ranges import place
 
 
 def latest_log(log: DataFrame, order: str = "loaded_at") -> DataFrame:
@@ -116,11 +118,38 @@ def clustered(df: DataFrame, parts: list[str], order: list[str], files: int | No
     return dealt.sortWithinPartitions(*parts, *order)
 
 
-def range_clustered(df: DataFrame, parts: list[str], order: list[str], *, file_rows: int = 1_000_000) -> DataFrame:
-    """``df`` dealt by sampled ranges of ``parts`` and ``order`` and sorted inside each task, so that a partition has as many files of about
-    ``file_rows`` rows as it needs, with ranges of ``order`` that don't overlap (but for rows that are equal in all of it, which stay together)."""
-    files = max(1, -(-df.count() // file_rows))
-    return df.repartitionByRange(files, *parts, *order).sortWithinPartitions(*parts, *order)
+def range_clustered(df: DataFrame, parts: list[str], order: list[str], *, file_rows: int = 1_000_000, spread_rows: int | None = None) -> DataFrame:
+    """``df`` dealt by ranges of ``order`` inside each of its ``parts``, a range a task, and sorted there: a partition has as many files of about
+    ``file_rows`` rows as it needs, and two at least where it has more than ``spread_rows`` rows. Ranges don't overlap: rows that are equal in all of ``order`` stay together.
+
+    The rows' keys alone are sorted and counted first: those at equal steps of their rank in the partition are the cuts between its files."""
+    keys, same = df.select(*parts, *order), lambda a, b: F.expr(" and ".join(f"{a}.`{p}` <=> {b}.`{p}`" for p in parts))
+    dealt = keys.repartitionByRange(*parts, *order).sortWithinPartitions(*parts, *order)
+    # Sorted over all tasks: the rows of a partition in a task stand side by side, and tasks follow each other.
+    placed = stored(dealt.withColumn("_id", F.monotonically_increasing_id())).withColumns({"_task": F.shiftright("_id", 33), "_at": F.struct(*order)})
+    whole = Window.partitionBy(*parts)
+    pieces = placed.groupBy(*parts, "_task").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_start"), F.min("_at").alias("_low"), F.max("_at").alias("_high"))
+    ahead = F.coalesce(F.sum("_n").over(whole.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    pieces = pieces.withColumns({"_ahead": ahead, "_rows": F.sum("_n").over(whole), "_low": F.min("_low").over(whole), "_high": F.max("_high").over(whole)})
+    files = F.ceil(F.col("_rows") / file_rows)
+    pieces = stored(pieces.withColumn("_files", files if spread_rows is None else F.greatest(files, F.when(F.col("_rows") > spread_rows, 2).otherwise(1))))
+    # A row for each partition and task.
+    ranked = placed.alias("a").join(F.broadcast(pieces.select(*parts, "_task", "_start", "_ahead", "_rows", "_files")).alias("b"), same("a", "b") & F.expr("a._task = b._task"))
+    ranked = ranked.select(*[f"a.{p}" for p in parts], "_at", F.expr("_ahead + _id - _start").alias("_rank"), "_rows", "_files")
+    cuts = ranked.where("_rank > 0 and _rank * _files div _rows > (_rank - 1) * _files div _rows").groupBy(*parts).agg(F.collect_set("_at").alias("_cuts"))
+    ends = pieces.groupBy(*parts).agg(F.first("_files").alias("_files"), F.first("_low").alias("_low"), F.first("_high").alias("_high"))
+    held = ends.alias("a").join(cuts.alias("b"), same("a", "b"), "left").select(*[f"a.{p}" for p in parts], "_files", "_low", "_high", F.coalesce("_cuts", F.array()).alias("_cuts"))
+    # A cut at the lowest row has nothing before it.
+    inner = F.array_sort(F.filter("_cuts", lambda c: c > F.col("_low")))
+    last = (F.col("_files") > 1) & (F.size("_cuts") == 0) & (F.col("_low") < F.col("_high"))
+    held = held.withColumn("_cuts", inner).withColumn("_cuts", F.when(last, F.array("_high")).otherwise(F.col("_cuts")))
+    before = Window.orderBy(*parts).rowsBetween(Window.unboundedPreceding, -1)
+    held = stored(held.select(*parts, "_cuts", F.coalesce(F.sum(F.size("_cuts") + 1).over(before), F.lit(0)).cast("int").alias("_first")))
+    total, most = held.agg(F.coalesce(F.sum(F.size("_cuts") + 1), F.lit(1)), F.coalesce(F.max(F.size("_cuts")), F.lit(0))).first()
+    # A row for each partition.
+    met = df.alias("a").join(F.broadcast(held).alias("b"), same("a", "b")).select("a.*", "_cuts", "_first")
+    met = met.withColumn("_file", (F.col("_first") + place(F.col("_cuts"), F.struct(*order), most)).cast("int"))
+    return met.repartitionById(total, "_file").select(*df.columns).sortWithinPartitions(*parts, *order)
 
 
 def csv_to_parquet(spark: SparkSession, src: str, dst: str, schema, *, delimiter: str = ",", again: bool = False) -> bool:
@@ -141,9 +170,9 @@ def incremental_load(
     The plan is computed once and stored beside the log. A batch's file names go through the driver: they are the reader's arguments. ``write`` may return what it
     wrote by file (file_path, row_count), which is logged; a log of its own load, that counts by itself, is ``ledger.load_files``. Returns the number of files."""
     plan = plan_growth(listing, log) if growth else plan_incremental(listing, log)
-    stored = f"{log_path}-plans/{uuid.uuid4().hex}"
-    plan.select("file_path", "file_size").distinct().sort("file_path").write.parquet(stored)
-    plan = listing.sparkSession.read.schema("file_path string, file_size long").parquet(stored)
+    planned = f"{log_path}-plans/{uuid.uuid4().hex}"
+    plan.select("file_path", "file_size").distinct().sort("file_path").write.parquet(planned)
+    plan = listing.sparkSession.read.schema("file_path string, file_size long").parquet(planned)
     total, after = 0, ""
     while True:
         names = [r[0] for r in plan.where(F.col("file_path") > after).orderBy("file_path").limit(batch_files).select("file_path").collect()]

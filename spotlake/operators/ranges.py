@@ -53,7 +53,7 @@ def disjoint_segments(plan: DataFrame, lo: str, hi: str, order: list[str]) -> Da
     return ends.join(won, "i", "left").select("x", "i", "at", "after")
 
 
-def _place(array: Column, value: Column, size: int) -> Column:
+def place(array: Column, value: Column, size: int) -> Column:
     """How many elements of a sorted array are at most ``value``."""
     start = F.struct(F.lit(0).alias("lo"), F.size(array).alias("hi"))
 
@@ -76,6 +76,6 @@ def range_lookup(df: DataFrame, value: str, plan: DataFrame, lo: str, hi: str, o
     heads = blocks.agg(F.array_sort(F.collect_list(F.get("_ends", F.lit(0))["x"])).alias("heads"))
     number = F.col(value).cast("double")
     known = F.when(~F.isnan(number), number)
-    found = df.withColumns({"_v": known, "_heads": heads.scalar()}).withColumn("_block", _place(F.col("_heads"), F.col("_v"), 2 * size + 2) - 1)
-    met = found.join(blocks, "_block", "left").withColumn("_end", F.get("_ends", _place(F.transform("_ends", lambda e: e["x"]), F.col("_v"), size) - 1))
+    found = df.withColumns({"_v": known, "_heads": heads.scalar()}).withColumn("_block", place(F.col("_heads"), F.col("_v"), 2 * size + 2) - 1)
+    met = found.join(blocks, "_block", "left").withColumn("_end", F.get("_ends", place(F.transform("_ends", lambda e: e["x"]), F.col("_v"), size) - 1))
     return met.select(*df.columns, F.when(F.col("_end.x") == F.col("_v"), F.col("_end.at")).otherwise(F.col("_end.after")).alias(out))

@@ -191,7 +191,7 @@ def range_layout_readback(spark, sf_dir):
     """A hot partition is spread over many files, whose ranges don't overlap: only values at the ends may be in two files."""
     path, rows = scratch(spark), _orders(spark, sf_dir)
     rows = rows.withColumn("part", F.when(F.col("k") % 10 < 7, "1995").otherwise(F.col("part")))
-    load.range_clustered(rows, ["part"], ["v", "k"], file_rows=max(100, rows.count() // 20)).write.partitionBy("part").parquet(path)
+    load.range_clustered(rows, ["part"], ["v", "k"], file_rows=max(100, rows.count() // 20), spread_rows=500).write.partitionBy("part").parquet(path)
     of = F.struct("v", "k")
     each = spark.read.schema("k long, v long, part string").parquet(path).groupBy("part", F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n"), F.min(of).alias("lo"), F.max(of).alias("hi"))
     each = each.withColumn("before", F.lag("hi").over(Window.partitionBy("part").orderBy("lo")))
