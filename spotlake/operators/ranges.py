@@ -4,18 +4,17 @@ The distinct ends of all ranges are ranked; between and on them lie slots (two f
 changes. A range covers a run of slots, which is cut into at most two nodes of each level of a binary tree, and each node keeps its best range. The winner
 of a slot is the best of its ancestors. So the work grows as n log n however the ranges overlap, and all of it is grouping and equi-joins.
 
-The ends then go into blocks of about the root of their number. A value finds its block by binary search in the array of the blocks' first ends, meets the block in an
-equi-join, and finds its end in the block by binary search.
+The distinct values and the ends are then sorted together, dealt by ranges, and a value takes the last end up to it; the rows meet their value's
+range in an equi-join. So the work of a row is that of a grouping and a join, and only distinct values are searched for.
 """
 
 from __future__ import annotations
 
-from math import isqrt
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..shared import stored
+from .scan import ordered_scan
 
 
 def dense_rank(values: DataFrame, column: str) -> DataFrame:
@@ -68,14 +67,14 @@ def place(array: Column, value: Column, size: int) -> Column:
 
 def range_lookup(df: DataFrame, value: str, plan: DataFrame, lo: str, hi: str, order: list[str], out: str) -> DataFrame:
     """``df`` with the column ``out``: of the ranges [lo, hi] of ``plan`` that hold ``value``, the first by ``order`` (its columns
-    as a struct); null if there is none, and for null and NaN values. Every row of ``df`` stays once, however many ranges overlap."""
-    segments = stored(disjoint_segments(plan, lo, hi, order))
-    size = max(1, isqrt(segments.count()))
-    blocks = segments.groupBy(F.expr(f"cast(i div {size} as int)").alias("_block")).agg(F.array_sort(F.collect_list(F.struct("x", "at", "after"))).alias("_ends"))
-    blocks = stored(blocks)
-    heads = blocks.agg(F.array_sort(F.collect_list(F.get("_ends", F.lit(0))["x"])).alias("heads"))
+    as a struct); null if there is none, and for null and NaN values. Every row of ``df`` stays once, however many ranges overlap.
+
+    A distinct value is looked up once, and the rows meet what was found in an equi-join: ``df`` is read twice."""
+    ends = disjoint_segments(plan, lo, hi, order).select(F.lit(0).alias("_all"), "x", F.lit(0).alias("_kind"), F.struct("x", "at", "after").alias("_end"))
     number = F.col(value).cast("double")
     known = F.when(~F.isnan(number), number)
-    found = df.withColumns({"_v": known, "_heads": heads.scalar()}).withColumn("_block", place(F.col("_heads"), F.col("_v"), 2 * size + 2) - 1)
-    met = found.join(blocks, "_block", "left").withColumn("_end", F.get("_ends", place(F.transform("_ends", lambda e: e["x"]), F.col("_v"), size) - 1))
-    return met.select(*df.columns, F.when(F.col("_end.x") == F.col("_v"), F.col("_end.at")).otherwise(F.col("_end.after")).alias(out))
+    values = df.select(known.alias("x")).where("x is not null").distinct().select(F.lit(0), "x", F.lit(1), F.lit(None).cast(ends.schema["_end"].dataType))
+    met = ordered_scan(ends.unionAll(values), ["_all"], ["x", "_kind"], last={"_last": "_end"}).where("_kind = 1")
+    best = met.select(F.col("x").alias("_v"), F.when(F.col("_last.x") == F.col("x"), F.col("_last.at")).otherwise(F.col("_last.after")).alias(out))
+    best = stored(best.where(F.col(out).isNotNull()))
+    return df.withColumn("_v", known).join(best, "_v", "left").select(*df.columns, out)

@@ -3,7 +3,7 @@
 import random
 
 from pyspark.sql import functions as F
-from spotlake.operators import load
+from spotlake.operators import load, ranges
 
 
 def layout(spark, path, rows, **how):
@@ -30,3 +30,14 @@ def test_range_layout_spreads_partitions_below_a_file(spark, tmp_path):
     assert got == {"hot": 4, None: 2, "a": 2, "b": 2, "c": 1, "one": 1, "tied": 1, "low": 2}
     assert set(layout(spark, str(tmp_path / "u"), rows, file_rows=1000).values()) == {1, 4}
     assert layout(spark, str(tmp_path / "none"), [], file_rows=1000, spread_rows=5) == {}
+
+
+def test_plan_lookup_by_distinct_values(spark, tmp_path):
+    """Many rows of few values: what is looked up are the values, so that the search runs over a handful of rows."""
+    plan = spark.createDataFrame([(k, float(k), k + 0.5, k % 3) for k in range(400)], "band int, lo double, hi double, priority int")
+    values = [0.25, -0.0, 0.0, 7.5, 7.75, -3.0, 399.5, float("nan"), None]
+    df = spark.range(9000).select("id", F.get(F.array(*[F.lit(v).cast("double") for v in values]), (F.col("id") % 9).cast("int")).alias("f"))
+    met = ranges.range_lookup(df, "f", plan, "lo", "hi", ["priority", "band"], "best")
+    assert {(r.id % 9, r.best and r.best.band, r.n) for r in met.groupBy((F.col("id") % 9).alias("id"), "best").agg(F.count("*").alias("n")).collect()} == {(k, b, 1000) for k, b in enumerate((0, 0, 0, 7, None, None, 399, None, None))}
+    # The search is done when the plan is looked up in, for the distinct values alone.
+    assert "aggregate(" not in met._jdf.queryExecution().optimizedPlan().toString()
