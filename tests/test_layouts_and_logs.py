@@ -4,6 +4,9 @@ import random
 
 from pyspark.sql import functions as F
 from spotlake.operators import load, ranges
+from spotlake.plans.queries import QUERIES
+
+from oracle import SF
 
 
 def layout(spark, path, rows, **how):
@@ -41,3 +44,14 @@ def test_plan_lookup_by_distinct_values(spark, tmp_path):
     assert {(r.id % 9, r.best and r.best.band, r.n) for r in met.groupBy((F.col("id") % 9).alias("id"), "best").agg(F.count("*").alias("n")).collect()} == {(k, b, 1000) for k, b in enumerate((0, 0, 0, 7, None, None, 399, None, None))}
     # The search is done when the plan is looked up in, for the distinct values alone.
     assert "aggregate(" not in met._jdf.queryExecution().optimizedPlan().toString()
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rejects_of_several_runs_are_parsed_once(spark, monkeypatch):
+    plans, append_run = [], load.append_run
+    monkeypatch.setattr(load, "append_run", lambda rows, *how: (plans.append(plan_of(rows)), append_run(rows, *how)))
+    assert QUERIES["cabrillo_rejects_readback"](spark, SF).count() > 0
+    assert len(plans) == 3 and not any("Window" in p for p in plans)
