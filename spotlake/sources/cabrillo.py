@@ -19,17 +19,21 @@ def _body(line: Column, size: int) -> Column:
 def _log_lines(lines: DataFrame, tasks: int | None = None) -> DataFrame:
     """Non-blank lines before END-OF-LOG, with what is known of their file: the callsign so far, and the last contest and grid. A
     file is one task's work, or with ``tasks`` that of as many as it takes."""
-    rows = lines.withColumn("line", F.trim(plain_spaces(F.col("line")))).where("line <> ''").withColumn("_up", F.upper("line"))
-    whole = Window.partitionBy("file")
-    so_far = whole.orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    end = F.min(F.when(F.col("_up").startswith("END-OF-LOG"), F.col("line_no")))
+    rows = lines.select("file", "line_no", F.trim(plain_spaces(F.col("line"))).alias("line")).where("line <> ''")
+    # The line alone is sorted, not a second one in capitals beside it.
+    up = F.upper("line")
+    # One order for all windows: a task sorts its lines once.
+    ordered = Window.partitionBy("file").orderBy("line_no")
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    end = F.min(F.when(up.startswith("END-OF-LOG"), F.col("line_no")))
     rows = rows.join(rows.groupBy("file").agg(end.alias("_end")), "file") if tasks else rows.withColumn("_end", end.over(whole))
     rows = rows.where("_end is null or line_no < _end").drop("_end")
-    grid = F.when(F.col("_up").startswith("GRID-LOCATOR:"), _body(F.col("line"), 13)).when(F.col("_up").startswith("HQ-GRID-LOCATOR:"), _body(F.col("line"), 16))
+    grid = F.when(up.startswith("GRID-LOCATOR:"), _body(F.col("line"), 13)).when(up.startswith("HQ-GRID-LOCATOR:"), _body(F.col("line"), 16))
     rows = rows.withColumns(
         {
-            "_call": F.when(F.col("_up").startswith("CALLSIGN:"), _body(F.col("line"), 9)),
-            "_contest": F.when(F.col("_up").startswith("CONTEST:"), _body(F.col("line"), 8)),
+            "_call": F.when(up.startswith("CALLSIGN:"), _body(F.col("line"), 9)),
+            "_contest": F.when(up.startswith("CONTEST:"), _body(F.col("line"), 8)),
             "_grid": F.when(valid_grid(grid), grid),
         }
     )
@@ -49,7 +53,7 @@ def parse_cabrillo(lines: DataFrame, *, root: str = "", tasks: int | None = None
     first word after the own one that looks like a callsign and isn't it. The band follows the kHz
     without decimals. A file's contest is the last one named, for all its rows. ``tasks``: into how many ranges all lines are dealt,
     where single files are too long for a task; left out, a file is one task's work."""
-    rows = _log_lines(lines, tasks).where(F.col("_up").startswith("QSO:")).withColumn("_f", words(F.col("line")))
+    rows = _log_lines(lines, tasks).where(F.upper("line").startswith("QSO:")).withColumn("_f", words(F.col("line")))
     # ``QSO:7000`` without a space keeps its first word, as one that is not ``QSO:``.
     rows = rows.withColumn("_f", F.when(F.upper(F.rtrim(F.get("_f", F.lit(0)), F.lit(":"))) == "QSO", F.expr("slice(_f, 2, greatest(size(_f) - 1, 0))")).otherwise(F.col("_f")))
     at = lambda k: F.get("_f", F.lit(k))

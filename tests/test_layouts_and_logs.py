@@ -5,6 +5,7 @@ import random
 from pyspark.sql import functions as F
 from spotlake.operators import load, ranges
 from spotlake.plans.queries import QUERIES
+from spotlake.sources import cabrillo
 
 from oracle import SF
 
@@ -55,3 +56,10 @@ def test_rejects_of_several_runs_are_parsed_once(spark, monkeypatch):
     monkeypatch.setattr(load, "append_run", lambda rows, *how: (plans.append(plan_of(rows)), append_run(rows, *how)))
     assert QUERIES["cabrillo_rejects_readback"](spark, SF).count() > 0
     assert len(plans) == 3 and not any("Window" in p for p in plans)
+
+
+def test_contest_lines_are_sorted_once(spark):
+    """All windows of a log share one order, and the sorted rows have the line once."""
+    lines = spark.createDataFrame([("a", 1, "CALLSIGN: k1abc"), ("a", 2, "QSO: 7000 CW 2005-11-26 0001 K1ABC 599 05 JA1XYZ 599 25")], "file string, line_no long, line string")
+    plan = plan_of(cabrillo.parse_cabrillo(lines))
+    assert plan.count("+- Sort [") == 1 and "_up" not in plan
