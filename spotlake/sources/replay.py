@@ -14,14 +14,17 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
+from ..operators.scan import ordered_scan
 from .files import _store_of
 
 #: Messages of a segment.
 SEGMENT_ROWS = 10_000
+#: Messages that a task of the source reads: of as many segments as it takes, but one at least.
+TASK_ROWS = 20_000
 
 
 def segments(path: str) -> dict[int, list[tuple[int, int, str]]]:
@@ -47,8 +50,10 @@ def publish(messages: DataFrame, path: str, *, partitions: int = 4, segment_rows
     first = F.create_map(*[F.lit(x) for p in range(partitions) for x in (p, start.get(p, 0))])
     rows = messages.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
     rows = rows.withColumn("partition", F.pmod(F.coalesce(F.xxhash64("key"), F.lit(0)), F.lit(partitions)).cast("int"))
-    number = F.row_number().over(Window.partitionBy("partition").orderBy("key", "value")) - 1
-    rows = rows.withColumn("offset", number + first[F.col("partition")]).withColumn("segment", F.floor((F.col("offset") - first[F.col("partition")]) / segment_rows))
+    # Numbered by ranges on many tasks, as a partition may hold any number of messages.
+    rows = ordered_scan(rows.withColumn("_one", F.lit(1).cast("long")), ["partition"], ["key", "value"], total={"_number": "_one"})
+    rows = rows.withColumn("offset", F.col("_number") - 1 + first[F.col("partition")]).drop("_one", "_number")
+    rows = rows.withColumn("segment", F.floor((F.col("offset") - first[F.col("partition")]) / segment_rows))
 
     def write(key: tuple, table: pa.Table) -> pa.Table:
         table = table.sort_by("offset")
@@ -66,13 +71,12 @@ def publish(messages: DataFrame, path: str, *, partitions: int = 4, segment_rows
 
 @dataclass
 class Stretch(InputPartition):
-    """Offsets [start, stop) of a partition that a segment holds."""
+    """Offsets [start, stop) of a partition, and the segments that hold them (first offset, place), in order."""
 
     partition: int
     start: int
     stop: int
-    first: int
-    place: str
+    segments: list[tuple[int, str]]
 
 
 class SpotLogReader(DataSourceStreamReader):
@@ -89,14 +93,25 @@ class SpotLogReader(DataSourceStreamReader):
         out = []
         for p, held in segments(self.path).items():
             low, high = start.get(str(p), 0), end.get(str(p), 0)
-            out += [Stretch(p, max(low, first), min(high, first + rows), first, place) for first, rows, place in held if first < high and first + rows > low]
+            last = None
+            for first, rows, place in held:
+                if first >= high or first + rows <= low:
+                    continue
+                a, b = max(low, first), min(high, first + rows)
+                if last and b - last.start <= TASK_ROWS:
+                    last.stop = b
+                    last.segments.append((first, place))
+                else:
+                    last = Stretch(p, a, b, [(first, place)])
+                    out.append(last)
         return out
 
     def read(self, stretch: Stretch) -> Iterator[tuple]:
         store, _ = _store_of(self.path)
-        with store.open_input_stream(stretch.place, compression=None) as stream:
-            for k, line in enumerate(stream.read().decode().splitlines()):
-                offset = stretch.first + k
+        for first, place in stretch.segments:
+            with store.open_input_stream(place, compression=None) as stream:
+                held = stream.read().decode().splitlines()
+            for offset, line in enumerate(held, first):
                 if stretch.start <= offset < stretch.stop:
                     key, value = json.loads(line)
                     yield stretch.partition, offset, key, None if value is None else base64.b64decode(value)

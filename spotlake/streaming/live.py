@@ -27,6 +27,8 @@ def read_spot_stream(spark: SparkSession, fmt: str = "text", options: dict[str,
     return (reader.load(path) if path else reader.load()).select(F.col("value").alias("line"))
 
 
+#: Files of an hour that a trigger writes at most.
+HOUR_FILES = 4
 SPOT_COLUMNS = ("ts", "sc", "sg", "rc", "rg", "f", "band", "mode", "snr")
 
 
@@ -37,8 +39,11 @@ def rotated(spots: DataFrame) -> DataFrame:
 
 
 def write_jsonl_rotated(spots: DataFrame, path: str, checkpoint: str, *, once: bool = False, every: str = "60 seconds") -> StreamingQuery:
-    """Accepted spots as gz JSON lines by year, month, day and hour of the spot; a restart goes on from the checkpoint."""
-    writer = rotated(spots).writeStream.format("json").option("compression", "gzip").option("path", path).option("checkpointLocation", checkpoint).partitionBy("yyyy", "mm", "dd", "hh")
+    """Accepted spots as gz JSON lines by year, month, day and hour of the spot; a restart goes on from the checkpoint. An hour's spots of a trigger go
+    to ``HOUR_FILES`` files at most, however many tasks have read them."""
+    hour = ("yyyy", "mm", "dd", "hh")
+    dealt = rotated(spots).withColumn("_deal", F.pmod(F.xxhash64(*SPOT_COLUMNS), F.lit(HOUR_FILES))).repartition(*hour, "_deal").drop("_deal")
+    writer = dealt.writeStream.format("json").option("compression", "gzip").option("path", path).option("checkpointLocation", checkpoint).partitionBy("yyyy", "mm", "dd", "hh")
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)).start()
 
 

@@ -4,8 +4,9 @@ import random
 
 from pyspark.sql import functions as F
 from spotlake.operators import load, ranges
+from spotlake.plans import feeds
 from spotlake.plans.queries import QUERIES
-from spotlake.sources import cabrillo
+from spotlake.sources import cabrillo, files, replay
 
 from oracle import SF
 
@@ -63,3 +64,22 @@ def test_contest_lines_are_sorted_once(spark):
     lines = spark.createDataFrame([("a", 1, "CALLSIGN: k1abc"), ("a", 2, "QSO: 7000 CW 2005-11-26 0001 K1ABC 599 05 JA1XYZ 599 25")], "file string, line_no long, line string")
     plan = plan_of(cabrillo.parse_cabrillo(lines))
     assert plan.count("+- Sort [") == 1 and "_up" not in plan
+
+
+def test_log_tasks_read_many_segments(spark, tmp_path):
+    """Segments of a few messages are read by few tasks, and each stretch covers its offsets once."""
+    log = str(tmp_path / "log")
+    rows = spark.range(3000).select((F.col("id") % 5).cast("string").alias("key"), F.col("id").cast("string").alias("value"))
+    assert replay.publish(rows, log, partitions=2, segment_rows=50) == 3000
+    reader = replay.SpotLogReader(log)
+    parts = reader.partitions({"0": 7}, reader.latestOffset())
+    assert len(parts) <= 2 and len(replay.segments(log)[0]) + len(replay.segments(log)[1]) >= 60
+    got = [(p, offset) for s in parts for p, offset, _, _ in reader.read(s)]
+    assert sorted(got) == [(p, k) for p, n in sorted(replay.ends(log).items()) for k in range(0 if p else 7, n)]
+
+
+def test_archives_are_read_one_at_a_time(spark):
+    archives = spark.createDataFrame([], "path string, content binary")
+    assert "FlatMapGroupsInArrow" in plan_of(files.archive_lines(archives, "zip"))
+    packed = feeds._archives(spark.createDataFrame([("a", 1, "x")], "file string, line_no long, line string"), "zip")
+    assert "FlatMapGroupsInArrow" in plan_of(packed) and [r.line for r in files.archive_lines(packed, "zip").collect()] == ["x"]
