@@ -235,14 +235,13 @@ def _archives(lines: DataFrame, kind: str) -> DataFrame:
                     t.addfile(info, io.BytesIO(data))
         return out.getvalue()
 
-    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            content = [pack(x) for x in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("file"), pa.array(content, pa.binary())], ["path", "content"])
+    def packed(key: tuple, whole: pa.Table) -> pa.Table:
+        return pa.table({"path": pa.array([key[0].as_py()], pa.string()), "content": pa.array([pack(whole["text"][0].as_py())], pa.binary())})
 
     held = lines.groupBy("file").agg(F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("e"))
     text = F.array_join(F.transform("e", lambda e: e["line"]), "\n")
-    return held.select("file", text.alias("text")).mapInArrow(packed, "path string, content binary")
+    # An archive is one group: a task's Python holds one at a time, however many it packs.
+    return held.select("file", text.alias("text")).groupBy("file").applyInArrow(packed, "path string, content binary")
 
 
 @register("with p as (select string_split(line, ',') as c from wspr_lines) select count(*) as n_read, count(*) filter (len(c) >= 15 and c[6] <> 'bad') as n_parsed, sum(try_cast(c[1] as bigint))::bigint as ids from p", "wspr_lines")

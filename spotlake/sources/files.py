@@ -71,17 +71,17 @@ def _members(kind: str):
         member = next((m for m in archive if m.isfile() and m.name.lower().endswith(".csv")), None)
         return member and io.TextIOWrapper(archive.extractfile(member), "utf-8", errors="replace")
 
-    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["file", "line_no", "line"]
+    def lines(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, path = ["file", "line_no", "line"], key[0].as_py()
         for batch in batches:
-            for path, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
+            for content in batch.column("content"):
                 member = first_csv(content.as_py())
                 held: list[str] = []
                 n = 0
                 for line in member or ():
                     held.append(line.rstrip("\r\n"))
                     if len(held) == BATCH_LINES:
-                        yield pa.RecordBatch.from_arrays([pa.array([path] * len(held)), pa.array(range(n + 1, n + 1 + len(held)), pa.int64()), pa.array(held)], names)
+                        yield pa.RecordBatch.from_arrays([pa.array([path] * len(held), pa.string()), pa.array(range(n + 1, n + 1 + len(held)), pa.int64()), pa.array(held)], names)
                         n, held = n + len(held), []
                 yield pa.RecordBatch.from_arrays([pa.array([path] * len(held), pa.string()), pa.array(range(n + 1, n + 1 + len(held)), pa.int64()), pa.array(held, pa.string())], names)
 
@@ -90,8 +90,8 @@ def _members(kind: str):
 
 def archive_lines(archives: DataFrame, kind: str) -> DataFrame:
     """file, line_no and line of the first CSV member of each of ``archives`` (path, content), of kind ``zip`` or ``tar``
-    (tar.gz too); an archive is one task."""
-    return archives.select("path", "content").mapInArrow(_members(kind), "file string, line_no long, line string")
+    (tar.gz too). An archive is one group: a task's Python gets one at a time, not a batch of as many as an Arrow batch has rows."""
+    return archives.select("path", "content").groupBy("path").applyInArrow(_members(kind), "file string, line_no long, line string")
 
 
 def _store_of(path: str) -> tuple[fs.FileSystem, str]:
