@@ -6,7 +6,6 @@ from __future__ import annotations
 import io
 import tarfile
 import zipfile
-from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -263,16 +262,15 @@ def zip_archives(spark, sf_dir):
 def _as_files(archives: DataFrame, folder: str, broken: Column) -> DataFrame:
     """Archives (path, content) as files of the shared folder; of the broken ones the second half is missing. Written by a job, whose rows are the paths."""
 
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def write(key: tuple, archive: pa.Table) -> pa.Table:
         store, root = files._store_of(folder)
         store.create_dir(root, recursive=True)
-        for batch in batches:
-            for path, content, cut in zip(*(batch.column(c).to_pylist() for c in ("path", "content", "cut")), strict=True):
-                with store.open_output_stream(f"{root}/{path.rsplit('/', 1)[1]}", compression=None) as out:
-                    out.write(content[: len(content) // 2] if cut else content)
-            yield pa.RecordBatch.from_arrays([batch.column("path")], ["path"])
+        path, content, cut = key[0].as_py(), archive["content"][0].as_py(), archive["cut"][0].as_py()
+        with store.open_output_stream(f"{root}/{path.rsplit('/', 1)[1]}", compression=None) as out:
+            out.write(content[: len(content) // 2] if cut else content)
+        return pa.table({"path": pa.array([path], pa.string())})
 
-    return stored(archives.withColumn("cut", broken).mapInArrow(write, "path string"))
+    return stored(archives.withColumn("cut", broken).groupBy("path").applyInArrow(write, "path string"))
 
 
 def _streamed_archives(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
